@@ -15,43 +15,40 @@ from pyspark.sql import functions as F
 from tillroll import schema as S
 from tillroll.functions.columns import as_double, check_freq, period_label, period_ordinal, period_start, safe_ratio
 from tillroll.operators.clean import product_lines
-from tillroll.operators.kpi import hhi_expr
+from tillroll.operators.kpi import hhi_expr, month_facts
 from tillroll.operators.ranking import rank_all, top_n
 
 
-def customer_months(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
-    """Distinct (CustomerID, month) of identified PRODUCT lines."""
+def customer_months(fact: DataFrame, month_col: str = S.MONTH, cust: DataFrame | None = None) -> DataFrame:
+    """Distinct (CustomerID, month) of identified PRODUCT lines.
+
+    ``cust`` may be a ``customer_month_sales`` frame (same keys) to share."""
+    if cust is not None:
+        return cust.select(S.CUSTOMER, month_col)
     p = product_lines(fact, month_col).filter(F.col(S.CUSTOMER).isNotNull())
     return p.select(S.CUSTOMER, month_col).distinct()
 
 
-def customer_id_coverage(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
+def customer_id_coverage(fact: DataFrame, month_col: str = S.MONTH, facts: DataFrame | None = None) -> DataFrame:
     """Share of PRODUCT rows, orders and sales carrying a customer id, per month.
 
-    One conditional aggregate; months without identified lines get zeros.
+    Read from ``month_facts`` (one conditional aggregate; pass it in to
+    share it with the KPI table); months without identified lines get zeros.
     """
-    p = product_lines(fact, month_col)
-    ident = F.col(S.CUSTOMER).isNotNull()
-    agg = p.groupBy(month_col).agg(
-        F.count(F.lit(1)).alias("total_product_rows"),
-        F.countDistinct(S.INVOICE).alias("total_product_orders"),
-        F.sum("net_gmv").alias("_sales"),
-        F.count(S.CUSTOMER).alias("identified_product_rows"),
-        F.countDistinct(F.when(ident, F.col(S.INVOICE))).alias("identified_product_orders"),
-        F.sum(F.when(ident, F.col("net_gmv"))).alias("_id_sales"),
-    )
-    sales = as_double("_sales")
-    id_sales = F.coalesce(as_double("_id_sales"), F.lit(0.0))
+    facts = facts if facts is not None else month_facts(fact, month_col)
+    agg = facts.filter(F.col("_prod_rows") > 0)
+    sales = as_double("_net")
+    id_sales = F.coalesce(as_double("_id_net"), F.lit(0.0))
     return agg.select(
         month_col,
-        "total_product_rows",
-        "total_product_orders",
+        F.col("_prod_rows").alias("total_product_rows"),
+        F.col("_orders").alias("total_product_orders"),
         sales.alias("total_product_sales"),
-        "identified_product_rows",
-        "identified_product_orders",
+        F.col("_id_rows").alias("identified_product_rows"),
+        F.col("_id_orders").alias("identified_product_orders"),
         id_sales.alias("identified_product_sales"),
-        safe_ratio("identified_product_rows", "total_product_rows").alias("identified_row_coverage"),
-        safe_ratio("identified_product_orders", "total_product_orders").alias("identified_order_coverage"),
+        safe_ratio("_id_rows", "_prod_rows").alias("identified_row_coverage"),
+        safe_ratio("_id_orders", "_orders").alias("identified_order_coverage"),
         safe_ratio(id_sales, sales).alias("identified_sales_coverage"),
     )
 
@@ -81,21 +78,26 @@ def _retention_from_calendar(cm: DataFrame, calendar: DataFrame, month_col: str)
     )
 
 
-def retention(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
+def retention(
+    fact: DataFrame, month_col: str = S.MONTH, cust: DataFrame | None = None, facts: DataFrame | None = None
+) -> DataFrame:
     """Next-month retention per observed PRODUCT month except the last.
 
     The next month is the next month that has PRODUCT lines (identified or
     not), not the calendar month after.  A month without identified customers
     stays, with 0 / 0 / 0.0.
     """
-    calendar = product_lines(fact, month_col).select(month_col).distinct()
-    return _retention_from_calendar(customer_months(fact, month_col), calendar, month_col)
+    if facts is not None:
+        calendar = facts.filter(F.col("_prod_rows") > 0).select(month_col)
+    else:
+        calendar = product_lines(fact, month_col).select(month_col).distinct()
+    return _retention_from_calendar(customer_months(fact, month_col, cust), calendar, month_col)
 
 
-def retention_identified_calendar(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
+def retention_identified_calendar(fact: DataFrame, month_col: str = S.MONTH, cust: DataFrame | None = None) -> DataFrame:
     """Variant whose month sequence has only months with identified customers,
     so a wholly unidentified month is skipped and its neighbours are paired."""
-    cm = customer_months(fact, month_col)
+    cm = customer_months(fact, month_col, cust)
     calendar = cm.select(month_col).distinct()
     return _retention_from_calendar(cm, calendar, month_col)
 
@@ -116,10 +118,12 @@ def customer_month_rank(fact: DataFrame, month_col: str = S.MONTH, strategy: str
     return ranked.select(month_col, S.CUSTOMER, as_double("cust_gmv").alias("cust_gmv"), "rank")
 
 
-def customer_concentration(fact: DataFrame, month_col: str = S.MONTH, n: int = 50) -> DataFrame:
+def customer_concentration(
+    fact: DataFrame, month_col: str = S.MONTH, n: int = 50, cust: DataFrame | None = None
+) -> DataFrame:
     """``top{n}_share`` of identified sales and customer HHI, per month that
     has identified customers."""
-    cr = customer_month_sales(fact, month_col)
+    cr = cust if cust is not None else customer_month_sales(fact, month_col)
     x = as_double("cust_gmv")
     totals = cr.groupBy(month_col).agg(F.sum("cust_gmv").alias("_total"), F.sum(x * x).alias("_sq"))
     best = top_n(cr, [month_col], _customer_order(), n, "_rank")
@@ -132,13 +136,15 @@ def customer_concentration(fact: DataFrame, month_col: str = S.MONTH, n: int = 5
     )
 
 
-def cohort_table(fact: DataFrame, month_col: str = S.MONTH, freq: str = "M") -> DataFrame:
+def cohort_table(
+    fact: DataFrame, month_col: str = S.MONTH, freq: str = "M", cust: DataFrame | None = None
+) -> DataFrame:
     """Distinct customers by first-purchase period and periods since then.
 
     ``freq`` is M, Q or Y; labels look like ``2010-12``, ``2010Q4``, ``2010``.
     """
     check_freq(freq)
-    cm = customer_months(fact, month_col)
+    cm = customer_months(fact, month_col, cust)
     periods = cm.select(S.CUSTOMER, period_start(month_col, freq).alias("_period"))
     if freq != "M":
         periods = periods.distinct()

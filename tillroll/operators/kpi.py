@@ -10,7 +10,7 @@ exact decimals and converted to double only for output and ratios.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll import schema as S
@@ -36,6 +36,67 @@ def hhi_expr(sum_sq, total):
     return F.round(F.when(t > 0, F.col(sum_sq) / (t * t)).otherwise(F.lit(0.0)), HHI_DECIMALS)
 
 
+def month_facts(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
+    """One aggregate per dated month over all fact lines, holding everything
+    the month-level tables need: PRODUCT totals and distinct counts (all and
+    identified-only), RETURN totals and the latest timestamp of any line.
+
+    Two levels: lines first collapse to (month, invoice, customer, day)
+    groups -- a balanced shuffle, combined map-side -- and the month level
+    then counts distinct invoices, customers and days over those groups
+    instead of expanding every line once per distinct count.  The KPI and
+    coverage tables both read this frame; Catalyst drops the aggregates a
+    caller does not select.  ``_prod_rows > 0`` marks a KPI month.
+    """
+    prod = F.col(S.TYPE) == S.TYPE_PRODUCT
+    ret = F.col(S.TYPE) == S.TYPE_RETURN
+
+    def when(cond, c):
+        return F.when(cond, F.col(c) if isinstance(c, str) else c)
+
+    groups = (
+        fact.filter(F.col(month_col).isNotNull())
+        .groupBy(month_col, S.INVOICE, S.CUSTOMER, S.ORDER_DATE)
+        .agg(
+            F.count(when(prod, F.lit(1))).alias("_p_rows"),
+            F.sum(when(prod, "net_gmv")).alias("_p_net"),
+            F.sum(when(prod, S.QUANTITY)).alias("_p_units"),
+            F.sum(when(prod, money(S.UNIT_PRICE))).alias("_p_price"),
+            F.count(when(ret, F.lit(1))).alias("_r_rows"),
+            F.sum(when(ret, "return_value")).alias("_r_value"),
+            F.sum(when(ret, "abs_quantity")).alias("_r_units"),
+            F.max(S.INVOICE_DATE).alias("_g_max_ts"),
+        )
+    )
+    has_prod = F.col("_p_rows") > 0
+    ident = F.col(S.CUSTOMER).isNotNull()
+    return groups.groupBy(month_col).agg(
+        F.sum("_p_rows").alias("_prod_rows"),
+        F.sum("_p_net").alias("_net"),
+        F.countDistinct(when(has_prod, S.INVOICE)).alias("_orders"),
+        F.countDistinct(when(has_prod, S.CUSTOMER)).alias("_customers"),
+        F.sum("_p_units").alias("_units"),
+        F.sum("_p_price").alias("_price_sum"),
+        F.sum("_p_rows").alias("_price_n"),  # UnitPrice is never null after cleaning
+        F.countDistinct(when(has_prod, S.ORDER_DATE)).alias("_days"),
+        F.coalesce(F.sum(when(ident, "_p_rows")), F.lit(0)).alias("_id_rows"),
+        F.countDistinct(when(has_prod & ident, S.INVOICE)).alias("_id_orders"),
+        F.sum(when(ident, "_p_net")).alias("_id_net"),
+        F.sum("_r_rows").alias("_ret_rows"),
+        F.sum("_r_value").alias("_ret_value"),
+        F.sum("_r_units").alias("_ret_units"),
+        F.max("_g_max_ts").alias("_max_ts"),
+    )
+
+
+def partial_flag(facts: DataFrame, month_col: str = S.MONTH) -> Column:
+    """``is_partial_month`` over a ``month_facts`` frame (window over months):
+    only the dataset's last month, and only when its latest timestamp falls
+    before the month's last day."""
+    last = F.max(month_col).over(Window.partitionBy())
+    return (F.col(month_col) == last) & (F.to_date("_max_ts") < F.last_day(month_col))
+
+
 def product_month_core(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
     """Per month over PRODUCT lines: sales, distinct orders / customers / days,
     units and the unweighted mean unit price."""
@@ -125,43 +186,42 @@ def month_bounds(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
     return per_month.select(month_col, partial.alias("is_partial_month"))
 
 
-def monthly_kpis(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
+def monthly_kpis(
+    fact: DataFrame, month_col: str = S.MONTH, facts: DataFrame | None = None, ns=(20, 50)
+) -> DataFrame:
     """The 17-column monthly KPI table, one row per month with PRODUCT lines.
 
     Months holding only returns are not KPI months.  ``return_rate`` is
     |returns| / (sales + |returns|); ``net_gmv`` is product sales before
-    returns.
+    returns.  Two scans of the fact lines: ``month_facts`` (pass it in to
+    share it) and the SKU-month aggregate behind coverage and HHI.
     """
-    core = product_month_core(fact, month_col)
-    ret = return_month(fact, month_col)
-    conc = sku_concentration(fact, month_col, (20, 50))
-    bounds = month_bounds(fact, month_col)
-    # All right sides have one row per month: bounded by the month count.
-    df = (
-        core.join(F.broadcast(ret), month_col, "left")
-        .join(F.broadcast(conc), month_col, "left")
-        .join(F.broadcast(bounds), month_col, "left")
-    )
-    rv = F.coalesce(F.col("return_value"), F.lit(0.0))
-    total = F.col("net_gmv") + F.abs(rv)
+    facts = facts if facts is not None else month_facts(fact, month_col)
+    facts = facts.select("*", partial_flag(facts, month_col).alias("is_partial_month"))
+    facts = facts.filter(F.col("_prod_rows") > 0)
+    conc = sku_concentration(fact, month_col, ns)
+    # One row per month on the right: bounded by the month count.
+    df = facts.join(F.broadcast(conc), month_col, "left")
+    net = as_double("_net")
+    rv = F.coalesce(as_double("_ret_value"), F.lit(0.0))
+    total = net + F.abs(rv)
     return df.select(
         F.col(month_col),
-        "net_gmv",
-        "order",
-        "customer",
-        "unit_sold",
-        "avg_unit_price",
-        "active_order_days",
+        net.alias("net_gmv"),
+        F.col("_orders").alias("order"),
+        F.col("_customers").alias("customer"),
+        F.col("_units").alias("unit_sold"),
+        (as_double("_price_sum") / F.col("_price_n")).alias("avg_unit_price"),
+        F.col("_days").alias("active_order_days"),
         rv.alias("return_value"),
-        F.coalesce(F.col("return_unit"), F.lit(0)).cast("bigint").alias("return_unit"),
+        F.coalesce(F.col("_ret_units"), F.lit(0)).cast("bigint").alias("return_unit"),
         F.when(total > 0, F.abs(rv) / total).otherwise(F.lit(0.0)).alias("return_rate"),
-        "top20_coverage",
-        "top50_coverage",
+        *[F.col(f"top{n}_coverage") for n in ns],
         "hhi",
         days_in_month(month_col).alias("calendar_days_in_month"),
-        F.coalesce(F.col("is_partial_month"), F.lit(False)).alias("is_partial_month"),
-        safe_ratio("net_gmv", "active_order_days").alias("net_gmv_per_active_day"),
-        F.col("net_gmv").alias("product_sales_before_returns"),
+        F.col("is_partial_month"),
+        safe_ratio(net, "_days").alias("net_gmv_per_active_day"),
+        net.alias("product_sales_before_returns"),
     )
 
 
