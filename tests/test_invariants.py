@@ -18,7 +18,7 @@ def tables(spark):
 
     fact = clean_lines(retail_lines(spark, SF))
     t = build_tables(fact)
-    out = {k: [r.asDict() for r in v.collect()] for k, v in t.items()}
+    out = {k: [r.asDict() for r in v.collect()] for k, v in t.items() if not k.startswith("_")}
     gross = fact.filter("type = 'RETURN' AND month IS NOT NULL").groupBy("month").agg(
         F.sum(F.abs("return_value")).cast("double").alias("gross"))
     out["gross_returns"] = [r.asDict() for r in gross.collect()]

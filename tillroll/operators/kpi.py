@@ -36,57 +36,64 @@ def hhi_expr(sum_sq, total):
     return F.round(F.when(t > 0, F.col(sum_sq) / (t * t)).otherwise(F.lit(0.0)), HHI_DECIMALS)
 
 
-def month_facts(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
-    """One aggregate per dated month over all fact lines, holding everything
-    the month-level tables need: PRODUCT totals and distinct counts (all and
-    identified-only), RETURN totals and the latest timestamp of any line.
-
-    Two levels: lines first collapse to (month, invoice, customer, day)
-    groups -- a balanced shuffle, combined map-side -- and the month level
-    then counts distinct invoices, customers and days over those groups
-    instead of expanding every line once per distinct count.  The KPI and
-    coverage tables both read this frame; Catalyst drops the aggregates a
-    caller does not select.  ``_prod_rows > 0`` marks a KPI month.
+def month_facts(fact: DataFrame, month_col: str = S.MONTH, cust: DataFrame | None = None) -> DataFrame:
+    """One row per dated month holding everything the month-level tables
+    need: PRODUCT totals and distinct counts (all and identified-only),
+    RETURN totals and the latest timestamp of any line.
+
+    No multi-distinct ``Expand``: lines first collapse to (month, invoice)
+    groups -- a balanced shuffle, combined map-side -- so distinct orders
+    become counts of groups and every sum rolls up from the groups.  Distinct
+    customers are the rows of the customer-month aggregate (pass ``cust`` to
+    share it) and distinct days a small single-distinct aggregate.  Catalyst
+    drops what a caller does not select.  ``_prod_rows > 0`` marks a KPI
+    month.
     """
+    from tillroll.operators.customer import customer_month_sales
+
     prod = F.col(S.TYPE) == S.TYPE_PRODUCT
     ret = F.col(S.TYPE) == S.TYPE_RETURN
+    ident = prod & F.col(S.CUSTOMER).isNotNull()
 
     def when(cond, c):
         return F.when(cond, F.col(c) if isinstance(c, str) else c)
 
-    groups = (
-        fact.filter(F.col(month_col).isNotNull())
-        .groupBy(month_col, S.INVOICE, S.CUSTOMER, S.ORDER_DATE)
-        .agg(
-            F.count(when(prod, F.lit(1))).alias("_p_rows"),
-            F.sum(when(prod, "net_gmv")).alias("_p_net"),
-            F.sum(when(prod, S.QUANTITY)).alias("_p_units"),
-            F.sum(when(prod, money(S.UNIT_PRICE))).alias("_p_price"),
-            F.count(when(ret, F.lit(1))).alias("_r_rows"),
-            F.sum(when(ret, "return_value")).alias("_r_value"),
-            F.sum(when(ret, "abs_quantity")).alias("_r_units"),
-            F.max(S.INVOICE_DATE).alias("_g_max_ts"),
-        )
+    dated = fact.filter(F.col(month_col).isNotNull())
+    invoices = dated.groupBy(month_col, S.INVOICE).agg(
+        F.count(when(prod, F.lit(1))).alias("_p_rows"),
+        F.sum(when(prod, "net_gmv")).alias("_p_net"),
+        F.sum(when(prod, S.QUANTITY)).alias("_p_units"),
+        F.sum(when(prod, money(S.UNIT_PRICE))).alias("_p_price"),
+        F.count(when(ident, F.lit(1))).alias("_i_rows"),
+        F.sum(when(ident, "net_gmv")).alias("_i_net"),
+        F.count(when(ret, F.lit(1))).alias("_r_rows"),
+        F.sum(when(ret, "return_value")).alias("_r_value"),
+        F.sum(when(ret, "abs_quantity")).alias("_r_units"),
+        F.max(S.INVOICE_DATE).alias("_g_max_ts"),
     )
-    has_prod = F.col("_p_rows") > 0
-    ident = F.col(S.CUSTOMER).isNotNull()
-    return groups.groupBy(month_col).agg(
+    months = invoices.groupBy(month_col).agg(
         F.sum("_p_rows").alias("_prod_rows"),
         F.sum("_p_net").alias("_net"),
-        F.countDistinct(when(has_prod, S.INVOICE)).alias("_orders"),
-        F.countDistinct(when(has_prod, S.CUSTOMER)).alias("_customers"),
+        F.count(when(F.col("_p_rows") > 0, F.lit(1))).alias("_orders"),
         F.sum("_p_units").alias("_units"),
         F.sum("_p_price").alias("_price_sum"),
         F.sum("_p_rows").alias("_price_n"),  # UnitPrice is never null after cleaning
-        F.countDistinct(when(has_prod, S.ORDER_DATE)).alias("_days"),
-        F.coalesce(F.sum(when(ident, "_p_rows")), F.lit(0)).alias("_id_rows"),
-        F.countDistinct(when(has_prod & ident, S.INVOICE)).alias("_id_orders"),
-        F.sum(when(ident, "_p_net")).alias("_id_net"),
+        F.sum("_i_rows").alias("_id_rows"),
+        F.count(when(F.col("_i_rows") > 0, F.lit(1))).alias("_id_orders"),
+        F.sum("_i_net").alias("_id_net"),
         F.sum("_r_rows").alias("_ret_rows"),
         F.sum("_r_value").alias("_ret_value"),
         F.sum("_r_units").alias("_ret_units"),
         F.max("_g_max_ts").alias("_max_ts"),
     )
+    days = dated.filter(prod).groupBy(month_col).agg(F.countDistinct(S.ORDER_DATE).alias("_days"))
+    cust = cust if cust is not None else customer_month_sales(fact, month_col)
+    customers = cust.groupBy(month_col).agg(F.count(F.lit(1)).alias("_customers"))
+    # One row per month on each side: bounded by the month count.
+    out = months.join(F.broadcast(days), month_col, "left").join(F.broadcast(customers), month_col, "left")
+    return out.withColumn("_days", F.coalesce("_days", F.lit(0))).withColumn(
+        "_customers", F.coalesce("_customers", F.lit(0))
+    )
 
 
 def partial_flag(facts: DataFrame, month_col: str = S.MONTH) -> Column:
