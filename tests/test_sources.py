@@ -44,3 +44,21 @@ def test_save_table_roundtrip(spark):
     save_table(df, f"{d}/c", fmt="csv")
     assert sorted(map(tuple, spark.read.parquet(f"{d}/p").collect())) == [(1, "a"), (2, "b")]
     assert spark.read.option("header", True).csv(f"{d}/c").count() == 2
+
+
+def test_cli_job_and_read_back(spark):
+    import datetime as dt
+
+    from tillroll.__main__ import main
+    from tillroll.sources.sinks import read_table_back
+
+    d = tempfile.mkdtemp(prefix="tillroll-cli-")
+    p = os.path.join(d, "retail.csv")
+    with open(p, "w") as fh:
+        fh.write(CSV)
+        fh.write("536370,22728,ALARM CLOCK BAKELIKE PINK,24,1/4/2011 8:45,3.75,12583,France\n")
+    main(["--csv", p, "--out", f"{d}/out", "--out-format", "csv"])
+    kpi = read_table_back(spark, f"{d}/out/kpi_monthly", fmt="csv")
+    got = sorted((r.month, r.is_partial_month) for r in kpi.collect())
+    assert got == [(dt.date(2010, 12, 1), False), (dt.date(2011, 1, 1), True)]
+    assert read_table_back(spark, f"{d}/out/report_snapshot", fmt="csv").count() == 1

@@ -1,4 +1,5 @@
 from tillroll.functions.columns import (  # noqa: F401
+    as_bool,
     as_double,
     change_or_null,
     days_in_month,

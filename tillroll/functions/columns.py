@@ -32,6 +32,12 @@ def money(c, scale: int = S.MONEY_SCALE) -> Column:
     return _col(c).cast(f"decimal(18,{scale})")
 
 
+def as_bool(c) -> Column:
+    """Boolean from a boolean or text column: true iff its text is 'true' in
+    any letter case (``True`` as pandas writes it, ``true`` as Spark does)."""
+    return F.coalesce(F.lower(_col(c).cast("string")) == "true", F.lit(False))
+
+
 def as_double(c) -> Column:
     return _col(c).cast("double")
 

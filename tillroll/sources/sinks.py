@@ -27,3 +27,22 @@ def save_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None
         writer.parquet(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
+
+
+def read_table_back(spark, path: str, fmt: str = "parquet"):
+    """Read a table written by ``save_table``.  CSV columns come back as text
+    except that month-like columns become DATE and ``is_partial_month``
+    BOOLEAN (accepting ``True``/``true``)."""
+    from pyspark.sql import functions as F
+
+    from tillroll.functions.columns import as_bool
+
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    for c in df.columns:
+        if c in ("month", "month_start", "retention_month", "partial_month"):
+            df = df.withColumn(c, F.to_date(F.concat(F.substring(c, 1, 7), F.lit("-01"))))
+        elif c == "is_partial_month":
+            df = df.withColumn(c, as_bool(c))
+    return df
