@@ -102,3 +102,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "return_rate" in df.columns
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_sql_views(spark):
+    from tillroll.plans.pipeline import register_views
+
+    fact = clean_lines(retail_lines(spark, SF))
+    names = register_views(spark, build_tables(fact, cache_small=False), prefix="t_")
+    assert "t_kpi_monthly" in names and "t__month_facts" not in names
+    n = spark.sql('SELECT count(*) AS n FROM t_kpi_monthly k JOIN t_dim_month d USING (month)').first().n
+    assert n == spark.table("t_kpi_monthly").count() > 0

@@ -146,6 +146,17 @@ def run_pipeline(
     return outputs
 
 
+def register_views(spark, tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Expose tables (e.g. ``run_pipeline`` output) as temp views for
+    ``spark.sql``; returns the view names.  Intermediates (``_``) are skipped."""
+    names = []
+    for name, df in tables.items():
+        if not name.startswith("_"):
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+    return names
+
+
 class _Clock:
     def __init__(self, out: dict | None):
         self.out, self.t = out, time.perf_counter()

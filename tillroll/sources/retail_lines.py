@@ -58,7 +58,14 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     stock = _case(
         h,
         {0: "AMAZONFEE", 1: "cruk", 2: "BANK CHARGES", 3: "m", 4: " D ", 5: F.lit(None).cast("string")},
-        F.concat(F.lit("P"), F.lpad(F.col("l_partkey").cast("string"), 6, "0")),
+        # Zero-padded to 6 digits; longer keys are kept whole (lpad alone
+        # would cut them to 6 characters and merge different parts).
+        F.concat(
+            F.lit("P"),
+            F.when(F.col("l_partkey") < 1000000, F.lpad(F.col("l_partkey").cast("string"), 6, "0")).otherwise(
+                F.col("l_partkey").cast("string")
+            ),
+        ),
     )
     qty = (
         F.when(h == 20, F.lit(0.0))
