@@ -120,6 +120,7 @@ def run_pipeline(
         fact = write_and_read(fact, "fact_lines")
     clock.lap("fact_lines")
     tables = build_tables(fact, **table_args)
+    clock.lap("plan")
     shared = [n for n in tables if n.startswith("_")]
     outputs = {n: df for n, df in tables.items() if not n.startswith("_")}
     if out_dir:
