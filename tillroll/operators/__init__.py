@@ -35,3 +35,8 @@ from tillroll.operators.report import (  # noqa: F401
     return_watchlist,
 )
 from tillroll.operators.returns import top_return_skus  # noqa: F401
+
+# Names the original pandas job used, for code that calls them directly.
+clean_data = clean_lines
+build_customer_health_monthly = customer_health_monthly
+build_dim_month = dim_month

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tillroll import schema as S
 from tillroll.functions.columns import as_double
 from tillroll.operators.clean import return_lines
-from tillroll.operators.ranking import top_n
+from tillroll.operators.ranking import top_n as limit_per_group
 
 
-def top_return_skus(fact: DataFrame, month_col: str = S.MONTH, n: int = 10) -> DataFrame:
-    """Per month, the ``n`` (StockCode, Description) groups with the largest
+def top_return_skus(fact: DataFrame, month_col: str = S.MONTH, top_n: int = 10) -> DataFrame:
+    """Per month, the ``top_n`` (StockCode, Description) groups with the largest
     |sum of return value|; a null Description is a group of its own.
 
     Ties rank by StockCode, then Description (nulls last).  The top-N cut is
@@ -24,7 +24,7 @@ def top_return_skus(fact: DataFrame, month_col: str = S.MONTH, n: int = 10) -> D
     )
     r = r.withColumn("_burden", F.abs("_rv"))
     order = [F.desc("_burden"), F.asc(S.STOCK), F.asc_nulls_last(S.DESCRIPTION)]
-    best = top_n(r, [month_col], order, n, "rank")
+    best = limit_per_group(r, [month_col], order, top_n, "rank")
     return best.select(
         month_col,
         S.STOCK,

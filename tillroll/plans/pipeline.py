@@ -67,7 +67,7 @@ def build_tables(
     coverage = small(ops.customer_id_coverage(fact, facts=facts))
     repeat = small(ops.retention(fact, cust=cust, facts=facts))
     conc = small(ops.customer_concentration(fact, n=concentration_n, cust=cust))
-    top_returns = small(ops.top_return_skus(fact, n=top_returns_n))
+    top_returns = small(ops.top_return_skus(fact, top_n=top_returns_n))
     health = small(ops.customer_health_monthly(coverage, repeat, conc))
     tables = {
         "_customer_month": cust,
