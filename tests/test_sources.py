@@ -62,3 +62,17 @@ def test_cli_job_and_read_back(spark):
     got = sorted((r.month, r.is_partial_month) for r in kpi.collect())
     assert got == [(dt.date(2010, 12, 1), False), (dt.date(2011, 1, 1), True)]
     assert read_table_back(spark, f"{d}/out/report_snapshot", fmt="csv").count() == 1
+
+
+def test_size_shuffles_only_raises(spark):
+    from tillroll.session import input_bytes, size_shuffles
+
+    df = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    n = input_bytes(df)
+    assert n == os.path.getsize("/root/testdata/sf0.01/lineitem.parquet")
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert size_shuffles(spark, n) == before  # small input: unchanged
+    try:
+        assert size_shuffles(spark, 100 << 40) == 200_000  # 100 TiB: capped
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))

@@ -16,7 +16,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tillroll.plans.pipeline import run_pipeline
-from tillroll.session import configure
+from tillroll.session import configure, input_bytes, size_shuffles
 from tillroll.sources.csv import load_csv
 from tillroll.sources.retail_lines import retail_lines
 
@@ -44,7 +44,8 @@ def main(argv=None) -> None:
         raw = spark.read.parquet(args.parquet)
     else:
         raw = retail_lines(spark, args.tables)
-    timings: dict = {}
+    partitions = size_shuffles(spark, input_bytes(raw))
+    timings: dict = {"shuffle_partitions": partitions}
     run_pipeline(
         raw,
         out_dir=args.out,
