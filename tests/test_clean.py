@@ -80,3 +80,27 @@ def test_python_strip_set_matches_isspace():
     assert all(chr(c).isspace() for c in S.PY_WHITESPACE_CODEPOINTS)
     assert sum(1 for c in range(0x110000) if chr(c).isspace()) == len(S.PY_WHITESPACE)
     assert not math.isnan(0.0)
+
+
+def test_classification_random_against_python(fact):
+    import random
+
+    from test_bruteforce import _classify
+
+    rnd = random.Random(11)
+    ws = ["", " ", "\t", "　", "\xa0", " ", "\x1c", "\n"]
+    parts = ["amazonfee", "AmazonFee", "cruk", "bank charges", "m", "M", "d", "D", "P12", "c", "C1", "mx"]
+    words = ["amazon fee", "Cruk commission", "BANK CHARGES", "manual", "disCount", "postage", "samples",
+             "mug", "cake", "", None]
+    data, expected = [], {}
+    for i in range(600):
+        inv = rnd.choice(ws) + rnd.choice(["c", "C", "", "x"]) + str(i) + rnd.choice(ws)
+        stock = rnd.choice(ws) + rnd.choice(parts) + rnd.choice(ws)
+        desc = rnd.choice(words)
+        if desc is not None and rnd.random() < 0.5:
+            desc = "the " + desc + " item"
+        qty = rnd.choice([-2, 0, 3])
+        data.append(line(inv=inv, stock=stock, desc=desc, qty=qty))
+        expected[inv] = _classify(inv, stock, desc, qty)
+    got = dict(rows(fact(data), S.INVOICE, S.TYPE))
+    assert got == expected
