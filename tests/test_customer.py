@@ -62,3 +62,10 @@ def test_coverage_values(fact):
     assert r["total_product_rows"] == 3 and r["identified_product_rows"] == 2
     assert r["total_product_orders"] == 2 and r["identified_product_orders"] == 1
     assert r["identified_sales_coverage"] == 0.5 and r["identified_order_coverage"] == 0.5
+
+
+def test_customer_rank_ties_by_id(fact):
+    f = fact([line(inv=str(c), cust=c, qty=1, price=5.0) for c in (9, 3, 7)] + [line(inv="x", cust=1, qty=3, price=5.0)])
+    assert rows(ops.customer_month_rank(f), "CustomerID", "rank", order=["rank"]) == [(1, 1), (3, 2), (7, 3), (9, 4)]
+    r = ops.customer_concentration(f, n=2).collect()[0]
+    assert r.top2_share == pytest.approx(20.0 / 30.0)

@@ -141,3 +141,15 @@ def _ops():
         "retention": ops.retention,
         "cohort": ops.cohort_table,
     }
+
+
+def test_return_ties_stock_then_description_nulls_last(fact):
+    data = [
+        line(inv="c1", stock="B", desc="X", qty=-1, price=2.0),
+        line(inv="c2", stock="A", desc=None, qty=-1, price=2.0),
+        line(inv="c3", stock="A", desc="Z", qty=-1, price=2.0),
+        line(inv="c4", stock="A", desc="Y", qty=-2, price=1.0),
+        line(inv="c5", stock="C", desc="W", qty=-1, price=1.0),
+    ]
+    got = rows(ops.top_return_skus(fact(data), top_n=4), "StockCode", "Description", "rank", order=["rank"])
+    assert got == [("A", "Y", 1), ("A", "Z", 2), ("A", None, 3), ("B", "X", 4)]

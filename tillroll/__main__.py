@@ -49,6 +49,9 @@ def main(argv=None) -> None:
     run_pipeline(
         raw,
         out_dir=args.out,
+        # Raw parquet is cheap to re-read and cleaning is map-only, so the
+        # cleaned lines are written first only for CSV or joined sources.
+        materialize=not args.parquet,
         fmt=args.out_format,
         timings=timings,
         concentration_n=args.concentration_n,
