@@ -76,3 +76,19 @@ def test_size_shuffles_only_raises(spark):
         assert size_shuffles(spark, 100 << 40) == 200_000  # 100 TiB: capped
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
+def test_pipeline_cleans_up_intermediate(spark):
+    import glob
+
+    from tillroll.plans.materialize import checkpoint_dir
+    from tillroll.plans.pipeline import PUBLISHED, REPORT, run_pipeline
+    from tillroll.sources.retail_lines import retail_lines
+
+    root = checkpoint_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{root}/tables/fact_lines-*"))
+    d = tempfile.mkdtemp(prefix="tillroll-job-")
+    out = run_pipeline(retail_lines(spark, "/root/testdata/sf0.001"), out_dir=d)
+    assert set(out) == set(PUBLISHED) | set(REPORT)
+    assert set(glob.glob(f"{root}/tables/fact_lines-*")) == before
+    assert out["kpi_monthly"].count() == spark.read.parquet(f"{d}/kpi_monthly").count() > 0

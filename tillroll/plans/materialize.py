@@ -35,15 +35,28 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def write_and_read(df: DataFrame, name: str, partition_by=None) -> DataFrame:
+def table_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for an intermediate table under the checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def write_and_read(df: DataFrame, name: str, partition_by=None, path: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Later reads prune columns and (with ``partition_by``) partitions.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = path or table_path(spark, name)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete an intermediate folder (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 
 from tillroll import operators as ops
 from tillroll.operators.clean import clean_lines
-from tillroll.plans.materialize import write_and_read
-from tillroll.sources.sinks import save_table
+from tillroll.plans.materialize import drop_path, table_path, write_and_read
+from tillroll.sources.sinks import read_table_back, save_table
 
 PUBLISHED = [
     "kpi_monthly",
@@ -109,15 +109,20 @@ def run_pipeline(
     **table_args,
 ) -> dict[str, DataFrame]:
     """Clean ``raw``, build every table, and (with ``out_dir``) write each to
-    ``out_dir/<name>`` sorted by month.  Returns the table DataFrames.
+    ``out_dir/<name>`` sorted by month.  Returns the table DataFrames (read
+    back from ``out_dir`` when given; the intermediate fact lines are then
+    deleted).
 
     Independent month-grain jobs are submitted from ``parallel_jobs`` threads
     so small jobs share the cluster instead of running one after another.
     """
     clock = _Clock(timings)
+    spark = raw.sparkSession
     fact = clean_lines(raw)
+    fact_path = None
     if materialize:
-        fact = write_and_read(fact, "fact_lines")
+        fact_path = table_path(spark, "fact_lines")
+        fact = write_and_read(fact, "fact_lines", path=fact_path)
     clock.lap("fact_lines")
     tables = build_tables(fact, **table_args)
     clock.lap("plan")
@@ -144,6 +149,13 @@ def run_pipeline(
             clock.lap("base_tables")
             list(pool.map(write, rest))
             clock.lap("derived_tables")
+        # The outputs are written: hand back those tables, release the
+        # caches and delete the intermediate copy of the fact lines.
+        outputs = {n: read_table_back(spark, f"{out_dir}/{n}", fmt) for n in outputs}
+        for name in tables:
+            tables[name].unpersist()
+        if fact_path:
+            drop_path(spark, fact_path)
     return outputs
 
 
