@@ -33,6 +33,20 @@ def test_auto_picks_window_for_small_groups(spark):
     assert sorted(map(tuple, out.collect())) == [(1, 2.0, 2), (1, 3.0, 1)]
 
 
+def test_auto_counts_groups_when_estimate_is_large(spark):
+    from tillroll.operators.ranking import MAX_BYTES_CONF, estimated_bytes
+
+    df = spark.createDataFrame([(i % 2, float(i)) for i in range(50)], "k int, v double")
+    assert estimated_bytes(df) > 0
+    spark.conf.set(MAX_BYTES_CONF, "0")
+    try:
+        small = rank_all(df, ["k"], [F.desc("v")], strategy="auto", max_group_rows=5)  # groups of 25 -> range
+        big = rank_all(df, ["k"], [F.desc("v")], strategy="auto", max_group_rows=100)  # -> window
+        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    finally:
+        spark.conf.unset(MAX_BYTES_CONF)
+
+
 def test_top_n_uses_group_limit(spark):
     df = spark.createDataFrame([(i % 3, float(i)) for i in range(100)], "k int, v double")
     out = ops.top_n(df, ["k"], [F.desc("v")], 2)

@@ -9,7 +9,8 @@ map task cross the network however large a group is.
 group in one task, which is fine while groups are small; for large groups the
 ``range`` strategy ranks in parallel: range-partition on (group, order), number
 rows inside each slice, and add the row counts of the earlier slices of the
-same group.  ``auto`` measures the largest group and picks one.
+same group.  ``auto`` takes the window when Catalyst's size estimate of the
+whole input is small, else counts the largest group and picks one.
 """
 
 from __future__ import annotations
@@ -24,6 +25,14 @@ from tillroll.plans.materialize import reliable_checkpoint
 STRATEGY_CONF = "tillroll.rank.strategy"
 MAX_GROUP_CONF = "tillroll.rank.windowMaxGroupRows"
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
+MAX_BYTES_CONF = "tillroll.rank.windowMaxBytes"
+DEFAULT_MAX_BYTES = 256 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (an upper bound without statistics;
+    no job runs)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _cols(cols) -> list[Column]:
@@ -94,9 +103,14 @@ def rank_all(
     spark = df.sparkSession
     strategy = strategy or spark.conf.get(STRATEGY_CONF, "auto")
     if strategy == "auto":
-        limit = max_group_rows or int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-        largest = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
-        strategy = "window" if largest <= limit else "range"
+        # Free check first: if the whole input is estimated to fit one task,
+        # no group can be too big.  Otherwise count the largest group.
+        if estimated_bytes(df) <= int(spark.conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES))):
+            strategy = "window"
+        else:
+            limit = max_group_rows or int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+            largest = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
+            strategy = "window" if largest <= limit else "range"
     if strategy == "window":
         return _window_rank(df, group_cols, order_cols, rank_col)
     if strategy == "range":
