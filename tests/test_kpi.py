@@ -153,3 +153,9 @@ def test_return_ties_stock_then_description_nulls_last(fact):
     ]
     got = rows(ops.top_return_skus(fact(data), top_n=4), "StockCode", "Description", "rank", order=["rank"])
     assert got == [("A", "Y", 1), ("A", "Z", 2), ("A", None, 3), ("B", "X", 4)]
+
+
+def test_kpi_column_order(fact):
+    from tillroll.operators.kpi import KPI_COLUMNS
+
+    assert ops.monthly_kpis(fact([line()])).columns == KPI_COLUMNS

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillroll import schema as S
 from tillroll.functions.columns import as_double, check_freq, period_label, period_ordinal, period_start, safe_ratio
 from tillroll.operators.clean import product_lines
-from tillroll.operators.kpi import hhi_expr, month_facts
+from tillroll.operators.kpi import _totals_and_squares, hhi_expr, month_facts
 from tillroll.operators.ranking import rank_all, top_n
 
 
@@ -124,8 +124,7 @@ def customer_concentration(
     """``top{n}_share`` of identified sales and customer HHI, per month that
     has identified customers."""
     cr = cust if cust is not None else customer_month_sales(fact, month_col)
-    x = as_double("cust_gmv")
-    totals = cr.groupBy(month_col).agg(F.sum("cust_gmv").alias("_total"), F.sum(x * x).alias("_sq"))
+    totals = _totals_and_squares(cr, month_col, "cust_gmv")
     best = top_n(cr, [month_col], _customer_order(), n, "_rank")
     tops = best.groupBy(month_col).agg(F.sum("cust_gmv").alias("_top"))
     joined = totals.join(tops, month_col, "left")

@@ -142,6 +142,12 @@ def sku_month_rank(fact: DataFrame, month_col: str = S.MONTH, strategy: str | No
     return ranked.select(month_col, S.STOCK, as_double("net_gmv").alias("net_gmv"), "rank")
 
 
+def _totals_and_squares(sku: DataFrame, month_col: str, value: str = "net_gmv") -> DataFrame:
+    """Per month: exact total and sum of squares (double) of per-item sales."""
+    x = as_double(value)
+    return sku.groupBy(month_col).agg(F.sum(value).alias("_total"), F.sum(x * x).alias("_sq"))
+
+
 def sku_concentration(fact: DataFrame, month_col: str = S.MONTH, ns=(20, 50)) -> DataFrame:
     """``top{n}_coverage`` for each n in ``ns`` plus ``hhi`` from one SKU-month frame.
 
@@ -150,8 +156,7 @@ def sku_concentration(fact: DataFrame, month_col: str = S.MONTH, ns=(20, 50)) ->
     reuses the shared SKU-month exchange for both branches.
     """
     sku = sku_month(fact, month_col)
-    x = as_double("net_gmv")
-    totals = sku.groupBy(month_col).agg(F.sum("net_gmv").alias("_total"), F.sum(x * x).alias("_sq"))
+    totals = _totals_and_squares(sku, month_col)
     best = top_n(sku, [month_col], _sku_order(), max(ns), "_rank")
     tops = best.groupBy(month_col).agg(
         *[F.sum(F.when(F.col("_rank") <= n, F.col("net_gmv"))).alias(f"_top{n}") for n in ns]
@@ -172,9 +177,7 @@ def topn_coverage(fact: DataFrame, month_col: str = S.MONTH, n: int = 50) -> Dat
 
 def sku_hhi(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
     """Herfindahl index of SKU sales shares per month (0..1)."""
-    sku = sku_month(fact, month_col)
-    x = as_double("net_gmv")
-    totals = sku.groupBy(month_col).agg(F.sum("net_gmv").alias("_total"), F.sum(x * x).alias("_sq"))
+    totals = _totals_and_squares(sku_month(fact, month_col), month_col)
     return totals.select(month_col, hhi_expr("_sq", "_total").alias("hhi"))
 
 
@@ -200,8 +203,8 @@ def monthly_kpis(
 
     Months holding only returns are not KPI months.  ``return_rate`` is
     |returns| / (sales + |returns|); ``net_gmv`` is product sales before
-    returns.  Two scans of the fact lines: ``month_facts`` (pass it in to
-    share it) and the SKU-month aggregate behind coverage and HHI.
+    returns.  Reads ``month_facts`` (pass it in to share it) and the
+    SKU-month aggregate behind coverage and HHI.
     """
     facts = facts if facts is not None else month_facts(fact, month_col)
     facts = facts.select("*", partial_flag(facts, month_col).alias("is_partial_month"))
