@@ -21,17 +21,22 @@ def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> Spa
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tillroll") -> SparkSession:
-    """A local session for tests and benchmarks (UI off)."""
-    spark = (
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tillroll", event_log_dir: str | None = None
+) -> SparkSession:
+    """A local session for tests and benchmarks (UI off; optional event log
+    for stage and task times)."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .getOrCreate()
     )
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark, shuffle_partitions)
 
