@@ -139,7 +139,9 @@ def run_pipeline(
             tables[name].count()
 
         def write(name):
-            save_table(outputs[name], f"{out_dir}/{name}", fmt, sort_by=SORT_KEYS.get(name, ["month"]))
+            # Month-grain outputs (rows bounded by months x top-N): one sorted file.
+            save_table(outputs[name], f"{out_dir}/{name}", fmt, sort_by=SORT_KEYS.get(name, ["month"]),
+                       single_file=True)
 
         with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
             for name in shared:  # in order: later ones read earlier ones

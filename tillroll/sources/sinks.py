@@ -10,13 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def save_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None, sort_by=None) -> None:
+def save_table(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by=None, sort_by=None, single_file: bool = False
+) -> None:
     """Overwrite ``path`` with ``df`` (parquet by default, or headed CSV).
 
-    ``sort_by`` orders rows in the written files; use it only for the small
-    month-grain outputs (it is a global sort).
+    ``sort_by`` orders the rows: a global sort, or with ``single_file`` one
+    sorted file written by one task -- only for outputs whose size is bounded
+    independently of the data (the month-grain tables: months x top-N rows).
     """
-    if sort_by:
+    if single_file:
+        df = df.coalesce(1)
+        if sort_by:
+            df = df.sortWithinPartitions(*sort_by)
+    elif sort_by:
         df = df.orderBy(*sort_by)
     writer = df.write.mode("overwrite")
     if partition_by:
