@@ -10,7 +10,6 @@ first time they are asked for, and later requests read that table back
 
 from __future__ import annotations
 
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +22,20 @@ _lock = threading.Lock()
 _tables: dict[tuple[str, str, tuple], DataFrame] = {}
 
 
-def _signature(sf_dir: str) -> tuple:
-    names = sorted(n for n in os.listdir(sf_dir) if n.endswith(".parquet"))
-    return tuple((n, os.stat(os.path.join(sf_dir, n)).st_mtime_ns) for n in names)
+def _signature(spark: SparkSession, sf_dir: str) -> tuple:
+    """(name, size, modification time) of the directory's entries, listed via
+    the Hadoop file system so any cluster path works."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((st.getPath().getName(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(path)))
 
 
 def fact_lines(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """Cleaned fact lines of ``sf_dir`` (written once per session)."""
     if not materialize:
         return clean_lines(retail_lines(spark, sf_dir))
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _signature(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _signature(spark, sf_dir))
     with _lock:
         if key not in _tables:
             _tables[key] = write_and_read(clean_lines(retail_lines(spark, sf_dir)), "fact_lines")
