@@ -159,3 +159,28 @@ def test_kpi_column_order(fact):
     from tillroll.operators.kpi import KPI_COLUMNS
 
     assert ops.monthly_kpis(fact([line()])).columns == KPI_COLUMNS
+
+
+def test_month_col_parameter_is_honoured(fact):
+    import random
+
+    random.seed(3)
+    data = [line(inv=f"{'c' if i % 9 == 0 else ''}{i // 2}", stock=f"S{i % 7}", qty=random.choice([1, 2, -1]),
+                 cust=random.choice([None, 1, 2, 3]), date=random.choice(["2011-01-04", "2011-02-05", "2011-03-02"]))
+            for i in range(60)]
+    f = fact(data)
+    g = f.withColumnRenamed("month", "period")
+    pairs = [
+        (ops.monthly_kpis(f), ops.monthly_kpis(g, month_col="period")),
+        (ops.customer_id_coverage(f), ops.customer_id_coverage(g, month_col="period")),
+        (ops.retention(f), ops.retention(g, month_col="period")),
+        (ops.customer_concentration(f, n=2), ops.customer_concentration(g, month_col="period", n=2)),
+        (ops.cohort_table(f, freq="Q"), ops.cohort_table(g, month_col="period", freq="Q")),
+        (ops.top_return_skus(f), ops.top_return_skus(g, month_col="period")),
+        (ops.sku_month_rank(f), ops.sku_month_rank(g, month_col="period")),
+    ]
+    for a, b in pairs:
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    kpi_g = ops.monthly_kpis(g, month_col="period")
+    assert rows(ops.mom_variance(kpi_g, month_col="period"), "net_gmv_mom", order=["period"])[0] == (None,)
+    assert ops.latest_full_month(kpi_g, month_col="period").count() == 1
