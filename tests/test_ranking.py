@@ -54,3 +54,14 @@ def test_top_n_uses_group_limit(spark):
     assert sorted(map(tuple, out.collect())) == sorted(
         [(0, 99.0, 1), (0, 96.0, 2), (1, 97.0, 1), (1, 94.0, 2), (2, 98.0, 1), (2, 95.0, 2)])
     assert "WindowGroupLimit" in plan or "AdaptiveSparkPlan" in plan
+
+
+def test_top_n_above_group_limit_threshold(spark):
+    df = spark.createDataFrame([(i % 3, float(i)) for i in range(60)], "k int, v double")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+    try:
+        big = sorted(map(tuple, ops.top_n(df, ["k"], [F.desc("v")], 5).collect()))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    small = sorted(map(tuple, ops.top_n(df, ["k"], [F.desc("v")], 5).collect()))
+    assert big == small and len(big) == 15

@@ -39,8 +39,20 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def top_n(df: DataFrame, group_cols, order_cols, n: int, rank_col: str = "rank") -> DataFrame:
-    """Rows ranked 1..n within each group; ``rank_col`` is BIGINT."""
+    """Rows ranked 1..n within each group; ``rank_col`` is BIGINT.
+
+    Up to Spark's group-limit threshold (1000 by default) the cut runs map-side
+    before the shuffle.  Beyond it Spark would move whole groups to one task,
+    so larger ``n`` ranks through ``rank_all`` (size-checked) and filters.
+    """
+    threshold = int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000"))
+    if n > threshold:
+        ranked = rank_all(df, [c for c in group_cols], order_cols, rank_col)
+        return ranked.filter(F.col(rank_col) <= n)
     w = Window.partitionBy(*_cols(group_cols)).orderBy(*_cols(order_cols))
     return (
         df.withColumn(rank_col, F.row_number().over(w))
