@@ -92,3 +92,16 @@ def test_pipeline_cleans_up_intermediate(spark):
     assert set(out) == set(PUBLISHED) | set(REPORT)
     assert set(glob.glob(f"{root}/tables/fact_lines-*")) == before
     assert out["kpi_monthly"].count() == spark.read.parquet(f"{d}/kpi_monthly").count() > 0
+
+
+def test_cli_on_raw_parquet(spark):
+    from tillroll.__main__ import main
+    from tillroll.sources.retail_lines import retail_lines
+
+    d = tempfile.mkdtemp(prefix="tillroll-cli-pq-")
+    retail_lines(spark, "/root/testdata/sf0.001").write.parquet(f"{d}/raw")
+    main(["--parquet", f"{d}/raw", "--out", f"{d}/out", "--cohort-freq", "Y", "--concentration-n", "5"])
+    conc = spark.read.parquet(f"{d}/out/customer_concentration")
+    assert "top5_share" in conc.columns and conc.count() > 0
+    assert spark.read.parquet(f"{d}/out/cohort_table").filter("length(cohort_month) = 4").count() > 0
+    assert spark.read.parquet(f"{d}/out/report_snapshot").columns[8] == "top5_share"

@@ -20,3 +20,20 @@ def test_stream_ingest_matches_batch_cleaning(spark):
     a = sorted(map(tuple, got.select(*cols).collect()), key=repr)
     b = sorted(map(tuple, clean_lines(raw).collect()), key=repr)
     assert a == b and len(a) > 5000
+
+
+def test_stream_csv_ingest(spark):
+    from test_sources import CSV
+
+    base = tempfile.mkdtemp(prefix="tillroll-stream-csv-")
+    src, sink, ckpt = (os.path.join(base, n) for n in ("in", "out", "ckpt"))
+    os.makedirs(src)
+    with open(os.path.join(src, "day1.csv"), "w") as fh:
+        fh.write(CSV)
+    q = stream_fact_lines(spark, src, sink, ckpt, fmt="csv", trigger_available_now=True)
+    q.awaitTermination(120)
+    got = {r.StockCode: r for r in spark.read.parquet(sink).collect()}
+    # Null price, null invoice and 'nan' price lines are dropped by cleaning.
+    assert set(got) == {"85123A", "D", "22633"}
+    assert got["D"].type == "DISCOUNT" and got["85123A"].type == "PRODUCT"
+    assert str(got["85123A"].month) == "2010-12-01"
