@@ -44,12 +44,21 @@ REPORT = [
 ]
 
 
+def shared_aggregates(fact: DataFrame, cache: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The customer-month and month aggregates that several tables read."""
+    cust = ops.customer_month_sales(fact)
+    cust = cust.cache() if cache else cust
+    facts = ops.month_facts(fact, cust=cust)
+    return cust, (facts.cache() if cache else facts)
+
+
 def build_tables(
     fact: DataFrame,
     concentration_n: int = 10,
     top_returns_n: int = 10,
     cohort_freq: str = "M",
     cache_small: bool = True,
+    shared: tuple[DataFrame, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """All published tables and report frames from fact lines (lazy).
 
@@ -61,8 +70,7 @@ def build_tables(
 
     # Shared intermediates: one month aggregate and one customer-month
     # aggregate feed several tables each.
-    cust = small(ops.customer_month_sales(fact))
-    facts = small(ops.month_facts(fact, cust=cust))
+    cust, facts = shared if shared is not None else shared_aggregates(fact, cache=cache_small)
     kpi = small(ops.monthly_kpis(fact, facts=facts))
     coverage = small(ops.customer_id_coverage(fact, facts=facts))
     repeat = small(ops.retention(fact, cust=cust, facts=facts))
@@ -114,7 +122,8 @@ def run_pipeline(
     deleted).
 
     Independent month-grain jobs are submitted from ``parallel_jobs`` threads
-    so small jobs share the cluster instead of running one after another.
+    so small jobs share the cluster instead of running one after another;
+    the shared caches fill while the remaining plans are being built.
     """
     clock = _Clock(timings)
     spark = raw.sparkSession
@@ -124,40 +133,42 @@ def run_pipeline(
         fact_path = table_path(spark, "fact_lines")
         fact = write_and_read(fact, "fact_lines", path=fact_path)
     clock.lap("fact_lines")
-    tables = build_tables(fact, **table_args)
+    if not out_dir:
+        tables = build_tables(fact, **table_args)
+        return {n: df for n, df in tables.items() if not n.startswith("_")}
+    pool = ThreadPoolExecutor(max_workers=max(2, parallel_jobs))
+    # Fill the shared caches on a worker while this thread builds the other
+    # plans (plan building is driver-side work that needs no cluster).
+    cust, facts = shared_aggregates(fact)
+    filled = pool.submit(lambda: (cust.count(), facts.count()))
+    tables = build_tables(fact, shared=(cust, facts), **table_args)
     clock.lap("plan")
-    shared = [n for n in tables if n.startswith("_")]
+    filled.result()
+    clock.lap("shared_aggregates")
     outputs = {n: df for n, df in tables.items() if not n.startswith("_")}
-    if out_dir:
-        # Waves: shared aggregates, then the tables the report frames read
-        # (cached), then everything else.  Jobs of one wave run concurrently.
-        second = ["kpi_monthly", "customer_id_coverage", "customer_repeat_rate", "customer_concentration",
-                  "top_return_skus", "cohort_table"]
-        rest = [n for n in outputs if n not in second]
-
-        def fill(name):
-            tables[name].count()
-
-        def write(name):
-            # Month-grain outputs (rows bounded by months x top-N): one sorted file.
-            save_table(outputs[name], f"{out_dir}/{name}", fmt, sort_by=SORT_KEYS.get(name, ["month"]),
-                       single_file=True)
-
-        with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
-            for name in shared:  # in order: later ones read earlier ones
-                fill(name)
-                clock.lap(f"shared{name}")
-            list(pool.map(write, second))
-            clock.lap("base_tables")
-            list(pool.map(write, rest))
-            clock.lap("derived_tables")
-        # The outputs are written: hand back those tables, release the
-        # caches and delete the intermediate copy of the fact lines.
-        outputs = {n: read_table_back(spark, f"{out_dir}/{n}", fmt) for n in outputs}
-        for name in tables:
-            tables[name].unpersist()
-        if fact_path:
-            drop_path(spark, fact_path)
+    second = ["kpi_monthly", "customer_id_coverage", "customer_repeat_rate", "customer_concentration",
+              "top_return_skus", "cohort_table"]
+    rest = [n for n in outputs if n not in second]
+
+    def write(name):
+        # Month-grain outputs (rows bounded by months x top-N): one sorted file.
+        save_table(outputs[name], f"{out_dir}/{name}", fmt, sort_by=SORT_KEYS.get(name, ["month"]),
+                   single_file=True)
+
+    # Waves of concurrent jobs: the tables the report frames read (cached),
+    # then everything else.
+    with pool:
+        list(pool.map(write, second))
+        clock.lap("base_tables")
+        list(pool.map(write, rest))
+        clock.lap("derived_tables")
+    # The outputs are written: hand back those tables, release the caches
+    # and delete the intermediate copy of the fact lines.
+    outputs = {n: read_table_back(spark, f"{out_dir}/{n}", fmt) for n in outputs}
+    for df in tables.values():
+        df.unpersist()
+    if fact_path:
+        drop_path(spark, fact_path)
     return outputs
 
 
