@@ -1,6 +1,6 @@
 """Run the monthly monitoring job.
 
-    python -m tillroll --csv data/online_retail.csv --out outputs/tables
+    python -m tillroll --csv data/transactions.csv --out out/tables
     python -m tillroll --tables /root/testdata/sf0.1 --out /tmp/out --out-format csv
 
 Reads raw transaction lines (a headed CSV file/folder, a parquet folder with
