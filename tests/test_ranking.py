@@ -65,3 +65,16 @@ def test_top_n_above_group_limit_threshold(spark):
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     small = sorted(map(tuple, ops.top_n(df, ["k"], [F.desc("v")], 5).collect()))
     assert big == small and len(big) == 15
+
+
+def test_range_rank_with_one_hot_group(spark):
+    # One month holds ~95% of the rows: its rank sequence spans many slices.
+    hot = [(dt.date(2011, 1, 1), f"S{i:05d}", float(i % 50)) for i in range(4000)]
+    cold = [(dt.date(2011, 2 + i % 3, 1), f"S{i:05d}", float(i)) for i in range(200)]
+    df = spark.createDataFrame(hot + cold, "month date, sku string, g double").repartition(13)
+    order = [F.desc("g"), F.asc("sku")]
+    w = sorted(map(tuple, rank_all(df, ["month"], order, strategy="window").collect()))
+    r = sorted(map(tuple, rank_all(df, ["month"], order, strategy="range").collect()))
+    assert w == r
+    hot_ranks = sorted(x[-1] for x in r if x[0] == dt.date(2011, 1, 1))
+    assert hot_ranks == list(range(1, 4001))
