@@ -145,3 +145,26 @@ def test_pipeline_outputs_equal_registered_queries(spark):
         a, b = out[table], qs[query](spark, SF)
         assert a.columns == b.columns, table
         assert norm(a.collect()) == norm(b.collect()), table
+
+
+def test_results_do_not_depend_on_session_settings(spark):
+    from tillroll import operators as ops
+
+    fact = clean_lines(retail_lines(spark, SF))
+
+    def snapshot():
+        return {
+            "kpi": sorted(map(tuple, ops.monthly_kpis(fact).collect())),
+            "cohort": sorted(map(tuple, ops.cohort_table(fact, freq="Q").collect())),
+            "returns": sorted(map(tuple, ops.top_return_skus(fact).collect()), key=repr),
+        }
+
+    base = snapshot()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")}
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert snapshot() == base
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
