@@ -37,6 +37,11 @@ def main(argv=None) -> None:
 
     spark = SparkSession.builder.appName("tillroll").getOrCreate()
     configure(spark)
+    sc = spark.sparkContext
+    if sc.master.startswith("local") and not sc.getConf().contains("spark.sql.shuffle.partitions"):
+        # Local run without an explicit setting: start from the core count
+        # (size_shuffles below still raises it for large inputs).
+        spark.conf.set("spark.sql.shuffle.partitions", str(2 * sc.defaultParallelism))
     if args.csv:
         kw = {"date_formats": tuple(args.date_format)} if args.date_format else {}
         raw = load_csv(spark, args.csv, **kw)
