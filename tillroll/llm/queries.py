@@ -13,10 +13,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import read_table
+from tillroll.llm import bpe, langid, packing, rule_ensemble, token_count
+from tillroll.llm.common import held_out, read_table, vocabulary
 from tillroll.llm.risk_rules import quality_rules
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    return bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.language_id(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, _ = rule_ensemble.quality_classifier(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, _ = quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return judged.select(
@@ -25,6 +56,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op7_language_id": op7_language_id,
+    "op8_token_counts": op8_token_counts,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
 
