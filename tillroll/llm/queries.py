@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, langid, packing, rule_ensemble, token_count
+from tillroll.llm import bpe, langid, ngram_join, packing, rule_ensemble, token_count
 from tillroll.llm.common import held_out, read_table, vocabulary
 from tillroll.llm.risk_rules import quality_rules
 
@@ -32,6 +32,10 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.language_id(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
@@ -58,6 +62,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
