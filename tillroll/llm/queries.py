@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, langid, ngram_join, packing, rule_ensemble, token_count
+from tillroll.llm import bpe, langid, ngram_join, packing, repeats, rule_ensemble, token_count
 from tillroll.llm.common import held_out, read_table, vocabulary
 from tillroll.llm.risk_rules import quality_rules
 
@@ -32,6 +32,13 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(read_table(spark, sf_dir, "documents"), length=50)
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
 
@@ -62,6 +69,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_token_counts": op8_token_counts,
