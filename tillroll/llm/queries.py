@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, langid, ngram_join, packing, repeats, rule_ensemble, token_count
+from tillroll.llm import bpe, langid, ngram_join, packing, repeats, rule_ensemble, sketch, token_count
 from tillroll.llm.common import held_out, read_table, vocabulary
 from tillroll.llm.risk_rules import quality_rules
 
@@ -39,6 +39,19 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketch.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        sketch.fingerprint(F.col("sketch")).alias("fingerprint"),
+        sketch.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
 
@@ -70,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_token_counts": op8_token_counts,
