@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 
 from tillroll.llm.common import file_bytes, map_documents
 
-#: Chunks whose ids a worker keeps.
-CACHE = 1_000_000
+#: Chunks whose ids a worker keeps (some 30 MB).
+CACHE = 150_000
 #: Unicode white space, as the pre-tokenizer's pattern sees it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Fixed value: the pre-tokenizer's pattern.

@@ -427,3 +427,22 @@ def jaccard_components(
     return classes.join(named, "set_hash", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def keep_representatives(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its component.
+
+    Rows that share a doc_id are one document: the one with the smallest text
+    stays.  Rows with a null doc_id are in no group and stay."""
+    groups = jaccard_components(docs, words, percent)
+    lost = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(lost, "doc_id", "left_anti")
+    repeated = write_and_read(
+        docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "join_repeated"
+    )
+    if repeated.isEmpty():
+        return kept
+    rest = [c for c in docs.columns if c != "doc_id"]
+    first = F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("row")
+    one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(first)
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(one.select("doc_id", *[f"row.{c}" for c in rest]))

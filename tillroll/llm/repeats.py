@@ -260,6 +260,13 @@ def _ordered(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.sort_values(["doc_id", "text"], kind="stable", na_position="last").reset_index(drop=True)
 
 
+def _texts(docs: DataFrame, blocks: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with their block.  Ids travel as text, which keeps nulls and large
+    ids whole; rows without an id are dealt by their text."""
+    block = F.pmod(F.coalesce(F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")), F.xxhash64("text")), F.lit(blocks))
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", block.cast("long").alias("block"), *carry)
+
+
 _PASSAGES = "target int, block int, known boolean, docs binary, lengths binary, data binary, occurs binary"
 
 
@@ -443,32 +450,43 @@ def _bucket_spans(length: int):
 # --- pass 3: cut the spans out ----------------------------------------------
 
 
-def _cut_spans(texts: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
-    texts = _ordered(texts)
-    found = [np.frombuffer(x, np.int32).reshape(-1, 3) for x in spans["spans"]]
-    found = np.concatenate(found) if found else np.empty((0, 3), np.int32)
-    found = found[np.argsort(found[:, 0], kind="stable")]
-    cuts = np.searchsorted(found[:, 0], np.arange(len(texts) + 1))
-    rows = []
-    for row, (doc_id, text) in enumerate(zip(texts["doc_id"], texts["text"])):
-        data = _bytes_of(text)
-        own = found[cuts[row] : cuts[row + 1]]
-        if not len(own):
-            rows.append((doc_id, len(data), 0, 0, data.tobytes()))
-            continue
-        step = np.zeros(len(data) + 2, dtype=np.int64)
-        np.add.at(step, own[:, 1] + 1, 1)
-        np.add.at(step, own[:, 2] + 1, -1)
-        lost = np.cumsum(step)[: len(data) + 1] > 0  # one place before the text
-        runs = int((lost[1:] & ~lost[:-1]).sum())
-        rows.append((doc_id, len(data), int(lost.sum()), runs, data[~lost[1:]].tobytes()))
-    out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-    return out.astype({"doc_id": "Int64"})
-
-
-def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+def _cut_spans(carry: tuple[str, ...], as_text: bool):
+    def cut(texts: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
+        texts = _ordered(texts)
+        found = [np.frombuffer(x, np.int32).reshape(-1, 3) for x in spans["spans"]]
+        found = np.concatenate(found) if found else np.empty((0, 3), np.int32)
+        found = found[np.argsort(found[:, 0], kind="stable")]
+        cuts = np.searchsorted(found[:, 0], np.arange(len(texts) + 1))
+        rows = []
+        for row, text in enumerate(texts["text"]):
+            data = _bytes_of(text)
+            own = found[cuts[row] : cuts[row + 1]]
+            if not len(own):
+                rows.append((len(data), 0, 0, data.tobytes()))
+                continue
+            step = np.zeros(len(data) + 2, dtype=np.int64)
+            np.add.at(step, own[:, 1] + 1, 1)
+            np.add.at(step, own[:, 2] + 1, -1)
+            lost = np.cumsum(step)[: len(data) + 1] > 0  # one place before the text
+            runs = int((lost[1:] & ~lost[:-1]).sum())
+            rows.append((len(data), int(lost.sum()), runs, data[~lost[1:]].tobytes()))
+        out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
+        if as_text:
+            out["kept"] = out["kept"].map(lambda b: b.decode("utf-8", "ignore"))
+        for c in ("doc_id", *carry):
+            out[c] = texts[c]
+        return out[["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *carry]]
+
+    return cut
+
+
+def remove_repeats(
+    docs: DataFrame, length: int = 50, carry: tuple[str, ...] = (), as_text: bool = False
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): ``kept`` holds the
-    remaining bytes of every row of ``docs``."""
+    remaining bytes of every row of ``docs``, or with ``as_text`` the
+    characters that are still whole.  ``carry`` names text columns that come
+    along."""
     if length <= ANCHOR or length % STEP:
         raise ValueError(f"length must exceed {ANCHOR} and be a multiple of {STEP}")
     spark = docs.sparkSession
@@ -476,18 +494,28 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     blocks = max(16, (size["b"] or 0) // BLOCK_BYTES)
     buckets = max(16, (size["b"] or 0) // BUCKET_BYTES)
     hot_count = max(HOT_LEAST, int(size["n"] * HOT_SHARE))
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("long").alias("block")
-    texts = docs.select("doc_id", "text", block)
-    rows = _anchor_rows(texts.where("doc_id is not null"), length, buckets)
+    rows = _anchor_rows(_texts(docs, blocks).where("doc_id is not null"), length, buckets)
     shared = write_and_read(_shared_anchors(rows, hot_count), "shared_anchors")
     hot = [np.frombuffer(r["codes"], np.uint64) for r in shared.where("block = -1").collect()]
     hot_list = spark.sparkContext.broadcast(np.unique(np.concatenate(hot)) if hot else np.empty(0, np.uint64))
-    by_block = texts.groupBy("block")
-    found = by_block.cogroup(shared.where("block >= 0").groupBy("block")).applyInPandas(
+    found = _texts(docs, blocks).groupBy("block").cogroup(shared.where("block >= 0").groupBy("block")).applyInPandas(
         _block_passages(length, buckets, hot_list), _PASSAGES
     )
     spans = found.groupBy("target").applyInPandas(_bucket_spans(length), "block long, spans binary")
     spans = write_and_read(spans, "lost_spans")
-    return by_block.cogroup(spans.groupBy("block")).applyInPandas(
-        _cut_spans, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    texts = _texts(docs, blocks, carry).groupBy("block")
+    carried = "".join(f", {c} string" for c in carry)
+    cut = texts.cogroup(spans.groupBy("block")).applyInPandas(
+        _cut_spans(carry, as_text),
+        f"doc_id string, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}{carried}",
     )
+    return cut.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def remove_from_documents(docs: DataFrame, length: int = 50) -> DataFrame:
+    """``docs`` (doc_id, text, lang, source, n_chars) with the repeated bytes
+    gone from ``text`` and ``n_chars`` counted anew.  A character that loses
+    one of its bytes goes as a whole; a null text becomes empty."""
+    cut = remove_repeats(docs, length, ("lang", "source"), as_text=True)
+    out = cut.select("doc_id", F.col("kept").alias("text"), "lang", "source")
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -157,14 +157,29 @@ def training_rows(counts: DataFrame, labels: DataFrame, max_rows: int) -> DataFr
     return counts.join(known, "doc_id")
 
 
-def quality_classifier(
-    docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, cutoff: float = 0.7
-) -> tuple[DataFrame, RuleModel]:
+def fit_quality(counts: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> RuleModel:
+    """Fit on the labelled training rows of a written table of counts."""
+    return fit_rules(write_and_read(training_rows(counts, labels, max_rows), "quality_sample"))
+
+
+def judge(counts: DataFrame, model: RuleModel, cutoff: float = 0.7) -> DataFrame:
+    """Adds ``held_out``, ``score`` and ``predicted``."""
+    scored = counts.withColumn("held_out", held_out()).withColumn("score", model.score())
+    return scored.withColumn("predicted", (F.col("score") >= cutoff).cast("int"))
+
+
+def quality_classifier(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> tuple[DataFrame, RuleModel]:
     """``held_out``, ``score`` and ``predicted`` of every document, and the
     model.  The counts are written once to the checkpoint folder; fitting and
     scoring read them."""
     counts = write_and_read(text_counts(docs), "quality_counts")
-    sample = write_and_read(training_rows(counts, labels, max_rows), "quality_sample")
-    model = fit_rules(sample)
-    scored = counts.withColumn("held_out", held_out()).withColumn("score", model.score())
-    return scored.withColumn("predicted", (F.col("score") >= cutoff).cast("int")), model
+    model = fit_quality(counts, labels, max_rows)
+    return judge(counts, model), model
+
+
+def keep_predicted(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> DataFrame:
+    """The rows of ``docs`` (all columns) that the classifier predicts as 1.
+    Only counts are written in between; the texts pass once more to be judged
+    and kept in one step, without a join."""
+    _, model = quality_classifier(docs, labels, max_rows)
+    return judge(text_counts(docs, tuple(docs.columns)), model).where("predicted = 1").select(*docs.columns)

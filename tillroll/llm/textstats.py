@@ -120,7 +120,7 @@ def text_counts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
         got = _count_slice(cols)
         return {c: got[c] for c in schema.names}
 
-    return map_documents(docs, count, schema, [*keep, "text"])
+    return map_documents(docs, count, schema, list(dict.fromkeys([*keep, "text"])))
 
 
 def _share(part: str, whole: str) -> Column:

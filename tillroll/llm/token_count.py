@@ -34,8 +34,9 @@ from tillroll.llm.common import map_documents
 MARK = "▁"  # stands for a space inside the model
 #: Longest stretch of a word that is one chunk.
 BLOCK = 256
-#: Chunks whose counts a worker keeps.
-CACHE = 1_000_000
+#: Chunks whose counts, and states that, a worker keeps.
+CACHE = 300_000
+MOST_STATES = 200_000
 
 State = tuple  # (open suffix, ((last token or None, relative count) or None, ...))
 START: State = ("", ((None, 0),))
@@ -71,11 +72,14 @@ class Transducer:
         self.prefix = vocabulary.prefix
         self.pieces = {p for p in self.scores if len(p) > 1 and self.merge(p) == [p]}
         self.grows = {p[:i] for p in self.pieces for i in range(1, len(p) + 1)}
+        self._clear()
+        self.apart: dict[tuple[str, str], bool] = {}
+        self.counts = _ChunkCounts(self)
+
+    def _clear(self) -> None:
         self.states: list[State] = [START]
         self.numbers: dict[State, int] = {START: 0}
         self.arcs: list[dict[str, tuple[int, int]]] = [{}]
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.counts = _ChunkCounts(self)
 
     def merge(self, word: str) -> list[str]:
         """Plain BPE of a short string, used only to compile arcs."""
@@ -161,6 +165,8 @@ class Transducer:
 
     def count_chunk(self, chunk: str) -> int:
         """Tokens of a chunk that starts at a boundary."""
+        if len(self.states) > MOST_STATES:
+            self._clear()
         if len(chunk) <= BLOCK:
             return self.run(chunk)[1]
         blocks = [chunk[i : i + BLOCK] for i in range(0, len(chunk), BLOCK)]
