@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, langid, ngram_join, packing, repeats, rule_ensemble, sketch, token_count
+from tillroll.llm import bpe, langid, ngram_join, packing, repeats, rule_ensemble, sketch, token_count, wrapper
 from tillroll.llm.common import held_out, read_table, vocabulary
 from tillroll.llm.risk_rules import quality_rules
 
@@ -39,6 +39,11 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper.extract_pages(read_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sketch.fingerprint_edits(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_html_extraction": op4_html_extraction,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_language_id": op7_language_id,
