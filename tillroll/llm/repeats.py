@@ -283,10 +283,9 @@ def _block_passages(length: int, buckets: int, hot_list):
         entries: dict[int, dict[bytes, list]] = {}
         known: list[tuple[int, int, int]] = []
         texts = _ordered(texts)
-        for row, (doc_id, text) in enumerate(zip(texts["doc_id"], texts["text"])):
-            if pd.isna(doc_id):
-                continue
-            doc_id, raw = int(doc_id), text.encode("utf-8")
+        placed = [(int(d), row, t) for row, (d, t) in enumerate(zip(texts["doc_id"], texts["text"])) if not pd.isna(d)]
+        for doc_id, row, text in sorted(placed, key=lambda p: p[:2]):  # smaller documents first
+            raw = text.encode("utf-8")
             for start, end, code in passages(np.frombuffer(raw, np.uint8), ranked, hot, length, buckets):
                 bucket = entries.setdefault((code * _BASE >> 13) % buckets, {})
                 held = bucket.get(raw[start:end])
