@@ -1,0 +1,193 @@
+"""Classifier, language identification and risk-controlled rules."""
+
+import math
+import random
+import zlib
+
+import pytest
+from cases import documents, texts, words
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tillroll.llm import langid, risk_rules, rule_ensemble, textstats
+
+SYLLABLES = {
+    "en": "th ing er and on the tion re ed st".split(),
+    "de": "ung sch ein ich ver zu keit ü ä be".split(),
+    "fr": "é que eau oi ment è ou aux le tre".split(),
+}
+
+
+def corpus(n=240, seed=1):
+    """Clean and junk documents in three languages, and their labels."""
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        lang = ("en", "de", "fr")[i % 3]
+        word = lambda: "".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randrange(1, 4)))
+        body = [word() for _ in range(rng.randrange(30, 120))]
+        junk = i % 6 == 5
+        if junk:
+            body = [w + rng.choice(("###", "***", "$$$")) for w in body] if i % 4 else [body[0]] * len(body)
+        text = " ".join(body).capitalize() + "."
+        rows.append((i, text, lang, f"src{i % 4}", len(text)))
+        labels.append((i, 0 if junk else 1, 0))
+    return rows, labels
+
+
+def crc_fold(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=40), st.integers(2, 4))
+def test_repeated_words(found, window):
+    seen = {}
+    for i in range(len(found) - window + 1):
+        seen.setdefault(tuple(found[i : i + window]), []).append(i)
+    covered = {i + k for places in seen.values() if len(places) > 1 for i in places for k in range(window)}
+    assert textstats.repeated_words(found, window) == len(covered)
+    assert textstats._repeated_words_plain(found, window) == len(covered)
+
+
+def test_counts_of_documents(spark):
+    out = {r.doc_id: r for r in textstats.text_counts(documents(spark, clash=True)).collect()}
+    for doc_id, text, *_ in texts():
+        text, r = text or "", out[doc_id]
+        w = words(text)
+        lines = [x for x in text.split("\n") if words(x)]
+        assert (r.n_words, r.word_chars) == (len(w), sum(map(len, w)))
+        assert r.n_symbols == sum(text.count(c) for c in "#*$%&|<>")
+        assert r.n_dup_lines == len(lines) - len(set(lines))
+
+
+def test_binomial_bound_is_exact():
+    for n, k, p in ((10, 3, 0.4), (50, 0, 0.1), (30, 29, 0.9)):
+        direct = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+        assert risk_rules.binomial_cdf(k, n, p) == pytest.approx(direct)
+    assert risk_rules.upper_bound(0, 100, 0.05) == pytest.approx(1 - 0.05 ** (1 / 100))
+    assert risk_rules.upper_bound(5, 5, 0.05) == 1.0
+
+
+def test_cutoffs_respect_the_budget(spark):
+    rows, labels = corpus(3000)
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    judged, cutoffs = risk_rules.quality_rules(documents(spark, rows), labels, alpha=0.2, delta=0.1)
+    assert {c.stratum for c in cutoffs} == {"en", "de", "fr"}
+    for c in cutoffs:
+        assert c.bound <= 0.2 / len(risk_rules.RULED) + 1e-9
+        assert risk_rules.binomial_cdf(c.rejected, c.good, c.bound) <= 0.1 / (3 * len(risk_rules.RULED)) + 1e-9
+    out = {r.doc_id: r for r in judged.collect()}
+    good = [i for i in range(3000) if i % 6 != 5]
+    assert sum(not out[i].kept for i in good) <= 0.2 * len(good)
+    junk = [i for i in range(3000) if i % 6 == 5 and i % 4]
+    assert sum(out[i].kept for i in junk) == 0
+
+
+def test_cutoffs_need_evidence(spark):
+    """Few labelled documents certify nothing; the base rule still holds."""
+    rows = texts() + [(50, None, None, None, None)]
+    labels = spark.createDataFrame([(0, 1, 0), (0, 0, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    judged, cutoffs = risk_rules.quality_rules(documents(spark, rows, clash=True), labels)
+    assert cutoffs == []
+    for r in judged.collect():
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert r.kept == (not r.base_failed)
+    empty, _ = risk_rules.quality_rules(documents(spark, []), labels)
+    assert empty.count() == 0
+
+
+def test_language_of_held_out_documents(spark):
+    rows, _ = corpus()
+    docs = documents(spark, rows + [(900, None, "en", "s", 0), (901, "123 !?", "en", "s", 6), (902, "", None, "s", 0)])
+    out = {r.doc_id: r for r in langid.language_id(docs).collect()}
+    for doc_id, _, lang, *_ in rows:
+        if crc_fold(doc_id) == 2:
+            assert out[doc_id].lang_pred == lang and 0.5 < out[doc_id].score <= 1.0
+    assert [out[i].lang_pred for i in (900, 901, 902)] == ["und"] * 3 and out[900].score == 0.0
+
+
+def test_language_model_equals_counting(spark):
+    """Counts summed by Spark equal counts of all n-grams in one process."""
+    rows, _ = corpus(30)
+    got = {(r.lang, r.bucket): r.n for r in langid.count_grams(documents(spark, rows)).collect()}
+    want = {}
+    for _, text, lang, *_ in rows:
+        for grams in langid.gram_buckets(langid._code_points(text)):
+            for b in grams.tolist():
+                want[lang, b] = want.get((lang, b), 0) + 1
+    assert got == want
+
+
+def test_language_without_training_rows(spark):
+    rows = [(i, t, None, s, n) for i, t, _, s, n in texts()]
+    assert {r.lang_pred for r in langid.language_id(documents(spark, rows, clash=True)).collect()} == {"und"}
+    assert langid.language_id(documents(spark, [])).count() == 0
+
+
+def test_long_texts_are_scored_whole(monkeypatch):
+    text = "ab " * 500
+    whole = [b for g in langid.gram_buckets(langid._code_points(text)) for b in g.tolist()]
+    monkeypatch.setattr(langid, "CHUNK", 100)
+    parts = [b for p in langid._pieces(langid._code_points(text)) for g in langid.gram_buckets(p) for b in g.tolist()]
+    assert sorted(whole) == sorted(parts)
+
+
+def test_rules_from_printed_trees():
+    text = """RandomForestClassificationModel: uid=x
+  Tree 0 (weight 1.0):
+    If (feature 0 <= 0.5)
+     If (feature 1 <= 2.0)
+      Predict: 0.0
+     Else (feature 1 > 2.0)
+      If (feature 0 <= 0.25)
+       Predict: 1.0
+      Else (feature 0 > 0.25)
+       Predict: 0.0
+    Else (feature 0 > 0.5)
+     Predict: 1.0
+"""
+    assert rule_ensemble.tree_rules(text, ["a", "b"]) == {
+        (("a", "<=", 0.5),),
+        (("a", ">", 0.5),),
+        (("a", "<=", 0.5), ("b", "<=", 2.0)),
+        (("a", "<=", 0.5), ("b", ">", 2.0)),
+        (("a", "<=", 0.25), ("b", ">", 2.0)),
+        (("a", "<=", 0.5), ("a", ">", 0.25), ("b", ">", 2.0)),
+    }
+
+
+def test_classifier_on_held_out_documents(spark):
+    rows, labels = corpus()
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    scored, model = rule_ensemble.quality_classifier(documents(spark, rows, clash=True), table)
+    out = {r.doc_id: r for r in scored.collect()}
+    held = [(i, q) for i, q, _ in labels if crc_fold(i) == 2]
+    assert all(out[i].held_out for i, _ in held) and len(held) > 30
+    assert sum(out[i].predicted == q for i, q in held) >= 0.95 * len(held)
+    assert all(0.0 <= r.score <= 1.0 and r.predicted == int(r.score >= 0.7) for r in out.values())
+    # Compiled columns equal the rules evaluated one by one.
+    stats = textstats.text_counts(documents(spark, rows)).select(
+        "doc_id", *[c.alias(n) for n, c in textstats.statistics().items()]
+    )
+    for r in stats.limit(40).collect():
+        total = model.intercept + sum(w * math.log1p(r[n]) for n, w in model.linear)
+        for rule, w in model.weights:
+            total += w * all(r[n] <= t if op == "<=" else r[n] > t for n, op, t in rule)
+        assert out[r.doc_id].score == pytest.approx(1 / (1 + math.exp(-total)))
+
+
+def test_classifier_without_labels(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    scored, _ = rule_ensemble.quality_classifier(documents(spark, clash=True), none)
+    assert {round(r.score, 6) for r in scored.collect()} == {0.5}
+    kept = rule_ensemble.keep_predicted(documents(spark, []), none)
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and kept.count() == 0
+
+
+def test_fold_matches_zlib(spark):
+    from tillroll.llm.common import held_out
+
+    got = {r.id: r.h for r in spark.range(300).select("id", held_out("id").alias("h")).collect()}
+    assert got == {i: crc_fold(i) == 2 for i in range(300)}
+    assert spark.sql("select cast(null as bigint) as doc_id").select(held_out().alias("h")).first().h is False
