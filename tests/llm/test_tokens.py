@@ -33,9 +33,9 @@ def test_bpe_round_trip(byte_bpe, text):
 
 
 def test_pair_tree_merges_leftmost_lowest_rank():
-    merges = {(0, 0): (1, 1), (1, 0): (0, 2), (2, 0): (5, 3)}
-    assert bpe.PairTree([0, 0, 0, 0, 0], dict(merges)).run() == [2, 1]
-    assert bpe.PairTree([7, 8], dict(merges)).run() == [7, 8]
+    merges = {0 << 32 | 0: (1, 1), 1 << 32 | 0: (0, 2), 2 << 32 | 0: (5, 3)}
+    assert bpe.merge_pairs([0, 0, 0, 0, 0], merges) == [2, 1]
+    assert bpe.merge_pairs([7, 8], merges) == [7, 8]
 
 
 def test_encode_and_decode_documents(spark, byte_bpe):

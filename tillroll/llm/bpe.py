@@ -20,16 +20,19 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillroll.llm.common import file_bytes, map_documents
+from tillroll.llm.common import Kept, file_bytes, map_documents
 
-#: Chunks whose ids a worker keeps (some 30 MB).
-CACHE = 150_000
+#: Chunks whose ids a worker keeps (twice as many at most, some 200 bytes each).
+CACHE = 300_000
+#: Longer chunks and words are not kept.
+LONG = 64
 #: Unicode white space, as the pre-tokenizer's pattern sees it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Fixed value: the pre-tokenizer's pattern.
@@ -48,59 +51,66 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class PairTree:
-    """Segment tree over the adjacent pairs of a symbol sequence."""
-
-    def __init__(self, symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]):
-        n = len(symbols)
-        self.symbols, self.merges = symbols, merges
-        self.after = list(range(1, n)) + [-1]
-        self.before = list(range(-1, n - 1))
-        self.span = n  # a leaf holds rank * span + place
-        self.leaves = 1 << max(0, (n - 2).bit_length())
-        self.none = 1 << 62
-        tree = [self.none] * (2 * self.leaves)
-        for i in range(n - 1):
-            tree[self.leaves + i] = self._value(i, i + 1)
-        for i in range(self.leaves - 1, 0, -1):
-            tree[i] = min(tree[2 * i], tree[2 * i + 1])
-        self.tree = tree
-
-    def _value(self, left: int, right: int) -> int:
-        found = self.merges.get((self.symbols[left], self.symbols[right]))
-        return self.none if found is None else found[0] * self.span + left
-
-    def _update(self, place: int, value: int) -> None:
-        tree, i = self.tree, self.leaves + place
-        tree[i] = value
-        while i > 1:
-            i >>= 1
-            low, high = tree[2 * i], tree[2 * i + 1]
-            low = low if low < high else high
-            if tree[i] == low:
-                return
-            tree[i] = low
-
-    def run(self) -> list[int]:
-        """Merge until no pair is left; the remaining symbols in order."""
-        symbols, after, before = self.symbols, self.after, self.before
-        while (root := self.tree[1]) != self.none:
-            left = root % self.span
-            right = after[left]
-            symbols[left] = self.merges[(symbols[left], symbols[right])][1]
-            symbols[right] = -1
-            follow = after[right]
-            after[left] = follow
-            if right < self.span - 1:
-                self._update(right, self.none)
-            if follow >= 0:
-                before[follow] = left
-                self._update(left, self._value(left, follow))
-            else:
-                self._update(left, self.none)
-            if before[left] >= 0:
-                self._update(before[left], self._value(before[left], left))
-        return [s for s in symbols if s >= 0]
+#: Leaf of the segment tree without a mergeable pair.
+NONE = 1 << 62
+
+
+def merge_pairs(symbols: list[int], merges: dict[int, tuple[int, int]]) -> list[int]:
+    """Merge the leftmost pair of the lowest rank until no pair can merge.
+
+    ``merges`` maps left << 32 | right to (rank, merged symbol).  The tree's
+    leaf i holds rank * n + i of the pair that starts at symbol i, inner nodes
+    the smaller child, so the root tells rank and place of the next merge.
+    ``symbols`` is used up."""
+    n = len(symbols)
+    get = merges.get
+    leaves = 1 << (n - 2).bit_length()
+    tree = [NONE] * (2 * leaves)
+    some = False
+    for i in range(n - 1):
+        found = get(symbols[i] << 32 | symbols[i + 1])
+        if found is not None:
+            tree[leaves + i] = found[0] * n + i
+            some = True
+    if not some:
+        return symbols
+    for i in range(leaves - 1, 0, -1):
+        low, high = tree[2 * i], tree[2 * i + 1]
+        tree[i] = low if low < high else high
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    while (root := tree[1]) != NONE:
+        left = root % n
+        right = after[left]
+        merged = get(symbols[left] << 32 | symbols[right])[1]
+        symbols[left], symbols[right] = merged, -1
+        follow = after[left] = after[right]
+        changes = []
+        if right < n - 1:
+            changes.append((right, NONE))
+        value = NONE
+        if follow < n:
+            before[follow] = left
+            found = get(merged << 32 | symbols[follow])
+            if found is not None:
+                value = found[0] * n + left
+        changes.append((left, value))
+        back = before[left]
+        if back >= 0:
+            found = get(symbols[back] << 32 | merged)
+            changes.append((back, NONE if found is None else found[0] * n + back))
+        for place, value in changes:  # logarithmic point updates
+            i = leaves + place
+            if tree[i] == value:
+                continue
+            tree[i] = value
+            while i > 1:
+                other = tree[i ^ 1]
+                i >>= 1
+                low = value if value < other else other
+                if tree[i] == low:
+                    break
+                tree[i] = value = low
+    return [x for x in symbols if x >= 0]
 
 
 class ByteBPE:
@@ -112,27 +122,28 @@ class ByteBPE:
         alphabet = byte_alphabet()
         byte_of = {c: b for b, c in alphabet.items()}
         self.byte_ids = [vocab[alphabet[b]] for b in range(256)]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[int, tuple[int, int]] = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.merges.setdefault(vocab[a] << 32 | vocab[b], (rank, vocab[a + b]))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = {i: bytes(byte_of[c] for c in t) for t, i in vocab.items()}
         self.bytes_of.update({i: t.encode("utf-8") for t, i in self.special.items()})
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.plain = _ChunkIds(self, "")
-        self.spaced = _ChunkIds(self, " ")
+        self.words = Kept(self.encode_word, CACHE // 2)
+        self.plain = Kept(self.encode_chunk, CACHE // 8)
+        self.spaced = Kept(lambda chunk: self.encode_chunk(" " + chunk), CACHE)
 
-    def encode_word(self, word: str) -> list[int]:
+    def encode_word(self, word: str) -> bytes:
         """Ids of one pre-token, by the segment tree."""
         symbols = [self.byte_ids[b] for b in word.encode("utf-8")]
-        return PairTree(symbols, self.merges).run() if len(symbols) > 1 else symbols
+        if len(symbols) > 1:
+            symbols = merge_pairs(symbols, self.merges)
+        return struct.pack(f"<{len(symbols)}I", *symbols)
 
     def encode_chunk(self, chunk: str) -> bytes:
-        ids: list[int] = []
-        for word in _WORDS.findall(chunk):
-            ids += self.encode_word(word)
-        return np.array(ids, dtype="<u4").tobytes()
+        words = _WORDS.findall(chunk)
+        return b"".join([self.words[w] if len(w) <= LONG else self.encode_word(w) for w in words])
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text, little-endian unsigned 32-bit."""
@@ -148,8 +159,8 @@ class ByteBPE:
 
     def _encode_plain(self, text: str) -> bytes:
         words = text.split(" ")
-        if not all(words) or _SPACE_RUN.search(text):
-            return b"".join(map(self.plain.__getitem__, _CHUNKS.findall(text)))
+        if not all(words) or _SPACE_RUN.search(text) or max(map(len, words)) > LONG:
+            return b"".join([self.plain[c] if len(c) <= LONG else self.encode_chunk(c) for c in _CHUNKS.findall(text)])
         return self.plain[words[0]] + b"".join(map(self.spaced.__getitem__, words[1:]))
 
     def decode(self, ids: bytes | None) -> str:
@@ -157,22 +168,6 @@ class ByteBPE:
         return b"".join(map(self.bytes_of.__getitem__, numbers)).decode("utf-8", "replace")
 
 
-class _ChunkIds(dict):
-    """Ids of chunks with ``lead`` before them; emptied when full."""
-
-    def __init__(self, bpe: ByteBPE, lead: str):
-        super().__init__()
-        self.bpe, self.lead = bpe, lead
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        ids = self.bpe.encode_chunk(self.lead + chunk)
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
-
-
 _loaded: dict[int, ByteBPE] = {}
 
 
@@ -207,3 +202,18 @@ def decode(encoded: DataFrame, vocabulary_path: str, keep: tuple[str, ...] = ("d
         return {**{c: cols[c] for c in keep}, "decoded": [bpe.decode(x) for x in cols["ids"]]}
 
     return map_documents(encoded, run, schema, list(dict.fromkeys([*keep, "ids"])), text_col="ids")
+
+
+def round_trip(docs: DataFrame, vocabulary_path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns, ``ids`` and what they decode to, in one task per
+    partition (one Python worker instead of two)."""
+    data = docs.sparkSession.sparkContext.broadcast(file_bytes(vocabulary_path))
+    added = [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]
+    schema = T.StructType([docs.schema[c] for c in keep] + added)
+
+    def run(cols: dict) -> dict:
+        bpe = _bpe(data)
+        ids = [bpe.encode(x) for x in cols["text"]]
+        return {**{c: cols[c] for c in keep}, "ids": ids, "decoded": [bpe.decode(x) for x in ids]}
+
+    return map_documents(docs, run, schema, list(dict.fromkeys([*keep, "text"])))

@@ -7,7 +7,6 @@ megabytes of text at a time however long the table is.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -106,8 +105,24 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def digest(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+class Kept(dict):
+    """Values of ``compute`` by key, kept in two generations of ``size``: a
+    full one becomes the old one, and keys met again move back from it, so
+    frequent keys stay and memory is bounded."""
+
+    def __init__(self, compute: Callable, size: int):
+        super().__init__()
+        self.compute, self.size, self.old = compute, size, {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

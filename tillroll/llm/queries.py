@@ -23,8 +23,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary("byte_bpe_50k.json")
-    return bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path).select(
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import map_documents
+from tillroll.llm.common import Kept, map_documents
 
 MARK = "▁"  # stands for a space inside the model
 #: Longest stretch of a word that is one chunk.
 BLOCK = 256
-#: Chunks whose counts, and states that, a worker keeps.
+#: Words whose counts (twice as many at most), and states that, a worker keeps.
 CACHE = 300_000
 MOST_STATES = 200_000
 
@@ -74,7 +74,7 @@ class Transducer:
         self.grows = {p[:i] for p in self.pieces for i in range(1, len(p) + 1)}
         self._clear()
         self.apart: dict[tuple[str, str], bool] = {}
-        self.counts = _ChunkCounts(self)
+        self.counts = Kept(lambda word: self.count_chunk(MARK + word), CACHE)
 
     def _clear(self) -> None:
         self.states: list[State] = [START]
@@ -158,7 +158,7 @@ class Transducer:
             return 0
         if self.prefix and MARK not in text:
             words = text.split(" ")
-            if all(words):
+            if all(words) and max(map(len, words)) <= BLOCK:
                 return sum(map(self.counts.__getitem__, words))
         marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
         return sum(self.count_chunk(c) for c in _CHUNKS.findall(marked))
@@ -180,23 +180,6 @@ class Transducer:
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
-class _ChunkCounts(dict):
-    """Counts of chunks (a word with the space before it), computed on first
-    use; emptied when it holds ``CACHE`` of them."""
-
-    def __init__(self, transducer: Transducer):
-        super().__init__()
-        self.transducer = transducer
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        count = self.transducer.count_chunk(MARK + word)
-        if len(word) <= BLOCK:
-            self[word] = count
-        return count
-
-
 @dataclass
 class StateMap:
     """State map of consecutive blocks: constant (``fixed``) or by entry
