@@ -2,10 +2,11 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from conftest import rows
 
 from tillroll import schema as S
-from tillroll.sources.csv import load_csv
+from tillroll.sources.csv import load_csv, rejected_lines
 from tillroll.sources.sinks import save_table
 
 CSV = (
@@ -23,7 +24,7 @@ def test_csv_reader_types_quotes_and_null_tokens(spark):
     p = os.path.join(d, "retail.csv")
     with open(p, "w") as fh:
         fh.write(CSV)
-    df = load_csv(spark, p)
+    df = load_csv(spark, p, multiline=True)
     assert [f.dataType.simpleString() for f in df.schema.fields] == [
         "string", "string", "string", "bigint", "timestamp_ntz", "double", "bigint", "string"]
     got = {r[1]: r for r in rows(df)}
@@ -37,6 +38,56 @@ def test_csv_reader_types_quotes_and_null_tokens(spark):
     assert len(got) == 5
 
 
+HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country"
+
+
+def csv_file(*lines, header=HEADER):
+    p = os.path.join(tempfile.mkdtemp(prefix="tillroll-csv-"), "x.csv")
+    with open(p, "w") as fh:
+        fh.write("\n".join([header, *lines]) + "\n")
+    return p
+
+
+def test_csv_columns_by_name(spark):
+    p = csv_file("7,85123A,536365,WHITE,France,17850,2.55,6,12/1/2010 8:26",
+                 header="Id,StockCode,InvoiceNo,Description,Country,CustomerID,UnitPrice,Quantity,InvoiceDate")
+    assert rows(load_csv(spark, p)) == [
+        ("536365", "85123A", "WHITE", 6, dt.datetime(2010, 12, 1, 8, 26), 2.55, 17850, "France")]
+    with pytest.raises(ValueError, match="UnitPrice"):
+        load_csv(spark, csv_file("1,2", header="InvoiceNo,StockCode,Description,Quantity,InvoiceDate,CustomerID,Country"))
+
+
+def test_csv_files_of_one_folder_must_agree(spark):
+    p = csv_file("1,A,x,1,12/1/2010 8:26,1.0,,UK")
+    with open(os.path.join(os.path.dirname(p), "y.csv"), "w") as fh:
+        fh.write("StockCode,InvoiceNo,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\nA,1,x,1,,1.0,,UK\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_csv(spark, os.path.dirname(p)).collect()
+
+
+def test_csv_dates_and_large_ids(spark):
+    forms = {"12/1/2010 8:26": (8, 26, 0), "12/1/2010 8:26:30": (8, 26, 30), "2010-12-01T08:26:00": (8, 26, 0),
+             "2010-12-01 08:26:05": (8, 26, 5), "2010-12-01": (0, 0, 0)}
+    p = csv_file(*[f"1,A{i},x,{i + 1}.0,{d},1.5,{2**53 + i},UK" for i, d in enumerate(forms)])
+    got = {r[1]: r for r in rows(load_csv(spark, p))}
+    for i, time in enumerate(forms.values()):
+        assert got[f"A{i}"][3:7] == (i + 1, dt.datetime(2010, 12, 1, *time), 1.5, 2**53 + i)
+
+
+@pytest.mark.parametrize("line,column", [
+    ("1,A,x,2.5,12/1/2010 8:26,1.0,,UK", "Quantity"), ("1,A,x,2,first of May,1.0,,UK", "InvoiceDate"),
+    ("1,A,x,2,12/1/2010 8:26,cheap,,UK", "UnitPrice"), ("1,A,x,2,12/1/2010 8:26,1.0,17a,UK", "CustomerID"),
+    ("1,A,x,2", "row"), ('1,A,"x', "row"),
+])
+def test_csv_bad_lines_are_told_or_counted(spark, line, column):
+    p = csv_file("536365,85123A,WHITE,6,12/1/2010 8:26,2.55,17850,UK", line)
+    with pytest.raises(Exception, match="bad CSV line, column " + column):
+        load_csv(spark, p).collect()
+    kept = load_csv(spark, p, on_bad="reject")
+    assert [r[0] for r in rows(kept)] == ["536365"]
+    assert rows(rejected_lines(spark, p)) == [(column, 1)]
+
+
 def test_save_table_roundtrip(spark):
     d = tempfile.mkdtemp(prefix="tillroll-sink-")
     df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string")
@@ -57,7 +108,7 @@ def test_cli_job_and_read_back(spark):
     with open(p, "w") as fh:
         fh.write(CSV)
         fh.write("536370,22728,ALARM CLOCK BAKELIKE PINK,24,1/4/2011 8:45,3.75,12583,France\n")
-    main(["--csv", p, "--out", f"{d}/out", "--out-format", "csv"])
+    main(["--csv", p, "--csv-multiline", "--out", f"{d}/out", "--out-format", "csv"])
     kpi = read_table_back(spark, f"{d}/out/kpi_monthly", fmt="csv")
     got = sorted((r.month, r.is_partial_month) for r in kpi.collect())
     assert got == [(dt.date(2010, 12, 1), False), (dt.date(2011, 1, 1), True)]

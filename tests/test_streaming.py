@@ -30,7 +30,7 @@ def test_stream_csv_ingest(spark):
     os.makedirs(src)
     with open(os.path.join(src, "day1.csv"), "w") as fh:
         fh.write(CSV)
-    q = stream_fact_lines(spark, src, sink, ckpt, fmt="csv", trigger_available_now=True)
+    q = stream_fact_lines(spark, src, sink, ckpt, fmt="csv", trigger_available_now=True, multiline=True)
     q.awaitTermination(120)
     got = {r.StockCode: r for r in spark.read.parquet(sink).collect()}
     # Null price, null invoice and 'nan' price lines are dropped by cleaning.

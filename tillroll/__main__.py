@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from tillroll.plans.pipeline import run_pipeline
 from tillroll.session import configure, input_bytes, size_shuffles
-from tillroll.sources.csv import load_csv
+from tillroll.sources.csv import load_csv, rejected_lines
 from tillroll.sources.retail_lines import retail_lines
 
 
@@ -30,6 +30,8 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--out-format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--date-format", action="append", help="InvoiceDate pattern(s) for CSV input")
+    ap.add_argument("--csv-multiline", action="store_true", help="quoted CSV fields may hold newlines (one task per file)")
+    ap.add_argument("--csv-on-bad", default="fail", choices=["fail", "reject"], help="lines that do not convert")
     ap.add_argument("--concentration-n", type=int, default=10)
     ap.add_argument("--top-returns", type=int, default=10)
     ap.add_argument("--cohort-freq", default="M", choices=["M", "Q", "Y"])
@@ -44,7 +46,10 @@ def main(argv=None) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(2 * sc.defaultParallelism))
     if args.csv:
         kw = {"date_formats": tuple(args.date_format)} if args.date_format else {}
-        raw = load_csv(spark, args.csv, **kw)
+        kw["multiline"] = args.csv_multiline
+        raw = load_csv(spark, args.csv, on_bad=args.csv_on_bad, **kw)
+        if args.csv_on_bad == "reject":
+            print({"rejected": {r["column"]: r["lines"] for r in rejected_lines(spark, args.csv, **kw).collect()}})
     elif args.parquet:
         raw = spark.read.parquet(args.parquet)
     else:

@@ -15,42 +15,33 @@ Cleaning is row-local (no aggregation, no state), so no watermark is needed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll import schema as S
 from tillroll.operators.clean import clean_lines
-from tillroll.sources.csv import DEFAULT_DATE_FORMATS, _nullify, _parse_ts, _to_long
+from tillroll.sources.csv import read_header, typed_lines, with_options
 
 
-def read_raw_stream(spark: SparkSession, source_dir: str, fmt: str = "csv", max_files_per_trigger: int = 100) -> DataFrame:
-    """Streaming DataFrame of raw lines arriving in ``source_dir``."""
+def read_raw_stream(
+    spark: SparkSession,
+    source_dir: str,
+    fmt: str = "csv",
+    max_files_per_trigger: int = 100,
+    header: list[str] | None = None,
+    multiline: bool = False,
+    on_bad: str = "fail",
+) -> DataFrame:
+    """Streaming DataFrame of raw lines arriving in ``source_dir``.
+
+    CSV files are read as ``sources.csv`` reads them; ``header`` names their
+    columns (by default those of the first file there, so one must exist)."""
     reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "parquet":
         return reader.schema(S.RAW_SCHEMA).parquet(source_dir)
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}")
-    text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in S.RAW_COLUMNS])
-    raw = (
-        reader.schema(text_schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", True)
-        .csv(source_dir)
-        .select(*[_nullify(c).alias(c) for c in S.RAW_COLUMNS])
-    )
-    return raw.select(
-        F.col(S.INVOICE),
-        F.col(S.STOCK),
-        F.col(S.DESCRIPTION),
-        _to_long(F.col(S.QUANTITY)).alias(S.QUANTITY),
-        _parse_ts(F.col(S.INVOICE_DATE), DEFAULT_DATE_FORMATS).alias(S.INVOICE_DATE),
-        F.col(S.UNIT_PRICE).try_cast("double").alias(S.UNIT_PRICE),
-        _to_long(F.col(S.CUSTOMER)).alias(S.CUSTOMER),
-        F.col(S.COUNTRY),
-    )
+    header = read_header(spark, source_dir) if header is None else header
+    return typed_lines(with_options(reader, header, multiline).csv(source_dir), on_bad=on_bad)
 
 
 def stream_fact_lines(
@@ -61,11 +52,12 @@ def stream_fact_lines(
     fmt: str = "csv",
     trigger_available_now: bool = False,
     processing_time: str = "1 minute",
+    **read_args,
 ) -> StreamingQuery:
     """Start the ingestion query: raw files -> cleaned fact lines (parquet,
     partitioned by month, appended).  ``checkpoint_location`` must be on
-    shared storage on a cluster."""
-    facts = clean_lines(read_raw_stream(spark, source_dir, fmt))
+    shared storage on a cluster; ``read_args`` go to ``read_raw_stream``."""
+    facts = clean_lines(read_raw_stream(spark, source_dir, fmt, **read_args))
     writer = (
         facts.writeStream.format("parquet")
         .outputMode("append")
