@@ -101,3 +101,15 @@ def test_classification_random_against_python(fact):
         expected[inv] = _classify(inv, stock, desc, qty)
     got = dict(rows(fact(data), S.INVOICE, S.TYPE))
     assert got == expected
+
+
+def test_small_prices_keep_their_digits(raw):
+    from tillroll import operators as ops
+    from tillroll.operators.clean import clean_lines
+
+    lines = [line(inv="1", price=0.12345678, qty=3), line(inv="2", price=0.00004, qty=1)]
+    kpi = ops.monthly_kpis(clean_lines(raw(lines))).first()
+    assert abs(kpi.avg_unit_price - 0.06174839) < 1e-12 and abs(kpi.net_gmv - 0.37041034) < 1e-12
+    four = clean_lines(raw(lines), money_scale=4)
+    assert [str(r.net_gmv) for r in four.orderBy("InvoiceNo").collect()] == ["0.3705", "0.0001"]
+    assert ops.monthly_kpis(four).first().avg_unit_price > 0

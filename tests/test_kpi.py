@@ -59,7 +59,7 @@ def test_kpi_values(fact):
     assert k["avg_unit_price"] == pytest.approx(25.0 / 3) and k["active_order_days"] == 2
     assert k["return_value"] == -10.0 and k["return_unit"] == 1
     assert k["return_rate"] == pytest.approx(10.0 / 45.0)
-    assert k["top20_coverage"] == 1.0 and k["hhi"] == round((30 / 35) ** 2 + (5 / 35) ** 2, 12)
+    assert k["top20_coverage"] == 1.0 and k["hhi"] == pytest.approx((30 / 35) ** 2 + (5 / 35) ** 2, rel=1e-14)
     assert k["calendar_days_in_month"] == 31 and k["is_partial_month"] is False
     assert k["net_gmv_per_active_day"] == 17.5
 
@@ -184,3 +184,22 @@ def test_month_col_parameter_is_honoured(fact):
     kpi_g = ops.monthly_kpis(g, month_col="period")
     assert rows(ops.mom_variance(kpi_g, month_col="period"), "net_gmv_mom", order=["period"])[0] == (None,)
     assert ops.latest_full_month(kpi_g, month_col="period").count() == 1
+
+
+def test_hhi_keeps_its_digits(spark):
+    """Many equal items: the index is 1 / n to 15 digits, however small."""
+    from pyspark.sql import functions as F
+
+    from tillroll.operators.kpi import _totals_and_squares, hhi_expr
+
+    n = 3_000_000
+    sku = spark.range(n).select(F.lit("m").alias("month"), F.lit("12.34").cast("decimal(38,8)").alias("net_gmv"))
+    got = _totals_and_squares(sku, "month").select(hhi_expr("_sq", "_total").alias("h")).first().h
+    assert abs(got * n - 1) < 1e-14
+    huge = spark.range(2).select(F.lit("m").alias("month"), F.lit("1e18").cast("decimal(38,8)").alias("net_gmv"))
+    assert _totals_and_squares(huge, "month").select(hhi_expr("_sq", "_total").alias("h")).first().h == 0.5
+
+
+def test_product_month_core_has_no_expand(fact):
+    plan = ops.product_month_core(fact([line()]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan

@@ -1,80 +1,66 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll import operators as ops
 from tillroll.operators.ranking import rank_all
 
 
-def test_range_rank_equals_window_rank(spark):
-    data = [(dt.date(2011, 1 + i % 3, 1), f"S{i % 97:03d}", float((i * 37) % 11)) for i in range(3000)]
-    df = spark.createDataFrame(data, "month date, sku string, g double").groupBy("month", "sku").agg(
-        F.sum("g").alias("g"))
-    order = [F.desc("g"), F.asc("sku")]
-    w = sorted(map(tuple, rank_all(df, ["month"], order, strategy="window").collect()))
-    r = sorted(map(tuple, rank_all(df, ["month"], order, strategy="range").collect()))
-    assert w == r
-    assert {x[-1] for x in w if x[0] == dt.date(2011, 1, 1)} == set(range(1, 98))
+def ranked(rows, order):
+    """(row, rank) of each row within its first column, in plain Python."""
+    out, seen = [], {}
+    for r in sorted(rows, key=order):
+        seen[r[0]] = seen.get(r[0], 0) + 1
+        out.append((*r, seen[r[0]]))
+    return sorted(out)
 
 
-def test_range_rank_on_test_tables(spark):
-    from tillroll.operators.clean import clean_lines
-    from tillroll.sources.retail_lines import retail_lines
+def by_value(r):
+    return (r[0], -r[2], r[1])
 
-    f = clean_lines(retail_lines(spark, "/root/testdata/sf0.001"))
-    w = sorted(map(tuple, ops.sku_month_rank(f, strategy="window").collect()))
-    r = sorted(map(tuple, ops.sku_month_rank(f, strategy="range").collect()))
-    assert w == r and len(w) > 1000
 
+def test_rank_equals_model(spark):
+    data = {(dt.date(2011, 1 + i % 3, 1), f"S{i % 97:03d}"): float((i * 37) % 11) for i in range(3000)}
+    rows = [(m, s, g) for (m, s), g in data.items()]
+    df = spark.createDataFrame(rows, "month date, sku string, g double")
+    got = rank_all(df, ["month"], [F.desc("g"), F.asc("sku")])
+    assert sorted(map(tuple, got.collect())) == ranked(rows, by_value)
 
-def test_auto_picks_window_for_small_groups(spark):
-    df = spark.createDataFrame([(1, 2.0), (1, 3.0)], "k int, v double")
-    out = rank_all(df, ["k"], [F.desc("v")], strategy="auto", max_group_rows=10)
-    assert sorted(map(tuple, out.collect())) == [(1, 2.0, 2), (1, 3.0, 1)]
 
+def test_rank_on_test_tables(spark):
+    from tillroll.operators.clean import clean_lines
+    from tillroll.sources.retail_lines import retail_lines
+
+    f = clean_lines(retail_lines(spark, "/root/testdata/sf0.001"))
+    got = sorted(map(tuple, ops.sku_month_rank(f).collect()))
+    assert got == ranked([r[:3] for r in got], by_value) and len(got) > 1000
 
-def test_auto_counts_groups_when_estimate_is_large(spark):
-    from tillroll.operators.ranking import MAX_BYTES_CONF, estimated_bytes
 
-    df = spark.createDataFrame([(i % 2, float(i)) for i in range(50)], "k int, v double")
-    assert estimated_bytes(df) > 0
-    spark.conf.set(MAX_BYTES_CONF, "0")
-    try:
-        small = rank_all(df, ["k"], [F.desc("v")], strategy="auto", max_group_rows=5)  # groups of 25 -> range
-        big = rank_all(df, ["k"], [F.desc("v")], strategy="auto", max_group_rows=100)  # -> window
-        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
-    finally:
-        spark.conf.unset(MAX_BYTES_CONF)
+def test_rank_plans_run_no_counting_job():
+    import inspect
 
+    from tillroll.operators import ranking
 
-def test_top_n_uses_group_limit(spark):
-    df = spark.createDataFrame([(i % 3, float(i)) for i in range(100)], "k int, v double")
-    out = ops.top_n(df, ["k"], [F.desc("v")], 2)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, out.collect())) == sorted(
-        [(0, 99.0, 1), (0, 96.0, 2), (1, 97.0, 1), (1, 94.0, 2), (2, 98.0, 1), (2, 95.0, 2)])
-    assert "WindowGroupLimit" in plan or "AdaptiveSparkPlan" in plan
+    assert ".first()" not in inspect.getsource(ranking)
 
 
-def test_top_n_above_group_limit_threshold(spark):
-    df = spark.createDataFrame([(i % 3, float(i)) for i in range(60)], "k int, v double")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
-    try:
-        big = sorted(map(tuple, ops.top_n(df, ["k"], [F.desc("v")], 5).collect()))
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-    small = sorted(map(tuple, ops.top_n(df, ["k"], [F.desc("v")], 5).collect()))
-    assert big == small and len(big) == 15
+@pytest.mark.parametrize("n", [1, 2, 5, 2000])
+def test_top_n_is_one_plan_for_every_n(spark, n):
+    rows = [(i % 3, f"k{i}", float(i % 7)) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, id string, v double")
+    out = ops.top_n(df, ["k"], [F.desc("v"), F.asc("id")], n)
+    assert sorted(map(tuple, out.collect())) == [r for r in ranked(rows, by_value) if r[-1] <= n]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Window [row_number") == 2
+    if n <= 1000:  # a partial cut before each of the two shuffles
+        assert plan.count("WindowGroupLimit") >= 2
 
 
-def test_range_rank_with_one_hot_group(spark):
+def test_rank_with_one_hot_group(spark):
     # One month holds ~95% of the rows: its rank sequence spans many slices.
     hot = [(dt.date(2011, 1, 1), f"S{i:05d}", float(i % 50)) for i in range(4000)]
     cold = [(dt.date(2011, 2 + i % 3, 1), f"S{i:05d}", float(i)) for i in range(200)]
     df = spark.createDataFrame(hot + cold, "month date, sku string, g double").repartition(13)
-    order = [F.desc("g"), F.asc("sku")]
-    w = sorted(map(tuple, rank_all(df, ["month"], order, strategy="window").collect()))
-    r = sorted(map(tuple, rank_all(df, ["month"], order, strategy="range").collect()))
-    assert w == r
-    hot_ranks = sorted(x[-1] for x in r if x[0] == dt.date(2011, 1, 1))
-    assert hot_ranks == list(range(1, 4001))
+    got = rank_all(df, ["month"], [F.desc("g"), F.asc("sku")], num_partitions=8)
+    assert sorted(map(tuple, got.collect())) == ranked(hot + cold, by_value)

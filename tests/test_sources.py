@@ -124,11 +124,99 @@ def test_size_shuffles_only_raises(spark):
     before = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert size_shuffles(spark, n) == before  # small input: unchanged
     try:
-        assert size_shuffles(spark, 100 << 40) == 200_000  # 100 TiB: capped
+        assert size_shuffles(spark, 100 << 40) == 409_600  # 100 TiB in 256 MiB pieces
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
 
 
+def test_input_bytes_of_derived_frames(spark):
+    from tillroll.session import input_bytes
+
+    p = "/root/testdata/sf0.01/{}.parquet"
+    a, b = (spark.read.parquet(p.format(t)) for t in ("lineitem", "orders"))
+    joined = a.join(b, a.l_orderkey == b.o_orderkey).where("l_quantity > 5")
+    assert input_bytes(joined) == sum(os.path.getsize(p.format(t)) for t in ("lineitem", "orders"))
+    assert input_bytes(spark.range(5)) == 0
+
+
+def test_published_csv_files(spark):
+    """Written CSVs carry months as text under the published header, and
+    report frames built on them equal the direct ones."""
+    import glob
+
+    from tillroll import operators as ops
+    from tillroll.plans.pipeline import run_pipeline
+    from tillroll.sources.retail_lines import retail_lines
+    from tillroll.sources.sinks import read_table_back
+
+    d = tempfile.mkdtemp(prefix="tillroll-csvout-")
+    out = run_pipeline(retail_lines(spark, "/root/testdata/sf0.001"), out_dir=d, fmt="csv")
+
+    def text(name):
+        (path,) = glob.glob(f"{d}/{name}/*.csv")
+        with open(path) as fh:
+            return fh.read().splitlines()
+
+    kpi = text("kpi_monthly")
+    assert kpi[0].startswith("month,net_gmv,order,customer,unit_sold,avg_unit_price,active_order_days,return_value")
+    months = [x.split(",")[0] for x in kpi[1:]]
+    assert months == sorted(months) and all(len(m) == 7 and m[4] == "-" for m in months)
+    assert text("dim_month")[1].split(",")[:1] == [months[0]] and months[0] + "-01" in text("dim_month")[1]
+    burdens = [float(x.split(",")[-4]) for x in text("return_watchlist")[1:]]
+    assert burdens == sorted(burdens)
+    back = {n: read_table_back(spark, f"{d}/{n}", fmt="csv") for n in out}
+    direct = run_pipeline(retail_lines(spark, "/root/testdata/sf0.001"))
+    for frame in (
+        lambda t: ops.return_watchlist(t["top_return_skus"], t["kpi_monthly"]),
+        lambda t: ops.report_snapshot(t["kpi_monthly"], t["customer_health_monthly"]),
+        lambda t: ops.latest_stable_retention(t["customer_health_monthly"], t["kpi_monthly"]),
+    ):
+        a, b = frame(back), frame(direct)
+        assert a.dtypes == b.dtypes and sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_read_back_sorts_numbers_as_numbers(spark):
+    d = tempfile.mkdtemp(prefix="tillroll-num-")
+    rows = [("2011-01", f"S{i}", "x", b, 1, i) for i, b in enumerate([3.0, 9.0, 80.0, 400.0, 700.0, 6000.0, 50000.0])]
+    cols = "month string, StockCode string, Description string, return_burden double, return_units long, rank long"
+    spark.createDataFrame(rows, cols).coalesce(1).write.option("header", True).csv(f"{d}/top")
+    from tillroll import operators as ops
+    from tillroll.sources.sinks import read_table_back
+
+    kpi = spark.createDataFrame([(dt.date(2011, 1, 1), False)], "month date, is_partial_month boolean")
+    got = ops.return_watchlist(read_table_back(spark, f"{d}/top", fmt="csv"), kpi)
+    assert sorted(r.return_burden for r in got.collect()) == [80.0, 400.0, 700.0, 6000.0, 50000.0]
+
+
+def test_fact_store_sees_nested_files(spark):
+    import shutil
+
+    from tillroll.plans.fact_store import fact_lines
+
+    d = tempfile.mkdtemp(prefix="tillroll-nested-")
+    for t in ("orders", "part", "customer", "nation"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", d)
+    os.makedirs(f"{d}/lineitem.parquet/p=1")
+    shutil.copy("/root/testdata/sf0.001/lineitem.parquet", f"{d}/lineitem.parquet/p=1/a.parquet")
+    n = fact_lines(spark, d).count()
+    shutil.copy("/root/testdata/sf0.001/lineitem.parquet", f"{d}/lineitem.parquet/p=1/b.parquet")
+    assert fact_lines(spark, d).count() == 2 * n > 0
+
+
+def test_failed_job_leaves_no_folder(spark):
+    import glob
+
+    from tillroll.plans.materialize import checkpoint_dir
+    from tillroll.plans.pipeline import run_pipeline
+    from tillroll.sources.retail_lines import retail_lines
+
+    root = checkpoint_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{root}/tables/*"))
+    with pytest.raises(ValueError):
+        run_pipeline(retail_lines(spark, "/root/testdata/sf0.001"), out_dir=tempfile.mkdtemp(), fmt="xml")
+    assert set(glob.glob(f"{root}/tables/*")) == before
+
+
 def test_pipeline_cleans_up_intermediate(spark):
     import glob
 

@@ -15,6 +15,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from tillroll import schema as S
 from tillroll.plans.pipeline import run_pipeline
 from tillroll.session import configure, input_bytes, size_shuffles
 from tillroll.sources.csv import load_csv, rejected_lines
@@ -33,6 +34,7 @@ def main(argv=None) -> None:
     ap.add_argument("--csv-multiline", action="store_true", help="quoted CSV fields may hold newlines (one task per file)")
     ap.add_argument("--csv-on-bad", default="fail", choices=["fail", "reject"], help="lines that do not convert")
     ap.add_argument("--concentration-n", type=int, default=10)
+    ap.add_argument("--money-scale", type=int, default=S.MONEY_SCALE, help="decimals of unit prices")
     ap.add_argument("--top-returns", type=int, default=10)
     ap.add_argument("--cohort-freq", default="M", choices=["M", "Q", "Y"])
     args = ap.parse_args(argv)
@@ -64,6 +66,8 @@ def main(argv=None) -> None:
         materialize=not args.parquet,
         fmt=args.out_format,
         timings=timings,
+        money_scale=args.money_scale,
+        read_back=False,
         concentration_n=args.concentration_n,
         top_returns_n=args.top_returns,
         cohort_freq=args.cohort_freq,

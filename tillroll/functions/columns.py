@@ -28,8 +28,16 @@ def norm_code(c) -> Column:
 
 
 def money(c, scale: int = S.MONEY_SCALE) -> Column:
-    """Exact decimal money value of a double price."""
-    return _col(c).cast(f"decimal(18,{scale})")
+    """Exact decimal money value of a double price.  A positive price below
+    the smallest unit counts as one unit, never as nothing."""
+    exact = _col(c).cast(f"decimal(18,{scale})")
+    unit = (F.lit(1) / F.lit(10**scale)).cast(f"decimal(18,{scale})")
+    return F.when((_col(c) > 0) & (exact == 0), unit).otherwise(exact)
+
+
+def money_scale(df, col: str = "net_gmv") -> int:
+    """Decimals of the money columns of fact lines."""
+    return df.schema[col].dataType.scale
 
 
 def as_bool(c) -> Column:
@@ -74,7 +82,7 @@ FREQS = ("M", "Q", "Y")
 
 def check_freq(freq: str) -> str:
     if freq not in FREQS:
-        raise ValueError("freq must be one of ['M', 'Q', 'Y']")
+        raise ValueError(f"unknown period {freq!r}: use M (month), Q (quarter) or Y (year)")
     return freq
 
 

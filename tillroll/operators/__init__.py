@@ -12,7 +12,6 @@ from tillroll.operators.customer import (  # noqa: F401
 from tillroll.operators.kpi import (  # noqa: F401
     kpi_with_prev,
     mom_variance,
-    month_bounds,
     month_facts,
     monthly_kpis,
     product_month_core,

@@ -55,8 +55,8 @@ def classify_expr(
 def clean_lines(raw: DataFrame, money_scale: int = S.MONEY_SCALE) -> DataFrame:
     """Raw lines -> fact lines (raw columns + type, flags, money, dates).
 
-    Money columns are exact ``DECIMAL(38, money_scale)``: the unit price is
-    rounded to ``money_scale`` decimals and multiplied by the quantity.
+    Money columns are exact ``DECIMAL(38, money_scale)``: the unit price with
+    ``money_scale`` decimals, multiplied by the quantity.
     """
     df = raw.na.drop(subset=S.REQUIRED_COLUMNS)  # also drops NaN prices
     df = df.withColumn(S.INVOICE_DATE, F.col(S.INVOICE_DATE).cast("timestamp_ntz"))

@@ -112,9 +112,9 @@ def _customer_order():
     return [F.desc("cust_gmv"), F.asc(S.CUSTOMER)]
 
 
-def customer_month_rank(fact: DataFrame, month_col: str = S.MONTH, strategy: str | None = None) -> DataFrame:
+def customer_month_rank(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
     """Every identified customer of every month with its sales rank (ties by id)."""
-    ranked = rank_all(customer_month_sales(fact, month_col), [month_col], _customer_order(), "rank", strategy=strategy)
+    ranked = rank_all(customer_month_sales(fact, month_col), [month_col], _customer_order(), "rank")
     return ranked.select(month_col, S.CUSTOMER, as_double("cust_gmv").alias("cust_gmv"), "rank")
 
 

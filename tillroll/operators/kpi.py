@@ -14,14 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll import schema as S
-from tillroll.functions.columns import as_double, change_or_null, days_in_month, money, pct_change, safe_ratio
+from tillroll.functions.columns import as_double, change_or_null, days_in_month, money, money_scale, pct_change, safe_ratio
 from tillroll.operators.clean import product_lines, return_lines
 from tillroll.operators.ranking import rank_all, top_n
 
-# HHI sums squares in double, whose last bits depend on the order rows are
-# added in; rounding to this many decimals makes the result reproducible.
-HHI_DECIMALS = 12
-
 KPI_COLUMNS = [
     "month", "net_gmv", "order", "customer", "unit_sold", "avg_unit_price", "active_order_days",
     "return_value", "return_unit", "return_rate", "top20_coverage", "top50_coverage", "hhi",
@@ -30,10 +26,14 @@ KPI_COLUMNS = [
 MOM_COLUMNS = ["net_gmv", "return_rate", "top20_coverage", "top50_coverage", "hhi"]
 
 
+#: Sums of squares (in squared money units) below this are exact.
+EXACT_SQUARES = 9e33
+
+
 def hhi_expr(sum_sq, total):
     """Sum of squared shares = sum(x^2) / (sum x)^2; 0 when the total is not positive."""
     t = as_double(total)
-    return F.round(F.when(t > 0, F.col(sum_sq) / (t * t)).otherwise(F.lit(0.0)), HHI_DECIMALS)
+    return F.when(t > 0, F.col(sum_sq) / (t * t)).otherwise(F.lit(0.0))
 
 
 def month_facts(fact: DataFrame, month_col: str = S.MONTH, cust: DataFrame | None = None) -> DataFrame:
@@ -63,7 +63,7 @@ def month_facts(fact: DataFrame, month_col: str = S.MONTH, cust: DataFrame | Non
         F.count(when(prod, F.lit(1))).alias("_p_rows"),
         F.sum(when(prod, "net_gmv")).alias("_p_net"),
         F.sum(when(prod, S.QUANTITY)).alias("_p_units"),
-        F.sum(when(prod, money(S.UNIT_PRICE))).alias("_p_price"),
+        F.sum(when(prod, money(S.UNIT_PRICE, money_scale(fact)))).alias("_p_price"),
         F.count(when(ident, F.lit(1))).alias("_i_rows"),
         F.sum(when(ident, "net_gmv")).alias("_i_net"),
         F.count(when(ret, F.lit(1))).alias("_r_rows"),
@@ -104,17 +104,18 @@ def partial_flag(facts: DataFrame, month_col: str = S.MONTH) -> Column:
     return (F.col(month_col) == last) & (F.to_date("_max_ts") < F.last_day(month_col))
 
 
-def product_month_core(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
+def product_month_core(fact: DataFrame, month_col: str = S.MONTH, facts: DataFrame | None = None) -> DataFrame:
     """Per month over PRODUCT lines: sales, distinct orders / customers / days,
     units and the unweighted mean unit price."""
-    p = product_lines(fact, month_col)
-    return p.groupBy(month_col).agg(
-        as_double(F.sum("net_gmv")).alias("net_gmv"),
-        F.countDistinct(S.INVOICE).alias("order"),
-        F.countDistinct(S.CUSTOMER).alias("customer"),
-        F.sum(S.QUANTITY).alias("unit_sold"),
-        (as_double(F.sum(money(S.UNIT_PRICE))) / F.count(S.UNIT_PRICE)).alias("avg_unit_price"),
-        F.countDistinct(S.ORDER_DATE).alias("active_order_days"),
+    facts = facts if facts is not None else month_facts(fact, month_col)
+    return facts.where("_prod_rows > 0").select(
+        month_col,
+        as_double("_net").alias("net_gmv"),
+        F.col("_orders").alias("order"),
+        F.col("_customers").alias("customer"),
+        F.col("_units").alias("unit_sold"),
+        (as_double("_price_sum") / F.col("_price_n")).alias("avg_unit_price"),
+        F.col("_days").alias("active_order_days"),
     )
 
 
@@ -136,16 +137,32 @@ def _sku_order():
     return [F.desc("net_gmv"), F.asc(S.STOCK)]
 
 
-def sku_month_rank(fact: DataFrame, month_col: str = S.MONTH, strategy: str | None = None) -> DataFrame:
+def sku_month_rank(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
     """Every SKU of every month with its sales rank (ties by StockCode)."""
-    ranked = rank_all(sku_month(fact, month_col), [month_col], _sku_order(), "rank", strategy=strategy)
+    ranked = rank_all(sku_month(fact, month_col), [month_col], _sku_order(), "rank")
     return ranked.select(month_col, S.STOCK, as_double("net_gmv").alias("net_gmv"), "rank")
 
 
 def _totals_and_squares(sku: DataFrame, month_col: str, value: str = "net_gmv") -> DataFrame:
-    """Per month: exact total and sum of squares (double) of per-item sales."""
+    """Per month: exact total and sum of squares (double) of per-item sales.
+
+    Squares are summed as whole numbers of squared money units, so the result
+    does not depend on the order of addition and keeps all digits; the sum
+    goes to double in two exact parts.  Sums beyond ``EXACT_SQUARES`` are
+    added in double."""
+    scale = money_scale(sku, value)
     x = as_double(value)
-    return sku.groupBy(month_col).agg(F.sum(value).alias("_total"), F.sum(x * x).alias("_sq"))
+    unit = (F.col(value) * F.lit(10**scale)).cast("decimal(38,0)").try_cast("decimal(19,0)")
+    sums = sku.groupBy(month_col).agg(
+        F.sum(value).alias("_total"),
+        F.try_sum(F.try_multiply(unit, unit)).alias("_units"),
+        F.sum(x * x).alias("_about"),
+    )
+    part = F.lit(10**15).cast("decimal(16,0)")
+    high = F.try_divide(F.col("_units") - F.col("_units") % part, part).cast("double")
+    exact = (high * F.lit(1e15) + (F.col("_units") % part).cast("double")) / F.lit(float(10 ** (2 * scale)))
+    fits = F.col("_units").isNotNull() & (F.col("_about") * F.lit(float(10 ** (2 * scale))) < EXACT_SQUARES)
+    return sums.select(month_col, "_total", F.when(fits, exact).otherwise(F.col("_about")).alias("_sq"))
 
 
 def sku_concentration(fact: DataFrame, month_col: str = S.MONTH, ns=(20, 50)) -> DataFrame:
@@ -181,21 +198,6 @@ def sku_hhi(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
     return totals.select(month_col, hhi_expr("_sq", "_total").alias("hhi"))
 
 
-def month_bounds(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
-    """Per month with any dated line (every type): ``is_partial_month``.
-
-    Only the dataset's last month can be partial, and only when the latest
-    timestamp falls before that month's last day.  The window runs over one
-    row per month.
-    """
-    per_month = fact.filter(F.col(month_col).isNotNull()).groupBy(month_col).agg(
-        F.max(S.INVOICE_DATE).alias("_max_ts")
-    )
-    last = F.max(month_col).over(Window.partitionBy())
-    partial = (F.col(month_col) == last) & (F.to_date("_max_ts") < F.last_day(month_col))
-    return per_month.select(month_col, partial.alias("is_partial_month"))
-
-
 def monthly_kpis(
     fact: DataFrame, month_col: str = S.MONTH, facts: DataFrame | None = None, ns=(20, 50)
 ) -> DataFrame:

@@ -1,16 +1,13 @@
 """Deterministic per-group ranking.
 
-``top_n`` keeps the first ``n`` rows of each group.  It is a ``row_number``
-window with a ``<= n`` filter, which Catalyst turns into a partial
-``WindowGroupLimit`` before the shuffle, so at most ``n`` rows per group and
-map task cross the network however large a group is.
-
-``rank_all`` numbers every row of every group.  A plain window puts a whole
-group in one task, which is fine while groups are small; for large groups the
-``range`` strategy ranks in parallel: range-partition on (group, order), number
-rows inside each slice, and add the row counts of the earlier slices of the
-same group.  ``auto`` takes the window when Catalyst's size estimate of the
-whole input is small, else counts the largest group and picks one.
+``top_n`` keeps the first ``n`` rows of each group.  Groups are cut in two
+levels: first per (group, slice of its rows), which runs in parallel however
+large a group is, then per group over at most slices x n rows.  For small
+``n`` Catalyst adds a partial ``WindowGroupLimit`` before each shuffle.
+
+``rank_all`` numbers every row of every group: range-partition on (group,
+order), number rows inside each slice, and add the row counts of the earlier
+slices of the same group.  A group may span any number of slices.
 """
 
 from __future__ import annotations
@@ -22,51 +19,37 @@ from pyspark.sql import functions as F
 
 from tillroll.plans.materialize import reliable_checkpoint
 
-STRATEGY_CONF = "tillroll.rank.strategy"
-MAX_GROUP_CONF = "tillroll.rank.windowMaxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-MAX_BYTES_CONF = "tillroll.rank.windowMaxBytes"
-DEFAULT_MAX_BYTES = 256 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (an upper bound without statistics;
-    no job runs)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+#: Slices of a group at the first level of ``top_n``.
+SLICES = 16
 
 
 def top_n(df: DataFrame, group_cols, order_cols, n: int, rank_col: str = "rank") -> DataFrame:
-    """Rows ranked 1..n within each group; ``rank_col`` is BIGINT.
-
-    Up to Spark's group-limit threshold (1000 by default) the cut runs map-side
-    before the shuffle.  Beyond it Spark would move whole groups to one task,
-    so larger ``n`` ranks through ``rank_all`` (size-checked) and filters.
-    """
-    threshold = int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000"))
-    if n > threshold:
-        ranked = rank_all(df, [c for c in group_cols], order_cols, rank_col)
-        return ranked.filter(F.col(rank_col) <= n)
-    w = Window.partitionBy(*_cols(group_cols)).orderBy(*_cols(order_cols))
+    """Rows ranked 1..n within each group; ``rank_col`` is BIGINT."""
+    groups, order = _cols(group_cols), _cols(order_cols)
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)))
+    w = Window.partitionBy(*groups, "_slice").orderBy(*order)
+    first = sliced.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n).drop("_slice", rank_col)
+    w = Window.partitionBy(*groups).orderBy(*order)
     return (
-        df.withColumn(rank_col, F.row_number().over(w))
+        first.withColumn(rank_col, F.row_number().over(w))
         .filter(F.col(rank_col) <= n)
         .withColumn(rank_col, F.col(rank_col).cast("bigint"))
     )
 
 
-def _window_rank(df, group_cols, order_cols, rank_col):
-    w = Window.partitionBy(*_cols(group_cols)).orderBy(*_cols(order_cols))
-    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-
+def rank_all(
+    df: DataFrame, group_cols, order_cols, rank_col: str = "rank", num_partitions: int | None = None
+) -> DataFrame:
+    """Number every row 1..k within its group in ``order_cols`` order.
 
-def _range_rank(df, group_cols, order_cols, rank_col, num_partitions=None):
+    ``order_cols`` must make the order total inside a group (end with a key).
+    ``group_cols`` are names.  The sorted slices are written once to the
+    checkpoint folder, because they are read twice (counted, then numbered).
+    """
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(group_cols) + _cols(order_cols)
@@ -97,34 +80,3 @@ def _range_rank(df, group_cols, order_cols, rank_col, num_partitions=None):
         rank_col, (F.col("_off") + F.col("_rid") - F.col("_r0") + 1).cast("bigint")
     )
     return ranked.drop("_rid", "_pid", "_opid", "_r0", "_off", *[f"_o_{g}" for g in gnames])
-
-
-def rank_all(
-    df: DataFrame,
-    group_cols,
-    order_cols,
-    rank_col: str = "rank",
-    strategy: str | None = None,
-    max_group_rows: int | None = None,
-) -> DataFrame:
-    """Number every row 1..k within its group in ``order_cols`` order.
-
-    ``order_cols`` must make the order total inside a group (end with a key),
-    so every strategy gives the same numbers.  ``group_cols`` are names.
-    """
-    spark = df.sparkSession
-    strategy = strategy or spark.conf.get(STRATEGY_CONF, "auto")
-    if strategy == "auto":
-        # Free check first: if the whole input is estimated to fit one task,
-        # no group can be too big.  Otherwise count the largest group.
-        if estimated_bytes(df) <= int(spark.conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES))):
-            strategy = "window"
-        else:
-            limit = max_group_rows or int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-            largest = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
-            strategy = "window" if largest <= limit else "range"
-    if strategy == "window":
-        return _window_rank(df, group_cols, order_cols, rank_col)
-    if strategy == "range":
-        return _range_rank(df, group_cols, order_cols, rank_col)
-    raise ValueError(f"unknown rank strategy {strategy!r}")

@@ -80,12 +80,12 @@ def report_snapshot(
     h = health.select(
         month_col, "identified_sales_coverage", "next_month_repeat_rate", top_share_col, "customer_hhi"
     )
-    j = kpi.join(F.broadcast(h), month_col, "left")
+    j = kpi.join(F.broadcast(h.withColumn("_in_health", F.lit(True))), month_col, "left")
     by_month = Window.orderBy(month_col)
     whole = Window.partitionBy()
     stable = F.coalesce(~F.lead("is_partial_month").over(by_month), F.lit(False))
     j = j.withColumn("_stable", stable)
-    stable_month = F.when(F.col("_stable"), F.col(month_col))
+    stable_month = F.when(F.col("_stable") & F.col("_in_health"), F.col(month_col))
     j = j.select(
         "*",
         F.max(F.when(~F.col("is_partial_month"), F.col(month_col))).over(whole).alias("_latest_full"),

@@ -1,11 +1,16 @@
-"""Cleaned fact lines, written once per session and data directory.
+"""Cleaned fact lines and their shared aggregates, written once per session.
 
 Every month-grain metric starts from the cleaned fact lines.  Re-running the
 source joins and the cleaning for each metric (and for each branch of a
 metric's plan) would repeat the most expensive part of the work, so the
 cleaned lines are written as parquet to the shared checkpoint folder the
 first time they are asked for, and later requests read that table back
-(column-pruned, with filters pushed into the scan).
+(column-pruned, with filters pushed into the scan).  The customer-month and
+month aggregates that several tables read are written beside them.
+
+A written table is used again only while the files behind it are the same
+(path, size and time of every file below the source tables), and is deleted
+when the session's JVM ends.
 """
 
 from __future__ import annotations
@@ -14,29 +19,52 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll import operators as ops
 from tillroll.operators.clean import clean_lines
-from tillroll.plans.materialize import write_and_read
-from tillroll.sources.retail_lines import retail_lines
+from tillroll.plans.materialize import table_path, write_and_read
+from tillroll.sources.retail_lines import TABLES, retail_lines
+from tillroll.sources.tables import table_path as source_path
 
-_lock = threading.Lock()
-_tables: dict[tuple[str, str, tuple], DataFrame] = {}
+_lock = threading.RLock()
+_tables: dict[tuple, DataFrame] = {}
 
 
 def _signature(spark: SparkSession, sf_dir: str) -> tuple:
-    """(name, size, modification time) of the directory's entries, listed via
-    the Hadoop file system so any cluster path works."""
+    """(path, size, modification time) of all files of the source tables, one
+    recursive listing a table through the Hadoop file system."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return tuple(sorted((st.getPath().getName(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(path)))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(source_path(sf_dir, name))
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            st = files.next()
+            found.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return tuple(sorted(found))
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    with _lock:
+        key = (spark.sparkContext.applicationId, name, _signature(spark, sf_dir))
+        if key not in _tables:
+            path = table_path(spark, name)
+            _tables[key] = write_and_read(build(), name, path=path)
+            hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+        return _tables[key]
 
 
 def fact_lines(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """Cleaned fact lines of ``sf_dir`` (written once per session)."""
     if not materialize:
         return clean_lines(retail_lines(spark, sf_dir))
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _signature(spark, sf_dir))
-    with _lock:
-        if key not in _tables:
-            _tables[key] = write_and_read(clean_lines(retail_lines(spark, sf_dir)), "fact_lines")
-        return _tables[key]
+    return _written(spark, sf_dir, "fact_lines", lambda: clean_lines(retail_lines(spark, sf_dir)))
+
+
+def shared_aggregates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The customer-month and month aggregates (written once per session)."""
+    fact = fact_lines(spark, sf_dir)
+    cust = _written(spark, sf_dir, "customer_month", lambda: ops.customer_month_sales(fact))
+    facts = _written(spark, sf_dir, "month_facts", lambda: ops.month_facts(fact, cust=cust))
+    return cust, facts

@@ -17,8 +17,10 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillroll import operators as ops
+from tillroll import schema as S
 from tillroll.operators.clean import clean_lines
 from tillroll.plans.materialize import drop_path, table_path, write_and_read
 from tillroll.sources.sinks import read_table_back, save_table
@@ -99,12 +101,17 @@ def build_tables(
     return tables
 
 
-SORT_KEYS = {
-    "cohort_table": ["cohort_month", "cohort_index"],
-    "top_return_skus": ["month", "rank"],
-    "return_watchlist": ["rank"],
-    "kpi_series_long": ["series", "month"],
-}
+def sort_keys(name: str) -> list:
+    """Row order of a written table."""
+    if name == "return_watchlist":  # the order of the bar chart
+        return [F.asc("return_burden"), F.desc("rank")]
+    keys = {
+        "cohort_table": ["cohort_month", "cohort_index"],
+        "partial_month_notice": ["partial_month"],
+        "top_return_skus": ["month", "rank"],
+        "kpi_series_long": ["series", "month"],
+    }
+    return keys.get(name, ["month"])
 
 
 def run_pipeline(
@@ -114,62 +121,65 @@ def run_pipeline(
     materialize: bool = True,
     parallel_jobs: int = 4,
     timings: dict | None = None,
+    money_scale: int = S.MONEY_SCALE,
+    read_back: bool = True,
     **table_args,
 ) -> dict[str, DataFrame]:
     """Clean ``raw``, build every table, and (with ``out_dir``) write each to
-    ``out_dir/<name>`` sorted by month.  Returns the table DataFrames (read
-    back from ``out_dir`` when given; the intermediate fact lines are then
-    deleted).
+    ``out_dir/<name>`` sorted by month.  Returns the table DataFrames: read
+    back from ``out_dir`` (nothing with ``read_back=False``), or without
+    ``out_dir`` the lazy tables over the written fact lines.
 
     Independent month-grain jobs are submitted from ``parallel_jobs`` threads
     so small jobs share the cluster instead of running one after another;
-    the shared caches fill while the remaining plans are being built.
+    the shared caches fill while the remaining plans are being built.  Caches
+    and the intermediate fact lines go in the end, also after an error.
     """
     clock = _Clock(timings)
     spark = raw.sparkSession
-    fact = clean_lines(raw)
-    fact_path = None
-    if materialize:
-        fact_path = table_path(spark, "fact_lines")
-        fact = write_and_read(fact, "fact_lines", path=fact_path)
-    clock.lap("fact_lines")
-    if not out_dir:
-        tables = build_tables(fact, **table_args)
-        return {n: df for n, df in tables.items() if not n.startswith("_")}
+    fact = clean_lines(raw, money_scale)
+    fact_path = table_path(spark, "fact_lines") if materialize else None
+    tables: dict[str, DataFrame] = {}
     pool = ThreadPoolExecutor(max_workers=max(2, parallel_jobs))
-    # Fill the shared caches on a worker while this thread builds the other
-    # plans (plan building is driver-side work that needs no cluster).
-    cust, facts = shared_aggregates(fact)
-    filled = pool.submit(lambda: (cust.count(), facts.count()))
-    tables = build_tables(fact, shared=(cust, facts), **table_args)
-    clock.lap("plan")
-    filled.result()
-    clock.lap("shared_aggregates")
-    outputs = {n: df for n, df in tables.items() if not n.startswith("_")}
-    second = ["kpi_monthly", "customer_id_coverage", "customer_repeat_rate", "customer_concentration",
-              "top_return_skus", "cohort_table"]
-    rest = [n for n in outputs if n not in second]
-
-    def write(name):
-        # Month-grain outputs (rows bounded by months x top-N): one sorted file.
-        save_table(outputs[name], f"{out_dir}/{name}", fmt, sort_by=SORT_KEYS.get(name, ["month"]),
-                   single_file=True)
-
-    # Waves of concurrent jobs: the tables the report frames read (cached),
-    # then everything else.
-    with pool:
-        list(pool.map(write, second))
+    try:
+        if fact_path:
+            fact = write_and_read(fact, "fact_lines", path=fact_path)
+        clock.lap("fact_lines")
+        if not out_dir:
+            lazy = build_tables(fact, cache_small=False, **table_args)
+            fact_path = None  # the caller's tables read it
+            return {n: df for n, df in lazy.items() if not n.startswith("_")}
+        # Fill the shared caches on a worker while this thread builds the
+        # other plans (driver-side work that needs no cluster).
+        shared = shared_aggregates(fact)
+        tables = {"_customer_month": shared[0], "_month_facts": shared[1]}
+        filled = pool.submit(lambda: [df.count() for df in shared])
+        tables = build_tables(fact, shared=shared, **table_args)
+        clock.lap("plan")
+        filled.result()
+        clock.lap("shared_aggregates")
+        outputs = {n: df for n, df in tables.items() if not n.startswith("_")}
+        # The tables that the report frames read (cached) go first.
+        first = ["kpi_monthly", "customer_id_coverage", "customer_repeat_rate", "customer_concentration",
+                 "top_return_skus", "cohort_table"]
+
+        def write(name):
+            # Month-grain outputs (rows bounded by months x top-N): one sorted file.
+            save_table(outputs[name], f"{out_dir}/{name}", fmt, sort_by=sort_keys(name),
+                       single_file=True)
+
+        list(pool.map(write, first))
         clock.lap("base_tables")
-        list(pool.map(write, rest))
+        list(pool.map(write, [n for n in outputs if n not in first]))
         clock.lap("derived_tables")
-    # The outputs are written: hand back those tables, release the caches
-    # and delete the intermediate copy of the fact lines.
-    outputs = {n: read_table_back(spark, f"{out_dir}/{n}", fmt) for n in outputs}
-    for df in tables.values():
-        df.unpersist()
-    if fact_path:
-        drop_path(spark, fact_path)
-    return outputs
+        return {n: read_table_back(spark, f"{out_dir}/{n}", fmt) for n in outputs} if read_back else {}
+    finally:
+        pool.shutdown(wait=True, cancel_futures=True)
+        for df in tables.values():
+            df.unpersist()
+        if fact_path:
+            drop_path(spark, fact_path)
+        clock.lap("read_back_and_release")
 
 
 def register_views(spark, tables: dict[str, DataFrame], prefix: str = "") -> list[str]:

@@ -42,10 +42,10 @@ TYPE = "type"
 MONTH = "month"
 ORDER_DATE = "order_date"
 
-# Exact money: unit prices are rounded to MONEY_SCALE decimals on entry.
-MONEY_SCALE = 4
-PRICE_TYPE = T.DecimalType(18, MONEY_SCALE)
-QTY_DECIMAL = T.DecimalType(10, 0)
+# Exact money: unit prices are held with this many decimals (18 digits in
+# all); ``clean_lines`` takes another scale, which every later step reads from
+# the fact lines' own type.
+MONEY_SCALE = 8
 
 # --- fixed values -----------------------------------------------------------
 # Transaction types, in the order the classification rules are tried.

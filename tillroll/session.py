@@ -42,29 +42,20 @@ def local_session(
 
 
 def input_bytes(df) -> int:
-    """Total size of the files a file-based DataFrame reads (Hadoop FS, so it
-    works for any cluster file system); 0 when it reads no files."""
-    files = df.inputFiles()
-    if not files:
-        return 0
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return total
-
-
-def size_shuffles(
-    spark: SparkSession, nbytes: int, bytes_per_partition: int = 256 << 20, max_partitions: int = 200_000
-) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` to about one partition per
-    ``bytes_per_partition`` of input (never lower it; capped).  AQE then
-    coalesces partitions that turn out small, so the setting only has to be
-    large enough that no shuffle partition (or output file) is huge."""
+    """Size of the files that ``df`` scans, as Spark listed them when the scan
+    was planned (no further file-system calls); 0 when it reads no files."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = (leaves.apply(i) for i in range(leaves.size()))
+    return sum(int(str(leaf.stats().sizeInBytes())) for leaf in sizes if "Relation" in leaf.nodeName())
+
+
+def size_shuffles(spark: SparkSession, nbytes: int, bytes_per_partition: int = 256 << 20) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to one partition per
+    ``bytes_per_partition`` of input (never lower it).  AQE then coalesces
+    partitions that turn out small, so the setting only has to be large enough
+    that no shuffle partition (or output file) is huge."""
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max_partitions, -(-nbytes // bytes_per_partition))
+    wanted = -(-nbytes // bytes_per_partition)
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
         return wanted

@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from tillroll import schema as S
 from tillroll.sources.tables import read_table
 
+#: Tables that the lines are derived from.
+TABLES = ("lineitem", "orders", "part", "customer", "nation")
+
 
 def _case(h: Column, mapping: dict, default: Column) -> Column:
     expr = None
