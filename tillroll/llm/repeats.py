@@ -42,6 +42,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,7 +55,7 @@ from tillroll.plans.materialize import write_and_read
 ANCHOR = 25
 STEP = 5
 #: Text per block of documents and per bucket of anchors.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 2 << 20
 #: Symbols per shard of a bucket.
 SHARD = 1 << 16
@@ -124,7 +125,11 @@ def _bytes_of(text) -> np.ndarray:
 _SINGLE, _MANY, _KNOWN = 0, 1, 2
 
 
-def _anchor_rows(docs: DataFrame, length: int, buckets: int) -> DataFrame:
+def _block_type(blocks: int) -> type:
+    return np.uint16 if blocks <= 1 << 16 else np.uint32
+
+
+def _anchor_rows(docs: DataFrame, length: int, buckets: int, blocks_type: type) -> DataFrame:
     """(target, kind, codes, extra) per task: anchors of one document of the
     task with its block; anchors of several with their count; and the blocks
     of the latter, which are shared whatever other tasks hold."""
@@ -175,7 +180,7 @@ def _anchor_rows(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                     at = at[np.r_[True, at[1:] != at[:-1]]]
                     found = np.unique(_codes(h[at], buckets))
                     codes.append(found)
-                    blocks.append(np.full(len(found), block, dtype=np.uint32))
+                    blocks.append(np.full(len(found), block, dtype=blocks_type))
                     held += len(found)
                     turn = (turn * 31 + block) % 2**20
                     if held > 2_000_000:
@@ -187,7 +192,7 @@ def _anchor_rows(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     return docs.select("block", "text").mapInArrow(run, schema)
 
 
-def _shared_anchors(rows: DataFrame, hot_count: int) -> DataFrame:
+def _shared_anchors(rows: DataFrame, hot_count: int, blocks_type: type) -> DataFrame:
     """(block, codes): the anchors of a block that several documents have;
     block -1 lists the hot ones."""
 
@@ -196,13 +201,13 @@ def _shared_anchors(rows: DataFrame, hot_count: int) -> DataFrame:
         pick = lambda kind, col, t: np.concatenate(
             [np.empty(0, t), *[np.frombuffer(x, t) for x in frame.loc[frame["kind"] == kind, col]]]
         )
-        one, block = pick(_SINGLE, "codes", np.uint32), pick(_SINGLE, "extra", np.uint32)
+        one, block = pick(_SINGLE, "codes", np.uint32), pick(_SINGLE, "extra", blocks_type)
         many, count = pick(_MANY, "codes", np.uint32), pick(_MANY, "extra", np.uint32)
         low, place = np.unique(np.r_[one, many], return_inverse=True)
         total = np.bincount(place, weights=np.r_[np.ones(len(one)), count], minlength=len(low))
         hit = total[place[: len(one)]] > 1
         codes = np.r_[one[hit].astype(np.uint64) | bucket, pick(_KNOWN, "codes", np.uint64)]
-        blocks = np.r_[block[hit], pick(_KNOWN, "extra", np.uint32)].astype(np.int64)
+        blocks = np.r_[block[hit], pick(_KNOWN, "extra", blocks_type)].astype(np.int64)
         hot = low[total >= hot_count].astype(np.uint64) | bucket
         codes, blocks = np.r_[codes, hot], np.r_[blocks, np.full(len(hot), -1)]
         return _by_block(blocks, codes)
@@ -230,28 +235,57 @@ def _member(values: np.ndarray, ranked: np.ndarray) -> np.ndarray:
     return ranked[at] == values
 
 
-def passages(data: np.ndarray, shared: np.ndarray, hot: np.ndarray, length: int, buckets: int):
+def passages(
+    data: np.ndarray, shared: np.ndarray, hot: np.ndarray, length: int, buckets: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, anchor code) of each run of windows with one shared
     anchor; ``end`` is the end of the run's last window."""
     h = anchor_hashes(data)
-    width = length - ANCHOR + 1
-    at = window_anchors(h, width)
+    at = window_anchors(h, length - ANCHOR + 1)
     if not len(at):
-        return
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     code = _codes(h, buckets)
-    wanted = _member(code[at], shared)
-    if len(hot) and _member(code[at[np.r_[True, at[1:] != at[:-1]]]], hot).any():
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    runs = np.diff(np.r_[first, len(at)])
+    wanted = np.repeat(_member(code[at[first]], shared), runs)
+    if len(hot) and _member(code[at[first]], hot).any():
         common = _member(code, hot)
         low = np.where(common, _TOP, (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64))
-        other = _slide(low, width)
+        other = _slide(low, length - ANCHOR + 1)
         moved = common[at] & (other != _TOP)
         at = np.where(moved, (other & _PLACE).astype(np.int64), at)
         wanted |= moved
-    change = np.r_[True, (at[1:] != at[:-1]) | (wanted[1:] != wanted[:-1])]
-    starts = np.flatnonzero(change)
+    starts = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (wanted[1:] != wanted[:-1])])
     ends = np.r_[starts[1:], len(at)] - 1 + length
     keep = wanted[starts]
-    yield from zip(starts[keep].tolist(), ends[keep].tolist(), code[at[starts[keep]]].tolist())
+    return starts[keep], ends[keep], code[at[starts[keep]]]
+
+
+def stretch_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each stretch of ``data`` (equal bytes, equal hash), from
+    sums of powers; lengths are mixed in."""
+    powers = _powers(len(data))
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
+    value = (sums[ends] - sums[starts]) * _inverse_powers(len(data))[starts]
+    return mix64(value + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+
+
+def _power_table(base: int, n: int, kept: dict = {}) -> np.ndarray:
+    table = kept.get(base)
+    if table is None or len(table) < n:
+        table = np.cumprod(np.r_[np.uint64(1), np.full(max(n, 1 << 16), base, dtype=np.uint64)], dtype=np.uint64)
+        if n <= 1 << 24:
+            kept[base] = table
+    return table[:n]
+
+
+def _powers(n: int) -> np.ndarray:
+    return _power_table(_BASE, n)
+
+
+def _inverse_powers(n: int) -> np.ndarray:
+    return _power_table(pow(_BASE, -1, 2**64), max(n, 1))
 
 
 def _ordered(frame: pd.DataFrame) -> pd.DataFrame:
@@ -267,55 +301,98 @@ def _texts(docs: DataFrame, blocks: int, carry: tuple[str, ...] = ()) -> DataFra
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", block.cast("long").alias("block"), *carry)
 
 
-_PASSAGES = "target int, block int, known boolean, docs binary, lengths binary, data binary, occurs binary"
+_PASSAGES = "target int, block int, known boolean, entries binary, data binary, occurs binary"
+#: A passage sent to a bucket: smallest document, anchor, length.
+_ENTRY = np.dtype([("doc", np.int64), ("anchor", np.uint32), ("length", np.uint8)])
+#: A place of an entry (its number in the row), and a span of a block's row.
+_OCCUR = np.dtype([("entry", np.uint32), ("row", np.uint32), ("start", np.uint32)])
+_SPAN = np.dtype([("row", np.uint32), ("start", np.uint32), ("end", np.uint32)])
+
+
+def joined_spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Spans sorted by (row, start), touching ones joined."""
+    if not len(row):
+        return np.empty(0, dtype=_SPAN)
+    order = np.lexsort((end, start, row))
+    row, start, end = row[order], start[order], end[order]
+    # Running end within a row: rows are kept apart by a large step.
+    reach = np.maximum.accumulate(end.astype(np.int64) + (row.astype(np.int64) << 32)) - (row.astype(np.int64) << 32)
+    new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (start[1:] > reach[:-1])])
+    out = np.empty(len(new), dtype=_SPAN)
+    out["row"], out["start"] = row[new], start[new]
+    out["end"] = reach[np.r_[new[1:], len(row)] - 1]
+    return out
 
 
 def _block_passages(length: int, buckets: int, hot_list):
     """Cogrouped with a block's shared anchors: rows of passages for the
-    buckets (occurrences are (entry, row, start)), and spans that are certain
-    already (``known``: (row, start, end) triples)."""
+    buckets with their places, and the spans that are certain already
+    (``known``): a passage of an earlier document of the block."""
 
     def find(key: tuple, texts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         block = int(key[0])
         codes = [np.frombuffer(x, np.uint64) for x in shared["codes"]]
         ranked = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.uint64)
-        hot = hot_list.value
-        entries: dict[int, dict[bytes, list]] = {}
-        known: list[tuple[int, int, int]] = []
         texts = _ordered(texts)
-        placed = [(int(d), row, t) for row, (d, t) in enumerate(zip(texts["doc_id"], texts["text"])) if not pd.isna(d)]
-        for doc_id, row, text in sorted(placed, key=lambda p: p[:2]):  # smaller documents first
-            raw = text.encode("utf-8")
-            for start, end, code in passages(np.frombuffer(raw, np.uint8), ranked, hot, length, buckets):
-                bucket = entries.setdefault((code * _BASE >> 13) % buckets, {})
-                held = bucket.get(raw[start:end])
-                if held is None:
-                    bucket[raw[start:end]] = [doc_id, [(row, start)]]
-                elif held[0] == doc_id:
-                    held[1].append((row, start))
-                elif known and known[-1][0] == row and known[-1][2] >= start:
-                    known[-1] = (row, known[-1][1], end)
-                else:
-                    known.append((row, start, end))
+        raws = [t.encode("utf-8") for t in texts["text"]]
+        none = pd.isna(texts["doc_id"]).to_numpy()
+        ids = np.array([0 if gone else int(d) for d, gone in zip(texts["doc_id"], none)], dtype=np.int64)
+        parts = []
+        for row, raw in enumerate(raws):
+            if none[row]:
+                continue
+            data = np.frombuffer(raw, np.uint8)
+            start, end, code = passages(data, ranked, hot_list.value, length, buckets)
+            if len(start):
+                parts.append((np.full(len(start), row), start, end, code, stretch_hashes(data, start, end)))
+        if not parts:
+            return pd.DataFrame([], columns=_COLUMNS)
+        row, start, end, code, same = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((start, row, ids[row], same, code))  # the smallest document first
+        row, start, end, code, same = (x[order] for x in (row, start, end, code, same))
+        first = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (same[1:] != same[:-1])])
+        entry = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(row)]))
+        later = ids[row] != ids[row[first]][entry]
         rows = []
-        for bucket, found in sorted(entries.items()):
-            occurs = [(i, r, s) for i, (_, places) in enumerate(found.values()) for r, s in places]
-            rows.append(
-                (
-                    bucket, block, False,
-                    np.array([v[0] for v in found.values()], dtype=np.int64).tobytes(),
-                    np.array([len(p) for p in found], dtype=np.int32).tobytes(),
-                    b"".join(found), np.array(occurs, dtype=np.int32).tobytes(),
-                )
-            )
-        if known:
-            spans = np.array(known, dtype=np.int32).tobytes()
-            rows.append((block % buckets, block, True, b"", b"", b"", spans))
-        return pd.DataFrame(rows, columns=["target", "block", "known", "docs", "lengths", "data", "occurs"])
+        if later.any():
+            spans = joined_spans(row[later], start[later], end[later])
+            rows.append((block % buckets, block, True, b"", b"", spans.tobytes()))
+        target = (mix64(code[first]) % np.uint64(buckets)).astype(np.int64)
+        here = ~later
+        by_target = np.argsort(target, kind="stable")
+        number = np.empty(len(first), dtype=np.int64)  # of an entry within its target
+        cuts = np.flatnonzero(np.r_[True, np.diff(target[by_target]) != 0])
+        sizes = np.diff(np.r_[cuts, len(first)])
+        number[by_target] = np.arange(len(first)) - np.repeat(cuts, sizes)
+        occurs = np.empty(int(here.sum()), dtype=_OCCUR)
+        occurs["entry"], occurs["row"], occurs["start"] = number[entry[here]], row[here], start[here]
+        goes = target[entry[here]]
+        occurs = occurs[np.argsort(goes, kind="stable")]
+        ends_at = np.cumsum(np.bincount(goes, minlength=buckets))
+        for a, n in zip(cuts.tolist(), sizes.tolist()):
+            at = first[by_target[a : a + n]]
+            held = np.empty(n, dtype=_ENTRY)
+            held["doc"], held["anchor"], held["length"] = ids[row[at]], code[at] & _LOW, end[at] - start[at]
+            data = b"".join([raws[r][x:y] for r, x, y in zip(row[at].tolist(), start[at].tolist(), end[at].tolist())])
+            t = int(target[by_target[a]])
+            places = occurs[(ends_at[t - 1] if t else 0) : ends_at[t]]
+            rows.append((t, block, False, _pack(held.tobytes()), _pack(data), _pack(places.tobytes())))
+        return pd.DataFrame(rows, columns=_COLUMNS)
 
     return find
 
 
+_COLUMNS = ["target", "block", "known", "entries", "data", "occurs"]
+
+
+def _pack(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 # --- shard transforms and their merge --------------------------------------
 
 
@@ -405,57 +482,93 @@ def _step_codes(symbols: np.ndarray) -> np.ndarray:
 
 
 def _bucket_spans(length: int):
-    """Bucket rows to (block, spans): spans as (row, start, end) triples."""
+    """Bucket rows to (block, spans)."""
 
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, bytes]] = [
-            (b, s) for b, s, known in zip(frame["block"], frame["occurs"], frame["known"]) if known
-        ]
+        out = [(b, s) for b, s, known in zip(frame["block"], frame["occurs"], frame["known"]) if known]
         rows = frame[~frame["known"]].sort_values("block")
-        numbers: dict[bytes, int] = {}
-        least: list[int] = []
-        held = []
-        for block, docs, lengths, data, occurs in zip(
-            rows["block"], rows["docs"], rows["lengths"], rows["data"], rows["occurs"]
-        ):
-            docs = np.frombuffer(docs, np.int64).tolist()
-            ends = np.cumsum(np.frombuffer(lengths, np.int32)).tolist()
-            here = []
-            for doc, a, b in zip(docs, [0, *ends], ends):
-                number = numbers.setdefault(data[a:b], len(numbers))
-                if number == len(least):
-                    least.append(doc)
-                else:
-                    least[number] = min(least[number], doc)
-                here.append(number)
-            held.append((block, docs, here, np.frombuffer(occurs, np.int32).reshape(-1, 3)))
-        if numbers:
-            earliest = earliest_documents(list(numbers), np.array(least, dtype=np.int64), length)
-            for block, docs, here, occurs in held:
-                spans = []
-                for entry, row, start in occurs.tolist():
-                    lost = np.flatnonzero(earliest[here[entry]] < docs[entry])
-                    if len(lost):
-                        cut = np.flatnonzero(np.diff(lost) > 1)
-                        for a, b in zip(lost[np.r_[0, cut + 1]].tolist(), lost[np.r_[cut, len(lost) - 1]].tolist()):
-                            spans.append((row, start + a, start + b + length))
-                if spans:
-                    out.append((block, np.array(spans, dtype=np.int32).tobytes()))
+        if len(rows):
+            entries = [np.frombuffer(_unpack(x), _ENTRY) for x in rows["entries"]]
+            occurs = [np.frombuffer(_unpack(x), _OCCUR) for x in rows["occurs"]]
+            base = np.cumsum([0, *map(len, entries)])
+            block = np.repeat(rows["block"].to_numpy(), [len(o) for o in occurs])
+            of = np.concatenate([o["entry"] + np.int64(b) for o, b in zip(occurs, base)])
+            entry, occur = np.concatenate(entries), np.concatenate(occurs)
+            index, start, end = lost_stretches(entry, b"".join(map(_unpack, rows["data"])), length)
+            # Every place of an entry loses the entry's stretches.
+            order = np.argsort(index, kind="stable")
+            index, start, end = index[order], start[order], end[order]
+            low, high = np.searchsorted(index, of, "left"), np.searchsorted(index, of, "right")
+            count = high - low
+            place = np.repeat(np.arange(len(of)), count)
+            which = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count) + low[place]
+            at = occur["start"][place].astype(np.int64)
+            row, block = occur["row"][place], block[place]
+            first, last = at + start[which], at + end[which]
+            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else []
+            for a, b in zip(cuts, [*cuts[1:], len(block)]):
+                out.append((int(block[a]), joined_spans(row[a:b], first[a:b], last[a:b]).tobytes()))
         return pd.DataFrame(out, columns=["block", "spans"])
 
     return judge
 
 
+def lost_stretches(entries: np.ndarray, data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, start, end) of the stretches of each entry's passage whose
+    windows also start in a smaller document.
+
+    Equal passages are one string under their smallest document.  Strings that
+    share their anchor with a different string go through the merge; a string
+    alone with its anchor has no other occurrence than those already
+    gathered."""
+    sizes = entries["length"].astype(np.int64)
+    ends = np.cumsum(sizes)
+    symbols = np.frombuffer(data, np.uint8)
+    same = stretch_hashes(symbols, ends - sizes, ends)
+    order = np.lexsort((same, entries["anchor"]))
+    anchor, ranked = entries["anchor"][order], same[order]
+    new = np.r_[True, (anchor[1:] != anchor[:-1]) | (ranked[1:] != ranked[:-1])]
+    string = np.empty(len(entries), dtype=np.int64)
+    string[order] = np.cumsum(new) - 1
+    member = order[new]  # one entry of each string
+    least = np.full(len(member), np.iinfo(np.int64).max)
+    np.minimum.at(least, string, entries["doc"])
+    group = entries["anchor"][member]
+    alike = np.r_[False, group[1:] == group[:-1]]
+    several = alike | np.r_[alike[1:], False]
+    # Whole passages of strings that are alone.
+    gone = np.flatnonzero(~several[string] & (least[string] < entries["doc"]))
+    found = [(gone, np.zeros(len(gone), dtype=np.int64), sizes[gone])]
+    many = np.flatnonzero(several)
+    if len(many):
+        texts = [data[e - n : e] for e, n in zip(ends[member[many]].tolist(), sizes[member[many]].tolist())]
+        earliest = earliest_documents(texts, least[many], length)
+        offsets = np.cumsum([0, *map(len, earliest)])
+        flat = np.concatenate(earliest)
+        number = np.full(len(member), -1)
+        number[many] = np.arange(len(many))
+        index = np.flatnonzero(several[string])
+        windows = sizes[index] - length + 1
+        which = np.repeat(np.arange(len(index)), windows)
+        offset = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
+        lost = flat[offsets[number[string[index]]][which] + offset] < entries["doc"][index][which]
+        at = np.flatnonzero(lost)
+        if len(at):
+            cut = np.r_[True, (np.diff(at) > 1) | (which[at[1:]] != which[at[:-1]])]
+            first, last = at[cut], at[np.r_[np.flatnonzero(cut)[1:], len(at)] - 1]
+            found.append((index[which[first]], offset[first], offset[last] + length))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 # --- pass 3: cut the spans out ----------------------------------------------
 
 
 def _cut_spans(carry: tuple[str, ...], as_text: bool):
     def cut(texts: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
         texts = _ordered(texts)
-        found = [np.frombuffer(x, np.int32).reshape(-1, 3) for x in spans["spans"]]
-        found = np.concatenate(found) if found else np.empty((0, 3), np.int32)
-        found = found[np.argsort(found[:, 0], kind="stable")]
-        cuts = np.searchsorted(found[:, 0], np.arange(len(texts) + 1))
+        found = np.concatenate([np.empty(0, _SPAN), *[np.frombuffer(x, _SPAN) for x in spans["spans"]]])
+        found = found[np.argsort(found["row"], kind="stable")]
+        cuts = np.searchsorted(found["row"], np.arange(len(texts) + 1))
         rows = []
         for row, text in enumerate(texts["text"]):
             data = _bytes_of(text)
@@ -464,8 +577,8 @@ def _cut_spans(carry: tuple[str, ...], as_text: bool):
                 rows.append((len(data), 0, 0, data.tobytes()))
                 continue
             step = np.zeros(len(data) + 2, dtype=np.int64)
-            np.add.at(step, own[:, 1] + 1, 1)
-            np.add.at(step, own[:, 2] + 1, -1)
+            np.add.at(step, own["start"].astype(np.int64) + 1, 1)
+            np.add.at(step, own["end"].astype(np.int64) + 1, -1)
             lost = np.cumsum(step)[: len(data) + 1] > 0  # one place before the text
             runs = int((lost[1:] & ~lost[:-1]).sum())
             rows.append((len(data), int(lost.sum()), runs, data[~lost[1:]].tobytes()))
@@ -486,25 +599,27 @@ def remove_repeats(
     remaining bytes of every row of ``docs``, or with ``as_text`` the
     characters that are still whole.  ``carry`` names text columns that come
     along."""
-    if length <= ANCHOR or length % STEP:
-        raise ValueError(f"length must exceed {ANCHOR} and be a multiple of {STEP}")
+    if not ANCHOR < length <= 120 or length % STEP:
+        raise ValueError(f"length must be a multiple of {STEP} between {ANCHOR} and 120")
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
     blocks = max(16, (size["b"] or 0) // BLOCK_BYTES)
     buckets = max(16, (size["b"] or 0) // BUCKET_BYTES)
     hot_count = max(HOT_LEAST, int(size["n"] * HOT_SHARE))
-    rows = _anchor_rows(_texts(docs, blocks).where("doc_id is not null"), length, buckets)
-    shared = write_and_read(_shared_anchors(rows, hot_count), "shared_anchors")
+    kind = _block_type(blocks)
+    rows = _anchor_rows(_texts(docs, blocks).where("doc_id is not null"), length, buckets, kind)
+    shared = write_and_read(_shared_anchors(rows, hot_count, kind), "shared_anchors")
     hot = [np.frombuffer(r["codes"], np.uint64) for r in shared.where("block = -1").collect()]
     hot_list = spark.sparkContext.broadcast(np.unique(np.concatenate(hot)) if hot else np.empty(0, np.uint64))
-    found = _texts(docs, blocks).groupBy("block").cogroup(shared.where("block >= 0").groupBy("block")).applyInPandas(
+    # The texts are dealt to blocks once: Spark reuses the exchange for both
+    # cogroups, which read the same columns.
+    texts = _texts(docs, blocks, carry)
+    found = texts.groupBy("block").cogroup(shared.where("block >= 0").groupBy("block")).applyInPandas(
         _block_passages(length, buckets, hot_list), _PASSAGES
     )
     spans = found.groupBy("target").applyInPandas(_bucket_spans(length), "block long, spans binary")
-    spans = write_and_read(spans, "lost_spans")
-    texts = _texts(docs, blocks, carry).groupBy("block")
     carried = "".join(f", {c} string" for c in carry)
-    cut = texts.cogroup(spans.groupBy("block")).applyInPandas(
+    cut = texts.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(
         _cut_spans(carry, as_text),
         f"doc_id string, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}{carried}",
     )
