@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.plans.materialize import drop_path, table_path, write_and_read
+
 #: Text handled at once inside a task.
 SLICE_BYTES = 8 << 20
 #: White space of the word rule: space and U+0009 to U+000D.
@@ -125,5 +127,21 @@ class Kept(dict):
         return value
 
 
+class Scratch:
+    """Intermediate tables that go as soon as what they led to is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(table_path(self.spark, name))
+        return write_and_read(df, name, path=self.paths[-1])
+
+    def drop(self) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+        self.paths = []
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -5,7 +5,7 @@ Each round every node points to the neighbour (or itself) whose hash of
 self-loops and repeats go.  The expected number of nodes falls by a constant
 factor a round whatever the shape (stars, chains, cliques).  Hot nodes are
 met by partial aggregation and ordinary joins, never by a collected list.
-Every round writes its tables to the checkpoint folder.
+Every round writes its tables to the checkpoint folder; only the result stays.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import Scratch
 from tillroll.plans.materialize import write_and_read
 
 
@@ -21,16 +22,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     repeats and self-loops allowed); component is the smallest node of it."""
     pairs = edges.where("a is not null and b is not null and a <> b")
     both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).union(pairs.select("b", "a")).distinct()
-    graph = write_and_read(both, "cc_edges")
+    scratch = Scratch(edges.sparkSession)
+    graph = scratch.write(both, "cc_edges")
     labels = None
     turn = 0
     while not graph.isEmpty():
         best = F.min(F.struct(F.xxhash64(F.lit(turn), "v").alias("h"), F.col("v").alias("id"))).alias("best")
         own = F.struct(F.xxhash64(F.lit(turn), "u").alias("h"), F.col("u").alias("id"))
         nearest = graph.groupBy("u").agg(best).select("u", F.least("best", own).getField("id").alias("to"))
-        point = write_and_read(nearest, "cc_point")
+        point = scratch.write(nearest, "cc_point")
         to_u, to_v = point.toDF("u", "pu"), point.toDF("v", "pv")
-        graph = write_and_read(
+        graph = scratch.write(
             graph.join(to_u, "u").join(to_v, "v").select(F.col("pu").alias("u"), F.col("pv").alias("v"))
             .where("u <> v")
             .distinct(),
@@ -41,9 +43,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
         else:
             moved = labels.join(point.toDF("root", "next"), "root", "left")
             labels = moved.select("node", F.coalesce("next", "root").alias("root"))
-        labels = write_and_read(labels, "cc_labels")
+        labels = scratch.write(labels, "cc_labels")
         turn += 1
     if labels is None:
-        return both.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    smallest = labels.groupBy("root").agg(F.min("node").alias("component"))
-    return labels.join(smallest, "root").select("node", "component")
+        found = both.select(F.col("u").alias("node"), F.col("v").alias("component"))  # no rows
+    else:
+        smallest = labels.groupBy("root").agg(F.min("node").alias("component"))
+        found = labels.join(smallest, "root").select("node", "component")
+    found = write_and_read(found, "components")
+    scratch.drop()
+    return found

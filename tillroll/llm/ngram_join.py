@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tillroll.llm.common import map_documents, mix64, record_batch, schema_of, slices
+from tillroll.llm.common import Scratch, map_documents, mix64, record_batch, schema_of, slices
 from tillroll.llm.components import connected_components
 from tillroll.plans.materialize import write_and_read
 
@@ -313,10 +313,11 @@ def verified_links(members: DataFrame, percent: int, block_tokens: int = BLOCK_T
     (component, doc_id, tokens; a written table)."""
     count = (F.octet_length("tokens") / 8).cast("long")
     sizes, shared = _blocks(members.groupBy("component").agg(F.sum(count).alias("tokens")), block_tokens)
-    sizes = write_and_read(sizes, "join_sizes")
+    scratch = Scratch(members.sparkSession)
+    sizes = scratch.write(sizes, "join_sizes")
     level, current, links = 0, _with_block(members, sizes, shared, 0), None
     while True:
-        done = write_and_read(_verify_blocks(current, percent), "join_verified")
+        done = scratch.write(_verify_blocks(current, percent), "join_verified")
         found = done.where("doc_id <> root").select(F.col("doc_id").alias("a"), F.col("root").alias("b"))
         links = found if links is None else links.union(found)
         # Roots of split components go on to the next level.
@@ -324,10 +325,10 @@ def verified_links(members: DataFrame, percent: int, block_tokens: int = BLOCK_T
         if split.isEmpty():
             break
         roots = done.where("tokens is not null").join(split, "component", "left_semi")
-        roots = write_and_read(roots.select("component", "doc_id", "tokens"), "join_roots")
+        roots = scratch.write(roots.select("component", "doc_id", "tokens"), "join_roots")
         before = sizes
         sizes, shared = _blocks(roots.groupBy("component").agg(F.sum(count).alias("tokens")), block_tokens)
-        sizes = write_and_read(sizes, "join_sizes")
+        sizes = scratch.write(sizes, "join_sizes")
         # A level that hardly shrinks would only repeat: leave it to the last
         # round, which checks all that is still apart.
         left = sizes.agg(F.sum("pieces")).first()[0] or 0
@@ -335,7 +336,9 @@ def verified_links(members: DataFrame, percent: int, block_tokens: int = BLOCK_T
             break
         level += 1
         current = _with_block(roots, sizes, shared, level)
-    return write_and_read(links, "join_links")
+    links = write_and_read(links, "join_links")
+    scratch.drop()
+    return links
 
 
 def _last_round(members: DataFrame, links: DataFrame, percent: int, block_tokens: int) -> DataFrame | None:
@@ -406,11 +409,13 @@ def jaccard_components(
         schema_of("component long, doc_id long, tokens binary"),
         ["component", "doc_id", "text"],
     ).where(F.octet_length("tokens") > 0)
-    members = write_and_read(sets, "join_sets")
+    scratch = Scratch(docs.sparkSession)
+    members = scratch.write(sets, "join_sets")
     links = verified_links(members, percent, block_tokens)
     rest = _last_round(members, links, percent, block_tokens)
     if rest is not None:
-        links = links.union(rest)
+        links = links.union(write_and_read(rest, "join_rest"))
+    scratch.drop()
 
     # Classes of equal sets are nodes: their smallest id stands for them.
     reps = classes.where("set_hash is not null").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
