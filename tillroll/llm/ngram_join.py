@@ -291,74 +291,67 @@ def _verify_blocks(members: DataFrame, percent: int) -> DataFrame:
     return members.groupBy("block").applyInPandas(verify, f"component long, {_MEMBER}")
 
 
-def _blocks(sizes: DataFrame, block_tokens: int) -> tuple[DataFrame, int]:
-    """Blocks per component (``pieces``), and the number of shared blocks that
-    small components are dealt to."""
-    total = sizes.agg(F.sum("tokens")).first()[0] or 0
-    shared = max(1, total // block_tokens)
-    pieces = F.greatest(F.lit(1), F.ceil(F.col("tokens") / block_tokens)).cast("long")
-    return sizes.withColumn("pieces", pieces), shared
-
-
-def _with_block(members: DataFrame, pieces: DataFrame, shared: int, level: int) -> DataFrame:
-    """Small components share blocks by their hash; a large one has its own
-    blocks, members dealt by their hash."""
+def _pieces(sizes: DataFrame, block_tokens: int) -> DataFrame:
+    """Adds the number of blocks of each component by its ``tokens``."""
+    return sizes.withColumn("pieces", F.greatest(F.lit(1), F.ceil(F.col("tokens") / block_tokens)).cast("long"))
+
+
+def _with_block(members: DataFrame, shared: int, level: int) -> DataFrame:
+    """Components of one piece share blocks by their hash; a larger one has
+    its own blocks, members dealt by their hash."""
     own = F.xxhash64("component", F.pmod(F.xxhash64("doc_id", F.lit(level)), F.col("pieces")))
     block = F.when(F.col("pieces") > 1, own).otherwise(F.pmod(F.xxhash64("component"), F.lit(shared)))
-    return members.join(pieces.select("component", "pieces"), "component").withColumn("block", block)
+    return members.withColumn("block", block)
 
 
-def verified_links(members: DataFrame, percent: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def verified_links(members: DataFrame, percent: int, shared: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Edges (a, b) that connect exactly the linked sets of ``members``
-    (component, doc_id, tokens; a written table)."""
-    count = (F.octet_length("tokens") / 8).cast("long")
-    sizes, shared = _blocks(members.groupBy("component").agg(F.sum(count).alias("tokens")), block_tokens)
+    (component, pieces, doc_id, tokens; a written table) within each block,
+    then among the classes' first sets, level by level."""
     scratch = Scratch(members.sparkSession)
-    sizes = scratch.write(sizes, "join_sizes")
-    level, current, links = 0, _with_block(members, sizes, shared, 0), None
+    level, current, links, before = 0, members, None, None
     while True:
-        done = scratch.write(_verify_blocks(current, percent), "join_verified")
+        done = scratch.write(_verify_blocks(_with_block(current, shared, level), percent), "join_verified")
         found = done.where("doc_id <> root").select(F.col("doc_id").alias("a"), F.col("root").alias("b"))
         links = found if links is None else links.union(found)
         # Roots of split components go on to the next level.
-        split = sizes.where("pieces > 1").select("component")
-        if split.isEmpty():
-            break
+        split = current.where("pieces > 1").select("component").distinct()
         roots = done.where("tokens is not null").join(split, "component", "left_semi")
         roots = scratch.write(roots.select("component", "doc_id", "tokens"), "join_roots")
-        before = sizes
-        sizes, shared = _blocks(roots.groupBy("component").agg(F.sum(count).alias("tokens")), block_tokens)
-        sizes = scratch.write(sizes, "join_sizes")
-        # A level that hardly shrinks would only repeat: leave it to the last
-        # round, which checks all that is still apart.
+        count = (F.octet_length("tokens") / 8).cast("long")
+        sizes = _pieces(roots.groupBy("component").agg(F.sum(count).alias("tokens")), block_tokens)
+        sizes = scratch.write(sizes.drop("tokens"), "join_sizes")
         left = sizes.agg(F.sum("pieces")).first()[0] or 0
-        if left * 2 > (before.where("pieces > 1").agg(F.sum("pieces")).first()[0] or 0):
+        # A level that hardly shrinks would only repeat: the last round checks
+        # all that is still apart.
+        if not left or (before is not None and left * 2 > before):
             break
-        level += 1
-        current = _with_block(roots, sizes, shared, level)
+        before = left
+        current = scratch.write(roots.join(sizes, "component"), "join_level")
+        shared, level = max(1, left), level + 1
     links = write_and_read(links, "join_links")
     scratch.drop()
     return links
 
 
-def _last_round(members: DataFrame, links: DataFrame, percent: int, block_tokens: int) -> DataFrame | None:
+def _last_round(members: DataFrame, links: DataFrame, percent: int) -> DataFrame | None:
     """Edges between sets of split components that are still in different
     classes: the sets outside a component's largest class meet all blocks."""
-    count = (F.octet_length("tokens") / 8).cast("long")
-    sizes = members.groupBy("component").agg(F.sum(count).alias("tokens")).where(F.col("tokens") > block_tokens)
+    split = members.where("pieces > 1").select("component", "pieces", "doc_id")
+    if split.isEmpty():
+        return None
     labels = connected_components(links)
-    named = members.join(labels.toDF("doc_id", "label"), "doc_id", "left").withColumn(
+    named = split.join(labels.toDF("doc_id", "label"), "doc_id", "left").withColumn(
         "label", F.coalesce("label", "doc_id")
     )
-    named = named.join(sizes.select("component", "tokens").withColumnRenamed("tokens", "weight"), "component")
     classes = named.groupBy("component", "label").agg(F.count("*").alias("n"))
     largest = classes.groupBy("component").agg(
         F.max(F.struct("n", "label")).getField("label").alias("largest"), F.count("*").alias("classes")
     )
-    open_ = largest.where("classes > 1")
+    open_ = write_and_read(named.join(largest.where("classes > 1"), "component").drop("classes"), "join_open")
     if open_.isEmpty():
         return None
-    named = named.join(open_, "component").withColumn("pieces", F.ceil(F.col("weight") / block_tokens).cast("long"))
+    named = members.where("pieces > 1").drop("pieces").join(open_, ["component", "doc_id"])
     home = named.withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.col("pieces"))).withColumn("guest", F.lit(False))
     away = named.where("label <> largest").withColumn(
         "piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))
@@ -393,26 +386,27 @@ def jaccard_components(
     share = (100 - percent) / percent * 2.5
     buckets = max(16, int(tokens * share * 16 / BUCKET_BYTES))
     met = _meetings(_key_blobs(docs, words, percent, buckets)).distinct()
-    candidates = connected_components(met).withColumnRenamed("node", "doc_id")
-    component = candidates.select("doc_id", "component")
+    candidates = connected_components(met).toDF("doc_id", "component")
+    weights = classes.groupBy("doc_id").agg(F.sum("n_shingles").alias("n"))
+    weighed = write_and_read(candidates.join(weights, "doc_id"), "join_candidates")
+    sizes = _pieces(weighed.groupBy("component").agg(F.sum("n").alias("tokens")), block_tokens)
+    shared = max(1, (weighed.agg(F.sum("n")).first()[0] or 0) // block_tokens)
+    component = weighed.join(sizes.drop("tokens"), "component").select("doc_id", "component", "pieces")
 
     def to_tokens(cols: dict) -> dict:
-        return {
-            "component": cols["component"],
-            "doc_id": cols["doc_id"],
-            "tokens": [shingle_hashes(t, words).tobytes() for t in cols["text"]],
-        }
+        return {**cols, "tokens": [shingle_hashes(t, words).tobytes() for t in cols["text"]]}
 
+    # Texts are dealt by id (a merge join at every size).
     sets = map_documents(
-        docs.select("doc_id", "text").join(component, "doc_id"),
+        docs.select("doc_id", "text").join(component.hint("merge"), "doc_id"),
         to_tokens,
-        schema_of("component long, doc_id long, tokens binary"),
-        ["component", "doc_id", "text"],
+        schema_of("component long, pieces long, doc_id long, tokens binary"),
+        ["component", "pieces", "doc_id", "text"],
     ).where(F.octet_length("tokens") > 0)
     scratch = Scratch(docs.sparkSession)
     members = scratch.write(sets, "join_sets")
-    links = verified_links(members, percent, block_tokens)
-    rest = _last_round(members, links, percent, block_tokens)
+    links = verified_links(members, percent, shared, block_tokens)
+    rest = _last_round(members, links, percent)
     if rest is not None:
         links = links.union(write_and_read(rest, "join_rest"))
     scratch.drop()
