@@ -157,23 +157,29 @@ def set_classes(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _key_blobs(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
-    """(bucket, keys, ids): the join keys of each task's distinct sets, packed
-    per bucket.  Equal sets within a task join once, under their first id."""
-    schema = schema_of("bucket int, keys binary, ids binary")
+    """(bucket, keys, low, ids): the join keys of each task's distinct sets,
+    packed per bucket: 32 bits of each key (the bucket holds the rest of what
+    tells keys apart) and its id, less the row's lowest id, in 4 bytes where
+    that fits.  Equal sets within a task join once, under their first id."""
+    schema = schema_of("bucket int, keys binary, low long, ids binary")
     arrow = to_arrow_schema(schema)
 
     def flush(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
         k, i = np.concatenate(keys), np.concatenate(ids)
-        bucket = (k % np.uint64(buckets)).astype(np.int64)
+        bucket = ((k >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        k, i, bucket = k[order], i[order], bucket[order]
+        k, i, bucket = k[order].astype(np.uint32), i[order], bucket[order]
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         ends = np.r_[cuts[1:], len(k)]
+        low = np.minimum.reduceat(i, cuts)
+        past = i - np.repeat(low, ends - cuts)
+        past = past.astype(np.uint32) if past.max() < 1 << 32 else past
         return record_batch(
             {
                 "bucket": bucket[cuts].astype(np.int32),
                 "keys": [k[a:b].tobytes() for a, b in zip(cuts, ends)],
-                "ids": [i[a:b].tobytes() for a, b in zip(cuts, ends)],
+                "low": low,
+                "ids": [past[a:b].tobytes() for a, b in zip(cuts, ends)],
             },
             arrow,
         )
@@ -210,8 +216,13 @@ def _meetings(blobs: DataFrame) -> DataFrame:
     """(a, b): sets that share a key, each with the smallest id of the key."""
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.frombuffer(x, np.uint64) for x in frame["keys"]])
-        ids = np.concatenate([np.frombuffer(x, np.int64) for x in frame["ids"]])
+        keys = np.concatenate([np.frombuffer(x, np.uint32) for x in frame["keys"]])
+        ids = np.concatenate(
+            [
+                np.frombuffer(x, np.uint32 if len(x) == len(k) else np.int64).astype(np.int64) + low
+                for k, low, x in zip(frame["keys"], frame["low"], frame["ids"])
+            ]
+        )
         order = np.lexsort((ids, keys))
         keys, ids = keys[order], ids[order]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -382,9 +393,9 @@ def jaccard_components(
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     classes = write_and_read(set_classes(docs, words), "join_classes")
     tokens = classes.agg(F.sum("n_shingles")).first()[0] or 0
-    # About 0.6 keys a token at 80 percent, 16 bytes each.
+    # About 0.6 keys a token at 80 percent, 8 bytes each.
     share = (100 - percent) / percent * 2.5
-    buckets = max(16, int(tokens * share * 16 / BUCKET_BYTES))
+    buckets = max(32, int(tokens * share * 8 / BUCKET_BYTES))
     met = _meetings(_key_blobs(docs, words, percent, buckets)).distinct()
     candidates = connected_components(met).toDF("doc_id", "component")
     weights = classes.groupBy("doc_id").agg(F.sum("n_shingles").alias("n"))
