@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from tillroll.llm.common import Kept, file_bytes, map_documents
 
 #: Chunks whose ids a worker keeps (twice as many at most, some 200 bytes each).
-CACHE = 300_000
+CACHE = 700_000
 #: Longer chunks and words are not kept.
 LONG = 64
 #: Unicode white space, as the pre-tokenizer's pattern sees it.
@@ -40,7 +40,9 @@ PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{
 
 _WORDS = regex.compile(PATTERN)
 _CHUNKS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-_SPACE_RUN = re.compile(f"[{SPACE}] ")
+#: White space before a space; the ASCII ones first.
+SPACE_RUNS = [c + " " for c in " \t\n\x0b\x0c\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"]
+SPACE_RUNS += [chr(c) + " " for c in range(0x2000, 0x200B)]
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -127,12 +129,15 @@ class ByteBPE:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges.setdefault(vocab[a] << 32 | vocab[b], (rank, vocab[a + b]))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes_of = {i: bytes(byte_of[c] for c in t) for t, i in vocab.items()}
-        self.bytes_of.update({i: t.encode("utf-8") for t, i in self.special.items()})
+        self.bytes_of = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
+        for t, i in vocab.items():
+            self.bytes_of[i] = bytes(byte_of[c] for c in t)
+        for t, i in self.special.items():
+            self.bytes_of[i] = t.encode("utf-8")
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.words = Kept(self.encode_word, CACHE // 2)
-        self.plain = Kept(self.encode_chunk, CACHE // 8)
-        self.spaced = Kept(lambda chunk: self.encode_chunk(" " + chunk), CACHE)
+        self.words = Kept(self.encode_word, CACHE // 4, LONG)
+        self.plain = Kept(self.encode_chunk, CACHE // 8, LONG)
+        self.spaced = Kept(lambda chunk: self.encode_chunk(" " + chunk), CACHE, LONG)
 
     def encode_word(self, word: str) -> bytes:
         """Ids of one pre-token, by the segment tree."""
@@ -142,8 +147,7 @@ class ByteBPE:
         return struct.pack(f"<{len(symbols)}I", *symbols)
 
     def encode_chunk(self, chunk: str) -> bytes:
-        words = _WORDS.findall(chunk)
-        return b"".join([self.words[w] if len(w) <= LONG else self.encode_word(w) for w in words])
+        return b"".join(map(self.words.__getitem__, _WORDS.findall(chunk)))
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text, little-endian unsigned 32-bit."""
@@ -158,10 +162,14 @@ class ByteBPE:
         return self._encode_plain(text)
 
     def _encode_plain(self, text: str) -> bytes:
-        words = text.split(" ")
-        if not all(words) or _SPACE_RUN.search(text) or max(map(len, words)) > LONG:
-            return b"".join([self.plain[c] if len(c) <= LONG else self.encode_chunk(c) for c in _CHUNKS.findall(text)])
-        return self.plain[words[0]] + b"".join(map(self.spaced.__getitem__, words[1:]))
+        if not text:
+            return b""
+        runs = SPACE_RUNS[:6] if text.isascii() else SPACE_RUNS
+        if text[0] == " " or text[-1] == " " or any(run in text for run in runs):
+            return b"".join(map(self.plain.__getitem__, _CHUNKS.findall(text)))
+        # White space stands alone: each word begins a chunk with its space.
+        first, *rest = text.split(" ")
+        return self.plain[first] + b"".join(map(self.spaced.__getitem__, rest))
 
     def decode(self, ids: bytes | None) -> str:
         numbers = np.frombuffer(ids or b"", dtype="<u4").tolist()

@@ -110,16 +110,19 @@ def mix64(h: np.ndarray) -> np.ndarray:
 class Kept(dict):
     """Values of ``compute`` by key, kept in two generations of ``size``: a
     full one becomes the old one, and keys met again move back from it, so
-    frequent keys stay and memory is bounded."""
+    frequent keys stay and memory is bounded.  Keys over ``longest`` are
+    computed each time."""
 
-    def __init__(self, compute: Callable, size: int):
+    def __init__(self, compute: Callable, size: int, longest: int):
         super().__init__()
-        self.compute, self.size, self.old = compute, size, {}
+        self.compute, self.size, self.longest, self.old = compute, size, longest, {}
 
     def __missing__(self, key):
         value = self.old.pop(key, None)
         if value is None:
             value = self.compute(key)
+            if len(key) > self.longest:
+                return value
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()

@@ -74,7 +74,7 @@ class Transducer:
         self.grows = {p[:i] for p in self.pieces for i in range(1, len(p) + 1)}
         self._clear()
         self.apart: dict[tuple[str, str], bool] = {}
-        self.counts = Kept(lambda word: self.count_chunk(MARK + word), CACHE)
+        self.counts = Kept(lambda word: self.count_chunk(MARK + word), CACHE, BLOCK)
 
     def _clear(self) -> None:
         self.states: list[State] = [START]
@@ -158,7 +158,7 @@ class Transducer:
             return 0
         if self.prefix and MARK not in text:
             words = text.split(" ")
-            if all(words) and max(map(len, words)) <= BLOCK:
+            if all(words):
                 return sum(map(self.counts.__getitem__, words))
         marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
         return sum(self.count_chunk(c) for c in _CHUNKS.findall(marked))
