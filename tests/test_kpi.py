@@ -90,7 +90,8 @@ def test_t18_mom_zero_base(spark):
 
 
 def test_golden_mom_from_published_kpis(spark):
-    # First three published monthly KPI rows and their published _mom values.
+    # The first three published monthly KPI rows and their
+    # published changes (all 13 are in test_golden.py).
     kpi = spark.createDataFrame(
         [
             (D(2010, 12, 1), 778608.36, 0.022114420125729166, 0.202219560036576, 0.3189456506734657,
