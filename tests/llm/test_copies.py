@@ -46,6 +46,28 @@ def test_large_component_is_split_and_still_exact(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components(rows, 1, 90)
 
 
+def test_unlike_sets_of_one_component_are_dropped_by_their_sketches(spark):
+    """Unlike documents with one common passage are one candidate component;
+    its pairs go by key, size and sketch, so few sets are left to intersect."""
+    rng = random.Random(11)
+    passage = " ".join(f"p{k}" for k in range(50))
+    rows = []
+    for i in range(90):
+        own = [f"u{i}x{rng.randrange(10**9)}" for _ in range(300 if i % 2 else 1500)]
+        rows.append((i, " ".join([*own[:100], passage, *own[100:]]), "en", "s", 0))
+    rows += [(1000 + i, rows[i][1] + " one more", "en", "s", 0) for i in (3, 4)]
+    sets = [(0, 2, i, ngram_join.shingle_hashes(t, 5).tobytes()) for i, t, *_ in rows]
+    members = spark.createDataFrame(sets, "component long, pieces long, doc_id long, tokens binary")
+    labels = members.selectExpr("doc_id", "doc_id as label")
+    for key_rows in (4096, 7):
+        pairs = ngram_join.open_pairs(members, labels, 80, key_rows).collect()
+        assert {(r.a, r.b) for r in pairs} == {(3, 1003), (4, 1004)}
+    none = spark.createDataFrame([], "a long, b long")
+    assert {(r.a, r.b) for r in ngram_join._last_round(members, none, 80, 2000).collect()} == {(3, 1003), (4, 1004)}
+    got = ngram_join.jaccard_components(documents(spark, rows), 5, 80, 2000).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components(rows, 5, 80)
+
+
 def test_keys_of_linked_sets_meet():
     rng = np.random.default_rng(1)
     for percent in (70, 80, 90):

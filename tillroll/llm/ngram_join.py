@@ -21,9 +21,11 @@ connected component of every document.
   not yet connected is verified: a short parity sketch bounds the symmetric
   difference from below by its Hamming distance, then the sets are
   intersected.  Components larger than a block are split: blocks are verified
-  alone, then one set per class and block, level by level, and last the sets
-  outside a component's largest class against all of its blocks.  So work
-  stays near-linear for dense groups and no pair outside a class goes
+  alone, then one set per class and block, level by level.  Last, sets of
+  different classes meet again on their join keys, which linked sets share:
+  sizes and sketches drop pairs before any tokens travel, the rest is
+  intersected.  So work stays near-linear for dense groups, unlike sets that
+  share a passage cost their sketches only, and no possible link goes
   unchecked.
 
 Token identity is a 64-bit hash of the n-gram.
@@ -55,8 +57,12 @@ from tillroll.plans.materialize import write_and_read
 #: Bytes of join keys per bucket, tokens of sets per verification block.
 BUCKET_BYTES = 1 << 20
 BLOCK_TOKENS = 1 << 16
-#: Bits of the sketch that bounds the difference during verification.
+#: Bits of the sketch that bounds the difference during verification, and the
+#: most of the one that meets again outside the blocks.
 SKETCH_BITS = 512
+MOST_SKETCH_BITS = 8192
+#: Sets of one join key that meet at once outside the blocks.
+KEY_ROWS = 4096
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -345,46 +351,162 @@ def verified_links(members: DataFrame, percent: int, shared: int, block_tokens:
     return links
 
 
-def _last_round(members: DataFrame, links: DataFrame, percent: int) -> DataFrame | None:
+def wide_sketch(tokens: np.ndarray) -> bytes:
+    """Parity sketch of two bits or more a token (a power of two between
+    ``SKETCH_BITS`` and ``MOST_SKETCH_BITS``), so that long unlike sets still
+    differ in it.  The XOR of its halves is the sketch of half the width."""
+    bits = min(MOST_SKETCH_BITS, max(SKETCH_BITS, 1 << (2 * len(tokens) - 1).bit_length()))
+    bit = (mix64(tokens) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def _same_width(sketches: list[bytes]) -> np.ndarray:
+    """Sketches folded to the narrowest of them."""
+    width = min(map(len, sketches)) // 8
+    out = []
+    for one in sketches:
+        words = np.frombuffer(one, np.uint64)
+        while len(words) > width:
+            words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+        out.append(words)
+    return np.stack(out)
+
+
+def _possible_pairs(ids, labels, sizes, sketches, percent: int) -> Iterator[tuple[int, int]]:
+    """(i, j) of different labels whose sizes and sketches allow a link."""
+    sketches = _same_width(sketches)
+    names, count = np.unique(labels, return_counts=True)
+    hosts = labels == names[np.argmax(count)]  # one label: none of its pairs is open
+    order = np.r_[np.flatnonzero(hosts), np.flatnonzero(~hosts)]
+    for at in range(int(hosts.sum()), len(order)):
+        i, others = order[at], order[:at]
+        n, m = sizes[i], sizes[others]
+        fits = (labels[others] != labels[i]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+        others = others[fits]
+        apart = np.bitwise_count(sketches[others] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+        for j in others[apart * (100 + percent) <= (n + sizes[others]) * (100 - percent)].tolist():
+            yield int(ids[i]), int(ids[j])
+
+
+def open_pairs(members: DataFrame, labels: DataFrame, percent: int, key_rows: int = KEY_ROWS) -> DataFrame:
+    """(a, b, label_a, label_b): the pairs of ``members`` (doc_id, tokens)
+    with different ``labels`` (doc_id, label) that share a join key and that
+    sizes and sketches do not tell apart.  Only keys and sketches travel; the
+    sets of a key held by more than ``key_rows`` meet in pairs of sub-blocks."""
+    schema = schema_of("doc_id long, label long, n long, sketch binary, keys array<long>")
+    arrow = to_arrow_schema(schema)
+
+    def to_keys(batches):
+        bands = Bands(percent)
+        for batch in batches:
+            for part in slices(batch, "tokens"):
+                sets = [np.frombuffer(t, np.uint64) for t in part.column("tokens").to_pylist()]
+                yield record_batch(
+                    {
+                        "doc_id": part.column("doc_id").to_pylist(),
+                        "label": part.column("label").to_pylist(),
+                        "n": [len(s) for s in sets],
+                        "sketch": [wide_sketch(s) for s in sets],
+                        "keys": [np.unique(part_keys(s, bands)).view(np.int64) for s in sets],
+                    },
+                    arrow,
+                )
+
+    scratch = Scratch(members.sparkSession)
+    sets = members.select("doc_id", "tokens").join(labels, "doc_id").select("doc_id", "label", "tokens")
+    sets = scratch.write(sets.mapInArrow(to_keys, schema), "join_open_sets")
+    keys = sets.select(F.explode("keys").alias("key"), "doc_id", "label")
+    # Keys that one class holds alone say nothing new.
+    mixed = keys.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / key_rows).alias("slots")
+    )
+    met = scratch.write(keys.drop("label").join(mixed.where("low <> high").select("key", "slots"), "key"), "join_met")
+    slot = F.pmod(F.xxhash64("doc_id"), F.col("slots"))
+    met = met.withColumn("slot", slot).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)))
+    # (key, pair of slots): hashed to one number, which also deals the groups.
+    group = F.xxhash64("key", F.least("slot", "other"), F.greatest("slot", "other"))
+    buckets = max(1, met.count() // key_rows)
+    dealt = met.select(group.alias("meeting"), "doc_id").join(sets.drop("keys"), "doc_id")
+    dealt = dealt.withColumn("bucket", F.pmod("meeting", F.lit(buckets)))
+
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        found = set()
+        label = dict(zip(frame["doc_id"].tolist(), frame["label"].tolist()))
+        for _, part in frame.groupby("meeting", sort=False):
+            ids, labels_ = part["doc_id"].to_numpy(), part["label"].to_numpy()
+            if (labels_ != labels_[0]).any():
+                found.update(_possible_pairs(ids, labels_, part["n"].to_numpy(), part["sketch"].tolist(), percent))
+        rows = [(min(p), max(p), label[min(p)], label[max(p)]) for p in found]
+        return pd.DataFrame(rows, columns=["a", "b", "label_a", "label_b"]).astype("int64")
+
+    schema = "a long, b long, label_a long, label_b long"
+    pairs = dealt.groupBy("bucket").applyInPandas(meet, schema).distinct()
+    pairs = write_and_read(pairs, "join_open_pairs")
+    scratch.drop()
+    return pairs
+
+
+def _verify_pairs(pairs: DataFrame, members: DataFrame, percent: int, block_tokens: int) -> DataFrame:
+    """Edges (a, b): the linked of ``pairs``.  Pairs are dealt by blocks of
+    ids on both sides, so a set travels once to a block that needs it."""
+    scratch = Scratch(members.sparkSession)
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = scratch.write(members.select("doc_id", "tokens").join(ends, "doc_id"), "join_pair_sets")
+    weight = (F.octet_length("tokens") / 8).cast("long")
+    side = (sets.agg(F.sum(weight)).first()[0] or 0) // block_tokens + 1
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(side))
+    pairs = pairs.withColumn("block", place("a") * F.lit(side) + place("b"))
+    needs = pairs.select("block", F.col("a").alias("doc_id")).union(pairs.select("block", "b")).distinct()
+    total = needs.join(sets.groupBy("doc_id").agg(F.sum(weight).alias("n")), "doc_id").agg(F.sum("n")).first()[0]
+    buckets = (total or 0) // (2 * block_tokens) + 1
+    bucket = F.pmod(F.xxhash64("block"), F.lit(buckets))
+    pairs = pairs.withColumn("bucket", bucket).drop("block")
+    sent = needs.withColumn("bucket", bucket).select("bucket", "doc_id").distinct().join(sets, "doc_id")
+
+    def verify(wanted: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        held: dict[int, list[np.ndarray]] = {}
+        for i, t in zip(found["doc_id"].tolist(), found["tokens"]):
+            held.setdefault(i, []).append(np.frombuffer(t, np.uint64))
+        root: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        edges = []
+        for a, b, la, lb in wanted[["a", "b", "label_a", "label_b"]].itertuples(index=False):
+            la, lb = top(la), top(lb)
+            if la != lb and any(_linked(x, y, percent) for x in held[a] for y in held[b]):
+                root[max(la, lb)] = min(la, lb)
+                edges.append((a, b))
+        return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
+
+    edges = pairs.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInPandas(verify, "a long, b long")
+    edges = write_and_read(edges, "join_rest")
+    scratch.drop()
+    return edges
+
+
+def _last_round(members: DataFrame, links: DataFrame, percent: int, block_tokens: int) -> DataFrame | None:
     """Edges between sets of split components that are still in different
-    classes: the sets outside a component's largest class meet all blocks."""
-    split = members.where("pieces > 1").select("component", "pieces", "doc_id")
+    classes.  Linked sets share a join key, so only sets that meet again on
+    one are compared."""
+    split = members.where("pieces > 1").select("component", "doc_id")
     if split.isEmpty():
         return None
     labels = connected_components(links)
     named = split.join(labels.toDF("doc_id", "label"), "doc_id", "left").withColumn(
         "label", F.coalesce("label", "doc_id")
     )
-    classes = named.groupBy("component", "label").agg(F.count("*").alias("n"))
-    largest = classes.groupBy("component").agg(
-        F.max(F.struct("n", "label")).getField("label").alias("largest"), F.count("*").alias("classes")
-    )
-    open_ = write_and_read(named.join(largest.where("classes > 1"), "component").drop("classes"), "join_open")
+    apart = named.groupBy("component").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_ = named.join(apart.where("low <> high"), "component").select("doc_id", "label").distinct()
+    open_ = write_and_read(open_, "join_open")
     if open_.isEmpty():
         return None
-    named = members.where("pieces > 1").drop("pieces").join(open_, ["component", "doc_id"])
-    home = named.withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.col("pieces"))).withColumn("guest", F.lit(False))
-    away = named.where("label <> largest").withColumn(
-        "piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))
-    ).withColumn("guest", F.lit(True))
-    columns = ["component", "piece", "doc_id", "label", "guest", "tokens"]
-
-    def meet(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["guest", "doc_id"], kind="stable")
-        v = Verifier([np.frombuffer(t, np.uint64) for t in frame["tokens"]], percent)
-        ids, guest = frame["doc_id"].to_numpy(), frame["guest"].to_numpy()
-        _, root = np.unique(frame["label"].to_numpy(), return_inverse=True)
-        start, here = root.copy(), np.flatnonzero(~guest)
-        for i in np.flatnonzero(guest).tolist():
-            v.links(i, here, root)
-        # Labels joined here become edges between one id of each.
-        one = {int(r): int(d) for r, d in zip(start[::-1], ids[::-1])}
-        edges = [(one[int(s)], one[int(r)]) for s, r in zip(start, root) if s != r]
-        return pd.DataFrame(sorted(set(edges)), columns=["a", "b"]).astype("int64")
-
-    return (
-        home.select(columns).union(away.select(columns)).groupBy("component", "piece").applyInPandas(meet, "a long, b long")
-    )
+    members = members.where("pieces > 1")
+    pairs = open_pairs(members, open_, percent)
+    return None if pairs.isEmpty() else _verify_pairs(pairs, members, percent, block_tokens)
 
 
 def jaccard_components(
@@ -417,9 +539,9 @@ def jaccard_components(
     scratch = Scratch(docs.sparkSession)
     members = scratch.write(sets, "join_sets")
     links = verified_links(members, percent, shared, block_tokens)
-    rest = _last_round(members, links, percent)
+    rest = _last_round(members, links, percent, block_tokens)
     if rest is not None:
-        links = links.union(write_and_read(rest, "join_rest"))
+        links = links.union(rest)
     scratch.drop()
 
     # Classes of equal sets are nodes: their smallest id stands for them.
