@@ -86,3 +86,31 @@ def test_repeated_articles_stay_content(spark):
     out = wrapper.extract_pages(frame).collect()
     assert [r.text for r in out] == ["T\nsame story"] * 9
     assert wrapper.extract_pages(spark.createDataFrame([], PAGE)).count() == 0
+
+
+def test_template_blocks_inside_articles_go(spark):
+    """Notices and link lists repeat inside the declared slot; a page that is
+    copied over and over keeps its story."""
+    links = "".join(f"<li><a href='/{k}'>more {k}</a></li>" for k in range(6))
+
+    def page(i):
+        return (
+            f"<body><article><h1>Title {i}</h1><p>story {i} begins</p><p>Please sign up today.</p><p>it ends {i}</p>"
+            f"<div class='box'><p>All offers</p></div><ul>{links}</ul></article></body>"
+        )
+
+    rows = [(i, "http://n.example/", page(i)) for i in range(8)]
+    rows += [(100 + i, "http://n.example/", page("again")) for i in range(30)]
+    out = {r.page_id: r.text for r in wrapper.extract_pages(spark.createDataFrame(rows, PAGE)).collect()}
+    for i, k in [(i, i) for i in range(8)] + [(100 + i, "again") for i in range(30)]:
+        assert out[i] == f"Title {k}\nstory {k} begins\nit ends {k}"
+
+
+def test_story_outside_a_teaser_article_stays(spark):
+    def page(i):
+        story = f"<p>{f'a long story of page {i} ' * 12}</p><p>and its end {i}</p>"
+        return f"<body><div class='top'>Site</div><article><p>teaser {i}</p></article><div class='s'>{story}</div></body>"
+
+    rows = [(i, "http://t.example/", page(i)) for i in range(6)]
+    out = {r.page_id: r.text for r in wrapper.extract_pages(spark.createDataFrame(rows, PAGE)).collect()}
+    assert out[4] == f"teaser 4\n{('a long story of page 4 ' * 12).strip()}\nand its end 4"

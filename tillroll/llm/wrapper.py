@@ -12,11 +12,19 @@ the host it is counted which texts a template node holds:
 
 Two priors come from the markup.  What HTML itself marks as menu, header,
 footer, aside, advert, notice, form, script or comments is never content, and
-inside ``article`` / ``main`` text elements are slots even where pages repeat
-(a declared slot; text outside it goes).  A slot made of links is a menu.
+``article`` / ``main`` declare where the content is.  A slot made of links is
+a menu.
 
-All counts are Spark aggregations over (host, node, text hash): no host is
-gathered in one task, and alignment runs once per (host, skeleton).
+Inside declared slots the verdict goes by block: a text that most of the
+host's different declared slots with its path hold is part of the template
+and goes, and so does a block of links in a menu.  Pages whose declared slots
+are equal count once, so copies do not make their story a constant.  Slots
+outside go, unless long ones hold most of the page (``article`` is a teaser
+or a card there): then they stay as on pages that declare nothing.
+
+All counts are Spark aggregations over (host, node, text hash) and (host,
+path, text hash): no host is gathered in one task, and alignment runs once
+per (host, skeleton).
 
 Cases: a null or empty html gives an empty text; a null url is the host "";
 hosts with fewer than ``LEAST_PAGES`` pages have no constants and rely on the
@@ -46,6 +54,10 @@ CONSTANT_SHARE = 0.6
 LEAST_PAGES = 4
 #: Links that make a slot a menu, as a share of its characters.
 LINK_SHARE = 0.5
+#: Characters of a slot outside the declared ones that may be the story, and
+#: the share of the page below which declared blocks are not all of it.
+LONG_SLOT = 200
+DECLARED_SHARE = 0.3
 DEEPEST = 60
 
 # HTML element names by their behaviour.
@@ -56,7 +68,6 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search "
     "section summary table tbody td tfoot th thead tr ul".split()
 )
-TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt pre blockquote td th figcaption article main caption".split())
 #: Elements closed by the start of another of their group, up to a container.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -99,6 +110,11 @@ class Node:
     texts: list[tuple[int, str, int]] = field(default_factory=list)
 
 
+def _hash64(text: str) -> int:
+    """Signed 64-bit hash."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))).astype(np.int64))
+
+
 def host_of(url: str | None) -> str:
     found = _HOST.match(url or "")
     return found[1].lower() if found else ""
@@ -227,6 +243,20 @@ class Skeleton:
     children: list[list[int]] = field(default_factory=list)
     blocks: list[tuple[int, int, int, str, int]] = field(default_factory=list)  # order, node, role, text, links
 
+    def marks(self) -> list[tuple[int, int, int]]:
+        """(block's number, hash of its node's path, hash of path and text)
+        of each declared block."""
+        paths = [""] * len(self.labels)
+        for i, below in enumerate(self.children):
+            paths[i] += "/" + self.labels[i]
+            for c in below:
+                paths[c] = paths[i]
+        out = []
+        for k, (_, node, role, text, *_) in enumerate(self.blocks):
+            if role == DECLARED:
+                out.append((k, _hash64(paths[node]), _hash64(f"{paths[node]}\n{text}")))
+        return out
+
     @property
     def text(self) -> str:
         """The skeleton as a string: labels with brackets around children."""
@@ -314,20 +344,31 @@ def match_trees(a: tuple[list[str], list[list[int]]], b: tuple[list[str], list[l
     return found
 
 
-_TEXTS = "host string, skeleton string, node int, text_hash long, pages long, chars long, links long"
+_TEXTS = (
+    "host string, skeleton string, node int, text_hash long, pages long, chars long, links long, "
+    "path long, content long"
+)
 
 
 def node_texts(pages: DataFrame) -> DataFrame:
     """How often each skeleton node of a host holds which text, summed per
-    task slice.  Node -1 stands for the page itself."""
+    task slice.  Node -1 stands for the page itself.  Rows with ``content``
+    (a hash of all declared blocks of a page) are single declared blocks by
+    ``path``, once per content and slice."""
+    schema = schema_of(_TEXTS)
+    names = schema.names
 
     def run(cols: dict) -> dict:
         sums: Counter = Counter()
         chars: Counter = Counter()
         links: Counter = Counter()
+        declared: set[tuple[str, int, int, int]] = set()
         for url, source in zip(cols["url"], cols["html"]):
             s = skeleton(parse(source))
             name, host = s.text, host_of(url)
+            marks = s.marks()
+            content = _hash64(" ".join(str(m) for _, _, m in marks))
+            declared.update((host, path, mark, content) for _, path, mark in marks)
             own: dict[int, list] = {}
             for _, node, _, text, linked in s.blocks:
                 held = own.setdefault(node, [xxhash.xxh3_64(), 0, 0])
@@ -341,15 +382,11 @@ def node_texts(pages: DataFrame) -> DataFrame:
                 chars[key] += n
                 links[key] += linked
         keys = list(sums)
-        columns = list(zip(*keys)) if keys else [[], [], [], []]
-        return {
-            **dict(zip(("host", "skeleton", "node", "text_hash"), columns)),
-            "pages": [sums[k] for k in keys],
-            "chars": [chars[k] for k in keys],
-            "links": [links[k] for k in keys],
-        }
+        rows = [(*k, sums[k], chars[k], links[k], None, None) for k in keys]
+        rows += [(host, None, None, mark, 1, 0, 0, path, content) for host, path, mark, content in declared]
+        return dict(zip(names, zip(*rows))) if rows else {n: [] for n in names}
 
-    return map_documents(pages, run, schema_of(_TEXTS), ["url", "html"], text_col="html")
+    return map_documents(pages, run, schema, ["url", "html"], text_col="html")
 
 
 def _alignments(counts: DataFrame) -> DataFrame:
@@ -383,10 +420,12 @@ def _alignments(counts: DataFrame) -> DataFrame:
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, drop): the skeleton nodes of each host that belong to
-    the template or are menus."""
+    """(host, skeleton, drop, menus, constants): the skeleton nodes of each
+    host that belong to the template or are menus, those that are menus, and
+    the marks of the host's constant blocks in declared slots."""
+    found = write_and_read(node_texts(pages), "block_texts")
     counts = write_and_read(
-        node_texts(pages).groupBy("host", "skeleton", "node", "text_hash").agg(
+        found.where("content is null").groupBy("host", "skeleton", "node", "text_hash").agg(
             F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
         ),
         "node_texts",
@@ -400,22 +439,48 @@ def induce(pages: DataFrame) -> DataFrame:
     )
     constant = (F.col("seen") >= LEAST_PAGES) & (F.col("most") >= CONSTANT_SHARE * F.col("seen"))
     menu = F.col("links") > LINK_SHARE * F.col("chars")
-    lost = by_place.where(constant | menu).select("host", "place")
-    nodes = placed.join(lost, ["host", "place"]).groupBy("host", "skeleton")
-    return nodes.agg(F.collect_set("node").alias("drop"))
+    lost = by_place.where(constant | menu).select("host", "place", menu.alias("menu"))
+    nodes = placed.join(lost, ["host", "place"]).groupBy("host", "skeleton").agg(
+        F.collect_set("node").alias("drop"), F.collect_set(F.when(F.col("menu"), F.col("node"))).alias("menus")
+    )
+    shapes = counts.where("node = -1").select("host", "skeleton").distinct()
+    return shapes.join(nodes, ["host", "skeleton"], "left").join(_constant_blocks(found), "host", "left")
+
+
+def _constant_blocks(found: DataFrame) -> DataFrame:
+    """(host, constants): marks of the declared blocks that most different
+    declared slots with their path hold (at most blocks of a page /
+    ``CONSTANT_SHARE`` per path)."""
+    blocks = found.where("content is not null").select("host", "path", "text_hash", "content").distinct()
+    held = blocks.groupBy("host", "path", "text_hash").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
+    slots = blocks.select("host", "path", "content").distinct().groupBy("host", "path").agg(F.count("*").alias("seen"))
+    constant = held.join(slots, ["host", "path"]).where(F.col("n") >= CONSTANT_SHARE * F.col("seen"))
+    return constant.groupBy("host").agg(F.collect_set("text_hash").alias("constants"))
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, skeleton, blocks): the blocks of each page in
-    order, with node, role and whether the node is a text element."""
+    order, with node, role, mark of a declared block, characters of links and
+    of all blocks of the node."""
     schema = T.StructType(
         [
             pages.schema["page_id"],
             pages.schema["url"],
-            *schema_of("host string, skeleton string, blocks array<struct<node:int,role:int,prose:boolean,text:string>>"),
+            *schema_of("host string, skeleton string, blocks array<struct<node:int,role:int,mark:bigint,links:int,slot:int,text:string>>"),
         ]
     )
 
+    def blocks_of(s: Skeleton) -> list[dict]:
+        marks = {k: mark for k, _, mark in s.marks()}
+        slot: Counter = Counter()
+        for _, node, _, text, *_ in s.blocks:
+            slot[node] += len(text)
+        return [
+            {"node": node, "role": role, "mark": marks.get(k), "links": links, "slot": slot[node], "text": text}
+            for k, (_, node, role, text, links) in enumerate(s.blocks)
+            if role != EXCLUDED
+        ]
+
     def run(cols: dict) -> dict:
         found = [skeleton(parse(source)) for source in cols["html"]]
         return {
@@ -423,25 +488,29 @@ def page_blocks(pages: DataFrame) -> DataFrame:
             "url": cols["url"],
             "host": [host_of(u) for u in cols["url"]],
             "skeleton": [s.text for s in found],
-            "blocks": [
-                [
-                    {"node": node, "role": role, "prose": s.labels[node].split(".")[0] in TEXT, "text": text}
-                    for _, node, role, text, _ in s.blocks
-                    if role != EXCLUDED
-                ]
-                for s in found
-            ],
+            "blocks": [blocks_of(s) for s in found],
         }
 
     return map_documents(pages, run, schema, ["page_id", "url", "html"], text_col="html")
 
 
-def _content(blocks: Column, drop: Column) -> Column:
+def _content(blocks: Column, drop: Column, menus: Column, constants: Column) -> Column:
     """The blocks of slots, joined."""
-    declared = F.exists(blocks, lambda b: b["role"] == DECLARED)
-    lost = lambda b: F.coalesce(F.array_contains(drop, b["node"]), F.lit(False))
-    inside = lambda b: (b["role"] == DECLARED) & (b["prose"] | ~lost(b))
-    kept = F.when(declared, F.filter(blocks, inside)).otherwise(F.filter(blocks, lambda b: ~lost(b)))
+    among = lambda values, x: F.coalesce(F.array_contains(values, x), F.lit(False))
+    chars = lambda bs: F.aggregate(bs, F.lit(0), lambda n, b: n + F.char_length(b["text"]))
+    link_list = lambda b: among(menus, b["node"]) & (b["links"] > LINK_SHARE * F.char_length(b["text"]))
+    declared = F.filter(blocks, lambda b: b["role"] == DECLARED)
+    told = lambda b: (b["role"] == DECLARED) & ~among(constants, b["mark"]) & ~link_list(b)
+    # A declared slot of template blocks only is kept as it is.
+    some = F.exists(blocks, told)
+    inside = lambda b: F.when(some, told(b)).otherwise(b["role"] == DECLARED)
+    outside = lambda b: (b["role"] != DECLARED) & ~among(drop, b["node"])
+    long = chars(F.filter(blocks, lambda b: outside(b) & (b["slot"] >= LONG_SLOT)))
+    held = chars(F.filter(blocks, inside))
+    small = held < DECLARED_SHARE * (held + long)
+    kept = F.when(small | (F.size(declared) == 0), F.filter(blocks, lambda b: inside(b) | outside(b))).otherwise(
+        F.filter(blocks, inside)
+    )
     return F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
 
 
@@ -449,4 +518,4 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for every row of ``pages``."""
     wrappers = write_and_read(induce(pages), "wrappers")
     joined = page_blocks(pages).join(wrappers, ["host", "skeleton"], "left")
-    return joined.select("page_id", "url", _content(F.col("blocks"), F.col("drop")).alias("text"))
+    return joined.select("page_id", "url", _content(*map(F.col, ("blocks", "drop", "menus", "constants"))).alias("text"))
