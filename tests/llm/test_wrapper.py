@@ -114,3 +114,20 @@ def test_story_outside_a_teaser_article_stays(spark):
     rows = [(i, "http://t.example/", page(i)) for i in range(6)]
     out = {r.page_id: r.text for r in wrapper.extract_pages(spark.createDataFrame(rows, PAGE)).collect()}
     assert out[4] == f"teaser 4\n{('a long story of page 4 ' * 12).strip()}\nand its end 4"
+
+
+def test_words_in_names_are_a_prior_only():
+    story = "<h1 class='entry-header'>T</h1><p>text</p>"
+    for page in (
+        f"<div class='layout has-sidebar'><article>{story}</article></div>",
+        f"<main id='skip-target'>{story}</main>",
+        f"<article class='post no-comments'>{story}</article>",
+        f"<div class='content-side-left'>{story}</div>",
+        f"<body class='page-header-fixed'><div class='page-header-fixed'>{story}</div></body>",
+        f"<div class='sidebar'><article>{story}</article></div>",
+        f"<app-page class='menu'><main>{story}</main></app-page>",
+        f"<article>{story}<div class='comments'><article class='comment'><p>hi</p></article></div></article>",
+        f"<article>{story}</article><div class='related'><article><p>other</p></article></div>",
+        f"<article>{story}</article><div class='ad'>buy</div><nav id='x'>menu</nav>",
+    ):
+        assert content(page) == ["T", "text"], page

@@ -11,7 +11,10 @@ the host it is counted which texts a template node holds:
 * a node whose text varies is a slot, and its blocks are content.
 
 Two priors come from the markup.  What HTML itself marks as menu, header,
-footer, aside, advert, notice, form, script or comments is never content, and
+footer, aside, form or script, or a whole class, id or role as advert, notice
+or comments, is no content, except around or on ``main`` or the page's only
+``article``.  A name that just contains such a word (``has-sidebar``) takes
+effect only where the induced node is constant or a menu.  And
 ``article`` / ``main`` declare where the content is.  A slot made of links is
 a menu.
 
@@ -105,7 +108,10 @@ class Node:
     characters)."""
 
     label: str
-    role: int
+    tag: str = ""
+    names: str = ""
+    role: int = 0
+    hinted: bool = False
     children: list["Node"] = field(default_factory=list)
     texts: list[tuple[int, str, int]] = field(default_factory=list)
 
@@ -120,21 +126,60 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def _role(tag: str, names: str, parent: int) -> int:
-    if parent == EXCLUDED or tag in NEVER:
+def _named(names: str) -> bool:
+    """A whole class, id or role is one of ``NEVER_WORDS``."""
+    return bool(names) and not NEVER_WORDS.isdisjoint(names.split())
+
+
+def _hinted(names: str) -> bool:
+    return bool(names) and not NEVER_WORDS.isdisjoint(_WORD.findall(names))
+
+
+def assign_roles(root: Node) -> None:
+    """Roles and hints of all nodes.  Words in names are a prior only: they
+    never exclude ``main``, what contains it, or the page's last ``article``."""
+    order = [root]
+    for node in order:
+        order.extend(node.children)
+    stories = {id(n) for n in order if n.tag in ("article", "main")}
+    mains: set[int] = set()
+    holds: set[int] = set()
+    for node in reversed(order):
+        if node.tag == "main" or any(id(c) in mains for c in node.children):
+            mains.add(id(node))
+        if id(node) in stories or any(id(c) in holds for c in node.children):
+            holds.add(id(node))
+
+    def assign(spare: set[int]) -> bool:
+        """Whether some article or main is left."""
+        left = not stories
+        root.role, root.hinted = PLAIN, False
+        for parent in order:
+            for node in parent.children:
+                node.role = _role(node, parent.role, id(node) in spare)
+                node.hinted = parent.hinted or (id(node) not in holds and _hinted(node.names))
+                left = left or (node.role == DECLARED and id(node) in stories)
+        return left
+
+    if not assign(mains):
+        assign(holds)
+
+
+def _role(node: Node, parent: int, spared: bool) -> int:
+    if parent == EXCLUDED or node.tag in NEVER:
         return EXCLUDED
-    if names and not NEVER_WORDS.isdisjoint(_WORD.findall(names)) and tag not in ("html", "body"):
+    if _named(node.names) and not spared and node.tag not in ("html", "body"):
         return EXCLUDED
-    if tag == "header" and parent != DECLARED:
+    if node.tag == "header" and parent != DECLARED:
         return EXCLUDED
-    return DECLARED if tag in ("article", "main") else parent
+    return DECLARED if node.tag in ("article", "main") else parent
 
 
 def parse(source: str | None) -> Node:
     """The tree of block elements of a page."""
-    root = Node("page", PLAIN)
-    # (tag, node for its text, excluded inline, link)
-    stack: list[tuple[str, Node, bool, bool]] = [("", root, False, False)]
+    root = Node("page")
+    # (tag, node for its text, excluded inline (1 by a name, 2 by its tag), link)
+    stack: list[tuple[str, Node, int, bool]] = [("", root, 0, False)]
     parts: list[str] = []
     links = order = 0
 
@@ -220,18 +265,20 @@ def parse(source: str | None) -> Node:
         _, node, skip, link = stack[-1]
         names = " ".join(a or b or c for _, a, b, c in _NAMES.findall(m[3])).lower() if m[3] else ""
         if tag in BLOCK:
-            role = _role(tag, names, node.role)
+            if skip == 1 and tag in ("article", "main"):
+                skip = 0
             if len(stack) < DEEPEST:
                 label = tag + ("." + ".".join(sorted(set(_WORD.findall(names)))) if names else "")
-                child = Node(label, role)
+                child = Node(label, tag, names)
                 node.children.append(child)
                 node = child
             stack.append((tag, node, skip, link))
         else:
-            skip = skip or tag in NEVER or (bool(names) and not NEVER_WORDS.isdisjoint(_WORD.findall(names)))
+            skip = max(skip, 2 if tag in NEVER else int(_named(names)))
             stack.append((tag, node, skip, link or tag == "a"))
     close(1)
     flush()
+    assign_roles(root)
     return root
 
 
@@ -241,7 +288,8 @@ class Skeleton:
 
     labels: list[str] = field(default_factory=list)
     children: list[list[int]] = field(default_factory=list)
-    blocks: list[tuple[int, int, int, str, int]] = field(default_factory=list)  # order, node, role, text, links
+    # order, node, role, text, links, hinted
+    blocks: list[tuple[int, int, int, str, int, bool]] = field(default_factory=list)
 
     def marks(self) -> list[tuple[int, int, int]]:
         """(block's number, hash of its node's path, hash of path and text)
@@ -277,7 +325,7 @@ def skeleton(root: Node) -> Skeleton:
         out.children.append([])
         groups: dict[str, list[Node]] = {}
         for node in nodes:
-            out.blocks += [(order, number, node.role, text, links) for order, text, links in node.texts]
+            out.blocks += [(order, number, node.role, text, links, node.hinted) for order, text, links in node.texts]
             for child in node.children:
                 groups.setdefault(child.label, []).append(child)
         for same in groups.values():
@@ -370,7 +418,7 @@ def node_texts(pages: DataFrame) -> DataFrame:
             content = _hash64(" ".join(str(m) for _, _, m in marks))
             declared.update((host, path, mark, content) for _, path, mark in marks)
             own: dict[int, list] = {}
-            for _, node, _, text, linked in s.blocks:
+            for _, node, _, text, linked, _ in s.blocks:
                 held = own.setdefault(node, [xxhash.xxh3_64(), 0, 0])
                 held[0].update(text.encode("utf-8", "replace") + b"\n")
                 held[1] += len(text)
@@ -460,13 +508,16 @@ def _constant_blocks(found: DataFrame) -> DataFrame:
 
 def page_blocks(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, skeleton, blocks): the blocks of each page in
-    order, with node, role, mark of a declared block, characters of links and
-    of all blocks of the node."""
+    order, with node, role, whether a name hints at no content, mark of a
+    declared block, characters of links and of all blocks of the node."""
     schema = T.StructType(
         [
             pages.schema["page_id"],
             pages.schema["url"],
-            *schema_of("host string, skeleton string, blocks array<struct<node:int,role:int,mark:bigint,links:int,slot:int,text:string>>"),
+            *schema_of(
+                "host string, skeleton string, blocks array<struct<node:int,role:int,hinted:boolean,mark:bigint,"
+                "links:int,slot:int,text:string>>"
+            ),
         ]
     )
 
@@ -476,8 +527,11 @@ def page_blocks(pages: DataFrame) -> DataFrame:
         for _, node, _, text, *_ in s.blocks:
             slot[node] += len(text)
         return [
-            {"node": node, "role": role, "mark": marks.get(k), "links": links, "slot": slot[node], "text": text}
-            for k, (_, node, role, text, links) in enumerate(s.blocks)
+            {
+                "node": node, "role": role, "hinted": hinted, "mark": marks.get(k), "links": links,
+                "slot": slot[node], "text": text,
+            }
+            for k, (_, node, role, text, links, hinted) in enumerate(s.blocks)
             if role != EXCLUDED
         ]
 
@@ -500,7 +554,8 @@ def _content(blocks: Column, drop: Column, menus: Column, constants: Column) ->
     chars = lambda bs: F.aggregate(bs, F.lit(0), lambda n, b: n + F.char_length(b["text"]))
     link_list = lambda b: among(menus, b["node"]) & (b["links"] > LINK_SHARE * F.char_length(b["text"]))
     declared = F.filter(blocks, lambda b: b["role"] == DECLARED)
-    told = lambda b: (b["role"] == DECLARED) & ~among(constants, b["mark"]) & ~link_list(b)
+    hint = lambda b: b["hinted"] & among(menus, b["node"])
+    told = lambda b: (b["role"] == DECLARED) & ~among(constants, b["mark"]) & ~link_list(b) & ~hint(b)
     # A declared slot of template blocks only is kept as it is.
     some = F.exists(blocks, told)
     inside = lambda b: F.when(some, told(b)).otherwise(b["role"] == DECLARED)
