@@ -131,3 +131,14 @@ def test_words_in_names_are_a_prior_only():
         f"<article>{story}</article><div class='ad'>buy</div><nav id='x'>menu</nav>",
     ):
         assert content(page) == ["T", "text"], page
+
+
+def test_roles_hold_at_any_depth():
+    deep, end = "<div>" * 90, "</div>" * 90
+    assert content(f"{deep}<p>text</p><nav>menu</nav><aside>x</aside><div class='ad'>buy</div>{end}") == ["text"]
+    for inner in (f"{deep}<article><p>text</p></article>{end}", "<b>" * 90 + "<article><p>text</p></article>"):
+        s = wrapper.skeleton(wrapper.parse(f"<p>other</p>{inner}"))
+        assert [b[3] for b in s.blocks if b[2] == wrapper.DECLARED] == ["text"]
+    s = wrapper.skeleton(wrapper.parse("<div>" * 5000 + "text"))
+    assert wrapper.read_skeleton(s.text) == (s.labels, s.children) and len(s.labels) == 5001
+    assert len(wrapper.match_trees((s.labels, s.children), (s.labels, s.children))) == 5001

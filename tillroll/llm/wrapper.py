@@ -32,7 +32,7 @@ per (host, skeleton).
 Cases: a null or empty html gives an empty text; a null url is the host "";
 hosts with fewer than ``LEAST_PAGES`` pages have no constants and rely on the
 markup; unclosed, misnested and truncated markup closes where HTML closes it;
-elements nested deeper than ``DEEPEST`` count as their ancestor's.
+elements have their own node and role at any depth.
 """
 
 from __future__ import annotations
@@ -61,7 +61,6 @@ LINK_SHARE = 0.5
 #: the share of the page below which declared blocks are not all of it.
 LONG_SLOT = 200
 DECLARED_SHARE = 0.3
-DEEPEST = 60
 
 # HTML element names by their behaviour.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -267,12 +266,10 @@ def parse(source: str | None) -> Node:
         if tag in BLOCK:
             if skip == 1 and tag in ("article", "main"):
                 skip = 0
-            if len(stack) < DEEPEST:
-                label = tag + ("." + ".".join(sorted(set(_WORD.findall(names)))) if names else "")
-                child = Node(label, tag, names)
-                node.children.append(child)
-                node = child
-            stack.append((tag, node, skip, link))
+            label = tag + ("." + ".".join(sorted(set(_WORD.findall(names)))) if names else "")
+            child = Node(label, tag, names)
+            node.children.append(child)
+            stack.append((tag, child, skip, link))
         else:
             skip = max(skip, 2 if tag in NEVER else int(_named(names)))
             stack.append((tag, node, skip, link or tag == "a"))
@@ -294,45 +291,50 @@ class Skeleton:
     def marks(self) -> list[tuple[int, int, int]]:
         """(block's number, hash of its node's path, hash of path and text)
         of each declared block."""
-        paths = [""] * len(self.labels)
+        paths = [0] * len(self.labels)  # preorder: a node comes before its children
         for i, below in enumerate(self.children):
-            paths[i] += "/" + self.labels[i]
+            paths[i] = _hash64(f"{paths[i]}/{self.labels[i]}")
             for c in below:
                 paths[c] = paths[i]
-        out = []
-        for k, (_, node, role, text, *_) in enumerate(self.blocks):
-            if role == DECLARED:
-                out.append((k, _hash64(paths[node]), _hash64(f"{paths[node]}\n{text}")))
-        return out
+        return [
+            (k, paths[node], _hash64(f"{paths[node]}\n{text}"))
+            for k, (_, node, role, text, *_) in enumerate(self.blocks)
+            if role == DECLARED
+        ]
 
     @property
     def text(self) -> str:
         """The skeleton as a string: labels with brackets around children."""
 
-        def write(i: int) -> str:
-            return self.labels[i] + "".join(f"({write(c)})" for c in self.children[i])
-
-        return write(0)
+        out, todo = [], [0]
+        while todo:
+            i = todo.pop()
+            if i < 0:
+                out.append(")")
+                continue
+            out.append(("(" if i else "") + self.labels[i])
+            todo += [-1] * (i > 0) + self.children[i][::-1]
+        return "".join(out)
 
 
 def skeleton(root: Node) -> Skeleton:
     """Merge siblings with one label into one node, from the top down."""
     out = Skeleton()
 
-    def merge(nodes: list[Node]) -> int:
+    todo: list[tuple[int, list[Node]]] = [(-1, [root])]
+    while todo:
+        above, nodes = todo.pop()
         number = len(out.labels)
         out.labels.append(nodes[0].label)
         out.children.append([])
+        if above >= 0:
+            out.children[above].append(number)
         groups: dict[str, list[Node]] = {}
         for node in nodes:
             out.blocks += [(order, number, node.role, text, links, node.hinted) for order, text, links in node.texts]
             for child in node.children:
                 groups.setdefault(child.label, []).append(child)
-        for same in groups.values():
-            out.children[number].append(merge(same))
-        return number
-
-    merge([root])
+        todo += [(number, same) for same in reversed(groups.values())]
     out.blocks.sort(key=lambda b: b[0])
     return out
 
@@ -358,24 +360,26 @@ def match_trees(a: tuple[list[str], list[list[int]]], b: tuple[list[str], list[l
     """Simple tree matching: the largest order-keeping match of two labelled
     trees with equal roots, as {node of a: node of b}."""
     (la, ca), (lb, cb) = a, b
+    if la[0] != lb[0]:
+        return {}
+    # Pairs of equal labels below equal pairs, each after the pair above it.
+    pairs = [(0, 0)]
+    for i, j in pairs:
+        pairs.extend((p, q) for p in ca[i] for q in cb[j] if la[p] == lb[q])
     sizes: dict[tuple[int, int], int] = {}
     tables: dict[tuple[int, int], np.ndarray] = {}
-
-    def size(i: int, j: int) -> int:
-        if la[i] != lb[j]:
-            return 0
-        if (i, j) not in sizes:
-            table = np.zeros((len(ca[i]) + 1, len(cb[j]) + 1), dtype=np.int64)
-            for x, p in enumerate(ca[i]):
-                for y, q in enumerate(cb[j]):
-                    table[x + 1, y + 1] = max(table[x, y + 1], table[x + 1, y], table[x, y] + size(p, q))
-            tables[i, j] = table
-            sizes[i, j] = int(table[-1, -1]) + 1
-        return sizes[i, j]
+    for i, j in reversed(pairs):
+        table = np.zeros((len(ca[i]) + 1, len(cb[j]) + 1), dtype=np.int64)
+        for x, p in enumerate(ca[i]):
+            for y, q in enumerate(cb[j]):
+                table[x + 1, y + 1] = max(table[x, y + 1], table[x + 1, y], table[x, y] + sizes.get((p, q), 0))
+        tables[i, j] = table
+        sizes[i, j] = int(table[-1, -1]) + 1
 
     found: dict[int, int] = {}
-
-    def trace(i: int, j: int) -> None:
+    todo = [(0, 0)]
+    while todo:
+        i, j = todo.pop()
         found[i] = j
         table, x, y = tables[i, j], len(ca[i]), len(cb[j])
         while x and y:
@@ -385,10 +389,7 @@ def match_trees(a: tuple[list[str], list[list[int]]], b: tuple[list[str], list[l
                 y -= 1
             else:
                 x, y = x - 1, y - 1
-                trace(ca[i][x], cb[j][y])
-
-    if size(0, 0):
-        trace(0, 0)
+                todo.append((ca[i][x], cb[j][y]))
     return found
 
 
