@@ -32,10 +32,15 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language with enough posterior."""
-    langs, logs = langid.fit(docs.where(~held_out()))
-    found = langid.predict(docs, langs, logs, keep=tuple(COLUMNS))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)
+    """Documents whose text has a language with enough posterior and reads
+    like the training texts of that language (the posterior only compares the
+    learned languages and is near 1 for any longer text)."""
+    train = docs.where(~held_out())
+    langs, logs = langid.fit(train)
+    usual = write_and_read(langid.usual_range(train, langs, logs), "language_ranges")
+    found = langid.predict(docs, langs, logs, keep=tuple(COLUMNS), measures=True)
+    known = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return langid.fits_language(known, usual).select(*COLUMNS)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

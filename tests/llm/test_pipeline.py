@@ -1,6 +1,7 @@
 """The pipeline's stages, each held against a brute-force version."""
 
 import sys
+import zlib
 
 import corpus_pipeline as C
 from cases import components, repeats
@@ -38,6 +39,22 @@ def test_stages(spark, tmp_path):
     assert max(r.offset + r.length for r in after) <= 4096
 
 
+def test_language_stage_rejects_unlearned_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*C.COLUMNS)
+    planted = [
+        "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. " * 5,
+        "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。" * 10,
+        "xqzjkvw qqxzjw kkvxq zzxqj wvkqx jqzxv " * 20,
+    ]
+    # Ids of the held-out fold: the planted texts are not learned.
+    ids = [i for i in range(10**9, 10**9 + 100) if zlib.crc32(str(i).encode()) % 4 == 2][: len(planted)]
+    rows = [(i, t, "en", "planted", len(t)) for i, t in zip(ids, planted)]
+    added = spark.createDataFrame(rows, docs.schema)
+    kept = {r.doc_id for r in C.keep_known_language(spark, docs.union(added), SF).select("doc_id").collect()}
+    assert not kept & set(ids)
+    assert len(kept) >= 0.97 * docs.count()
+
+
 def test_entry_registers_every_operator():
     import __spark_entry__ as E
 

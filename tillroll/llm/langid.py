@@ -109,7 +109,14 @@ def fit(docs: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]
 
 def score_texts(texts: list[str | None], langs: list[str], logs: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Best language and its posterior for each text."""
+    return _scored(texts, langs, logs)[:2]
+
+
+def _scored(texts: list[str | None], langs: list[str], logs: np.ndarray):
+    """As ``score_texts``, with each text's mean log probability of an n-gram
+    under its best language and its number of n-grams."""
     found, scores = [], np.zeros(len(texts))
+    means, lengths = np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):
         if text is None or not langs or not _LETTER.search(text):
             found.append("und")
@@ -127,14 +134,20 @@ def score_texts(texts: list[str | None], langs: list[str], logs: np.ndarray) ->
         best = int(np.argmax(total))
         found.append(langs[best])
         scores[i] = 1.0 / np.exp(total - total[best]).sum()
-    return found, scores
+        means[i], lengths[i] = total[best] / grams, grams
+    return found, scores, means, lengths
 
 
-def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns with ``lang_pred`` and ``score`` for every document."""
+def predict(
+    docs: DataFrame, langs: list[str], logs: np.ndarray, keep: tuple[str, ...] = ("doc_id",), measures: bool = False
+) -> DataFrame:
+    """``keep`` columns with ``lang_pred`` and ``score`` for every document,
+    and with ``measures`` also ``mean_log`` and ``n_grams``."""
+    extra = "mean_log double, n_grams long" if measures else ""
     schema = T.StructType(
         [docs.schema[c] for c in keep]
         + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+        + (list(schema_of(extra)) if extra else [])
     )
     arrow = to_arrow_schema(schema)
     model = docs.sparkSession.sparkContext.broadcast((langs, logs))
@@ -142,13 +155,35 @@ def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, keep: tuple[str
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                found, scores = score_texts(part.column("text").to_pylist(), *model.value)
+                found, *numbers = _scored(part.column("text").to_pylist(), *model.value)
                 columns = [part.column(c).cast(arrow.field(c).type) for c in keep]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string()), pa.array(scores)], schema=arrow)
+                numbers = [pa.array(x) for x in (numbers if measures else numbers[:1])]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string()), *numbers], schema=arrow)
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
+def usual_range(train: DataFrame, langs: list[str], logs: np.ndarray) -> DataFrame:
+    """(lang, middle, reach, length) of all training texts by their language:
+    the median of their mean log probabilities, twice its distance to their
+    lowest hundredth, and the median number of n-grams."""
+    labelled = train.where("lang is not null and text is not null")
+    found = predict(labelled, langs, logs, keep=("lang",), measures=True).where("n_grams > 0")
+    at = F.percentile_approx("mean_log", [0.01, 0.5], 10_000)
+    middle = found.groupBy("lang").agg(at.alias("at"), F.percentile_approx("n_grams", 0.5).alias("length"))
+    return middle.select("lang", F.get("at", 1).alias("middle"), (2 * (F.get("at", 1) - F.get("at", 0))).alias("reach"), "length")
+
+
+def fits_language(found: DataFrame, usual: DataFrame) -> DataFrame:
+    """The rows of ``found`` (with measures) that read like the training texts
+    of their predicted language.  A short text's mean varies more, so its
+    reach grows with the root of what it lacks to the usual length."""
+    usual = F.broadcast(usual.withColumnsRenamed({"lang": "lang_pred", **{c: f"usual_{c}" for c in usual.columns[1:]}}))
+    wider = F.sqrt(F.greatest(F.lit(1.0), F.col("usual_length") / F.col("n_grams")))
+    near = F.col("mean_log") >= F.col("usual_middle") - F.col("usual_reach") * wider
+    return found.join(usual, "lang_pred").where((F.col("n_grams") > 0) & near)
+
+
 def language_id(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Learn from the documents outside the held-out fold that carry a
     language; predict every document from its text alone."""
