@@ -191,3 +191,16 @@ def test_fold_matches_zlib(spark):
     got = {r.id: r.h for r in spark.range(300).select("id", held_out("id").alias("h")).collect()}
     assert got == {i: crc_fold(i) == 2 for i in range(300)}
     assert spark.sql("select cast(null as bigint) as doc_id").select(held_out().alias("h")).first().h is False
+
+
+def test_all_distinct_paths_reach_the_penalty(spark, monkeypatch):
+    rows, labels = corpus(60)
+    counts = textstats.text_counts(documents(spark, rows))
+    table = spark.createDataFrame(labels, "doc_id long, label int, kind int").select("doc_id", "label")
+    names = list(textstats.statistics())
+    paths = {tuple(sorted([(names[i % len(names)], ">", float(i)), (names[0], "<=", 1000.0 + i)])) for i in range(200)}
+    holds, seen = rule_ensemble._holds, set()
+    monkeypatch.setattr(rule_ensemble, "tree_rules", lambda *_: paths)
+    monkeypatch.setattr(rule_ensemble, "_holds", lambda rule, stats: seen.add(rule) or holds(rule, stats))
+    rule_ensemble.fit_rules(counts.join(table, "doc_id"))
+    assert seen == paths

@@ -102,10 +102,11 @@ def fit_rules(
     n_trees: int = 16,
     depth: int = 3,
     l1: float = 0.002,
-    max_rules: int = 120,
     seed: int = 7,
 ) -> RuleModel:
-    """Fit on ``labelled``: the counts of ``textstats`` and a 0/1 ``label``."""
+    """Fit on ``labelled``: the counts of ``textstats`` and a 0/1 ``label``.
+    All distinct paths (at most n_trees * (2 ** (depth + 1) - 2)) are
+    candidates; the penalty chooses among them."""
     names = list(statistics())
     classes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     total = sum(classes.values())
@@ -122,7 +123,7 @@ def fit_rules(
     ).fit(table)
     found = sorted(tree_rules(forest.toDebugString, names), key=lambda r: (len(r), r))
     # An inner split gives two complementary one-condition rules; one is enough.
-    rules = [r for r in found if not (len(r) == 1 and r[0][1] == "<=")][:max_rules]
+    rules = [r for r in found if not (len(r) == 1 and r[0][1] == "<=")]
     columns = statistics()
     terms = [_linear_term(columns[n]).alias(f"lin_{i}") for i, n in enumerate(names)]
     tests = [_holds(r, columns).cast("double").alias(f"rule_{i}") for i, r in enumerate(rules)]
