@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
+    alignment,
     bpe,
     contamination,
     langid,
@@ -96,6 +97,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.cross_alignment(
+        read_table(spark, sf_dir, "documents"),
+        vocabulary("byte_bpe_50k.json"),
+        vocabulary("piece_bpe_32k.model"),
+        digest=True,
+    )
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -134,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_benchmark_decontamination": op12_benchmark_decontamination,
     "op13_periodic_runs": op13_periodic_runs,
 }
