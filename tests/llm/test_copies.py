@@ -59,8 +59,8 @@ def test_unlike_sets_of_one_component_are_dropped_by_their_sketches(spark):
     sets = [(0, 2, i, ngram_join.shingle_hashes(t, 5).tobytes()) for i, t, *_ in rows]
     members = spark.createDataFrame(sets, "component long, pieces long, doc_id long, tokens binary")
     labels = members.selectExpr("doc_id", "doc_id as label")
-    for key_rows in (4096, 7):
-        pairs = ngram_join.open_pairs(members, labels, 80, key_rows).collect()
+    for key_rows, slots in ((4096, 64), (7, 64), (7, 1)):
+        pairs = ngram_join.OpenSets(members, 80, key_rows, slots).pairs(labels, 100).collect()
         assert {(r.a, r.b) for r in pairs} == {(3, 1003), (4, 1004)}
     none = spark.createDataFrame([], "a long, b long")
     assert {(r.a, r.b) for r in ngram_join._last_round(members, none, 80, 2000).collect()} == {(3, 1003), (4, 1004)}
@@ -68,6 +68,35 @@ def test_unlike_sets_of_one_component_are_dropped_by_their_sketches(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components(rows, 5, 80)
 
 
+def test_dense_groups_pass_on_few_pairs(spark):
+    """Near copies in several classes: a pair of classes passes on its closest
+    pairs only, and the result still equals all pairs."""
+    rng = random.Random(3)
+    rows = []
+    for g in range(2):
+        base = [f"g{g}w{k}" for k in range(150)]
+        for _ in range(70):
+            copy = list(base)
+            for _ in range(rng.randrange(1, 6)):
+                copy[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy), "en", "s", 0))
+    want = components(rows, 5, 80)
+    sets = [(i, ngram_join.shingle_hashes(t, 5).tobytes()) for i, t, *_ in rows]
+    members = spark.createDataFrame(sets, "doc_id long, tokens binary")
+    labels = spark.createDataFrame([(i, 70 * (i // 70) + i % 5) for i in range(140)], "doc_id long, label long")
+    counts = {}
+    for limit in (0, 1, 16, 10_000):
+        pairs = ngram_join.OpenSets(members, 80, key_rows=20).pairs(labels, limit).collect()
+        names = {(r.label_a, r.label_b) for r in pairs}
+        counts[limit] = len({(r.a, r.b) for r in pairs})
+        assert all(a // 70 == b // 70 and a < b for a, b in names)
+        if limit < 2:
+            assert counts[limit] == len(names) <= 20
+    assert counts[1] <= counts[16] <= counts[10_000] and counts[10_000] > 500
+    got = ngram_join.jaccard_components(documents(spark, rows), 5, 80, 300).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_keys_of_linked_sets_meet():
     rng = np.random.default_rng(1)
     for percent in (70, 80, 90):

@@ -21,12 +21,16 @@ connected component of every document.
   not yet connected is verified: a short parity sketch bounds the symmetric
   difference from below by its Hamming distance, then the sets are
   intersected.  Components larger than a block are split: blocks are verified
-  alone, then one set per class and block, level by level.  Last, sets of
-  different classes meet again on their join keys, which linked sets share:
-  sizes and sketches drop pairs before any tokens travel, the rest is
-  intersected.  So work stays near-linear for dense groups, unlike sets that
-  share a passage cost their sketches only, and no possible link goes
-  unchecked.
+  alone, then one set per class and block, level by level.
+* Last, sets of different classes meet again on their join keys, which linked
+  sets share, in rounds.  A round passes on the closest pair of each pair of
+  classes that sizes and sketches allow (first among the classes' first sets
+  under each key, then among all; 16 times as many each round after), verifies
+  them and merges the classes; keys held by one class alone are out.
+  The rounds end when no pair of classes had more pairs than were passed on,
+  so no possible link goes unchecked, while a dense group in a few classes
+  costs a few pairs.  A key with very many sets is dealt again by another
+  split of their tokens.
 
 Token identity is a 64-bit hash of the n-gram.
 
@@ -63,6 +67,8 @@ SKETCH_BITS = 512
 MOST_SKETCH_BITS = 8192
 #: Sets of one join key that meet at once outside the blocks.
 KEY_ROWS = 4096
+#: Sub-blocks of a key beyond which its sets are dealt again.
+MOST_SLOTS = 64
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -163,15 +169,24 @@ def set_classes(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _key_blobs(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
-    """(bucket, keys, low, ids): the join keys of each task's distinct sets,
-    packed per bucket: 32 bits of each key (the bucket holds the rest of what
-    tells keys apart) and its id, less the row's lowest id, in 4 bytes where
-    that fits.  Equal sets within a task join once, under their first id."""
-    schema = schema_of("bucket int, keys binary, low long, ids binary")
+    """(bucket, keys, low, ids, met): the join keys of each task's distinct
+    sets, packed per bucket: 32 bits of each key (the bucket holds the rest of
+    what tells keys apart) and its id, less the row's lowest id, in 4 bytes
+    where that fits.  Equal sets within a task join once, under their first
+    id.  Sets that share a key within a task have met: their pairs with the
+    key's least id travel in ``met``, and only that id goes on with the key."""
+    schema = schema_of("bucket int, keys binary, low long, ids binary, met binary")
     arrow = to_arrow_schema(schema)
 
     def flush(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
         k, i = np.concatenate(keys), np.concatenate(ids)
+        order = np.lexsort((i, k))
+        k, i = k[order], i[order]
+        first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        least = np.repeat(i[first], np.diff(np.r_[first, len(i)]))
+        apart = least != i
+        met = np.unique(np.stack([least[apart], i[apart]], axis=1), axis=0)
+        k, i = k[first], i[first]
         bucket = ((k >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         k, i, bucket = k[order].astype(np.uint32), i[order], bucket[order]
@@ -180,12 +195,15 @@ def _key_blobs(docs: DataFrame, words: int, percent: int, buckets: int) -> DataF
         low = np.minimum.reduceat(i, cuts)
         past = i - np.repeat(low, ends - cuts)
         past = past.astype(np.uint32) if past.max() < 1 << 32 else past
+        # The pairs ride along with the rows, a share with each.
+        shares = np.array_split(met, len(cuts))
         return record_batch(
             {
                 "bucket": bucket[cuts].astype(np.int32),
                 "keys": [k[a:b].tobytes() for a, b in zip(cuts, ends)],
                 "low": low,
                 "ids": [past[a:b].tobytes() for a, b in zip(cuts, ends)],
+                "met": [x.astype(np.int64).tobytes() for x in shares],
             },
             arrow,
         )
@@ -234,7 +252,8 @@ def _meetings(blobs: DataFrame) -> DataFrame:
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         least = np.repeat(ids[first], np.diff(np.r_[first, len(ids)]))
         differ = least != ids
-        pairs = np.unique(np.stack([least[differ], ids[differ]], axis=1), axis=0)
+        known = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in frame["met"]]
+        pairs = np.unique(np.concatenate([np.stack([least[differ], ids[differ]], axis=1), *known]), axis=0)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return blobs.groupBy("bucket").applyInPandas(meet, "a long, b long")
@@ -352,10 +371,10 @@ def verified_links(members: DataFrame, percent: int, shared: int, block_tokens:
 
 
 def wide_sketch(tokens: np.ndarray) -> bytes:
-    """Parity sketch of two bits or more a token (a power of two between
-    ``SKETCH_BITS`` and ``MOST_SKETCH_BITS``), so that long unlike sets still
+    """Parity sketch of eight bits or more a token (a power of two between
+    ``SKETCH_BITS`` and ``MOST_SKETCH_BITS``), so that unlike sets still
     differ in it.  The XOR of its halves is the sketch of half the width."""
-    bits = min(MOST_SKETCH_BITS, max(SKETCH_BITS, 1 << (2 * len(tokens) - 1).bit_length()))
+    bits = min(MOST_SKETCH_BITS, max(SKETCH_BITS, 1 << (8 * len(tokens) - 1).bit_length()))
     bit = (mix64(tokens) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(bit, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
@@ -372,8 +391,34 @@ def _same_width(sketches: list[bytes]) -> np.ndarray:
     return np.stack(out)
 
 
-def _possible_pairs(ids, labels, sizes, sketches, percent: int) -> Iterator[tuple[int, int]]:
-    """(i, j) of different labels whose sizes and sketches allow a link."""
+class _Closest:
+    """The ``limit`` closest pairs of every pair of labels; ``more`` are the
+    label pairs that had further ones."""
+
+    def __init__(self, limit: int):
+        self.limit, self.rows, self.waiting, self.size = limit, np.empty((0, 5), dtype=np.int64), [], 0
+        self.more: set[tuple[int, int]] = set()
+
+    def add(self, rows: np.ndarray) -> None:
+        """Rows of (lower label, higher label, closeness, a, b)."""
+        self.waiting.append(rows)
+        self.size += len(rows)
+        if self.size > 200_000:
+            self.settle()
+
+    def settle(self) -> np.ndarray:
+        rows = np.unique(np.concatenate([self.rows, *self.waiting]), axis=0)  # sorted, repeats go
+        head = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)][: len(rows)]
+        start = np.flatnonzero(head)
+        place = np.arange(len(rows)) - np.repeat(start, np.diff(np.r_[start, len(rows)]))
+        self.more.update(map(tuple, rows[place == self.limit, :2].tolist()))
+        self.rows, self.waiting, self.size = rows[place < self.limit], [], 0
+        return self.rows
+
+
+def _possible_pairs(ids, labels, sizes, sketches, percent: int, found: _Closest) -> None:
+    """Adds the pairs of different labels whose sizes and sketches allow a
+    link.  Closeness is the Hamming distance less what a link allows."""
     sketches = _same_width(sketches)
     names, count = np.unique(labels, return_counts=True)
     hosts = labels == names[np.argmax(count)]  # one label: none of its pairs is open
@@ -384,66 +429,133 @@ def _possible_pairs(ids, labels, sizes, sketches, percent: int) -> Iterator[tupl
         fits = (labels[others] != labels[i]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
         others = others[fits]
         apart = np.bitwise_count(sketches[others] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-        for j in others[apart * (100 + percent) <= (n + sizes[others]) * (100 - percent)].tolist():
-            yield int(ids[i]), int(ids[j])
-
-
-def open_pairs(members: DataFrame, labels: DataFrame, percent: int, key_rows: int = KEY_ROWS) -> DataFrame:
-    """(a, b, label_a, label_b): the pairs of ``members`` (doc_id, tokens)
-    with different ``labels`` (doc_id, label) that share a join key and that
-    sizes and sketches do not tell apart.  Only keys and sketches travel; the
-    sets of a key held by more than ``key_rows`` meet in pairs of sub-blocks."""
-    schema = schema_of("doc_id long, label long, n long, sketch binary, keys array<long>")
-    arrow = to_arrow_schema(schema)
-
-    def to_keys(batches):
-        bands = Bands(percent)
-        for batch in batches:
-            for part in slices(batch, "tokens"):
-                sets = [np.frombuffer(t, np.uint64) for t in part.column("tokens").to_pylist()]
-                yield record_batch(
-                    {
-                        "doc_id": part.column("doc_id").to_pylist(),
-                        "label": part.column("label").to_pylist(),
-                        "n": [len(s) for s in sets],
-                        "sketch": [wide_sketch(s) for s in sets],
-                        "keys": [np.unique(part_keys(s, bands)).view(np.int64) for s in sets],
-                    },
-                    arrow,
-                )
-
-    scratch = Scratch(members.sparkSession)
-    sets = members.select("doc_id", "tokens").join(labels, "doc_id").select("doc_id", "label", "tokens")
-    sets = scratch.write(sets.mapInArrow(to_keys, schema), "join_open_sets")
-    keys = sets.select(F.explode("keys").alias("key"), "doc_id", "label")
-    # Keys that one class holds alone say nothing new.
-    mixed = keys.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / key_rows).alias("slots")
-    )
-    met = scratch.write(keys.drop("label").join(mixed.where("low <> high").select("key", "slots"), "key"), "join_met")
-    slot = F.pmod(F.xxhash64("doc_id"), F.col("slots"))
-    met = met.withColumn("slot", slot).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)))
-    # (key, pair of slots): hashed to one number, which also deals the groups.
-    group = F.xxhash64("key", F.least("slot", "other"), F.greatest("slot", "other"))
-    buckets = max(1, met.count() // key_rows)
-    dealt = met.select(group.alias("meeting"), "doc_id").join(sets.drop("keys"), "doc_id")
-    dealt = dealt.withColumn("bucket", F.pmod("meeting", F.lit(buckets)))
-
-    def meet(frame: pd.DataFrame) -> pd.DataFrame:
-        found = set()
-        label = dict(zip(frame["doc_id"].tolist(), frame["label"].tolist()))
-        for _, part in frame.groupby("meeting", sort=False):
-            ids, labels_ = part["doc_id"].to_numpy(), part["label"].to_numpy()
-            if (labels_ != labels_[0]).any():
-                found.update(_possible_pairs(ids, labels_, part["n"].to_numpy(), part["sketch"].tolist(), percent))
-        rows = [(min(p), max(p), label[min(p)], label[max(p)]) for p in found]
-        return pd.DataFrame(rows, columns=["a", "b", "label_a", "label_b"]).astype("int64")
-
-    schema = "a long, b long, label_a long, label_b long"
-    pairs = dealt.groupBy("bucket").applyInPandas(meet, schema).distinct()
-    pairs = write_and_read(pairs, "join_open_pairs")
-    scratch.drop()
-    return pairs
+        slack = apart * (100 + percent) - (n + sizes[others]) * (100 - percent)
+        others, slack = others[slack <= 0], slack[slack <= 0]
+        if len(others):
+            own = np.full(len(others), ids[i]), np.full(len(others), labels[i])
+            swap = labels[others] < own[1]
+            a, b = np.where(swap, ids[others], own[0]), np.where(swap, own[0], ids[others])
+            low, high = np.minimum(labels[others], own[1]), np.maximum(labels[others], own[1])
+            found.add(np.stack([low, high, slack, a, b], axis=1))
+
+
+_PAIRS = "label_a long, label_b long, closeness long, a long, b long, more boolean"
+
+
+class OpenSets:
+    """Sets that may link across classes, with their join keys.
+
+    ``members`` are (doc_id, tokens); a key held by more than ``key_rows``
+    sets meets in pairs of sub-blocks, and one of more than ``slots`` such
+    blocks is split by the join keys of a second, independent dealing of its
+    sets' tokens (which linked sets share as well), until none is left or the
+    next dealing tells no more apart."""
+
+    def __init__(self, members: DataFrame, percent: int, key_rows: int = KEY_ROWS, slots: int = MOST_SLOTS):
+        self.scratch = Scratch(members.sparkSession)
+        self.percent, self.key_rows, self.slots = percent, key_rows, slots
+        schema = schema_of("doc_id long, n long, sketch binary, keys array<long>")
+        arrow = to_arrow_schema(schema)
+
+        def to_keys(batches):
+            bands = Bands(percent)
+            for batch in batches:
+                for part in slices(batch, "tokens"):
+                    sets = [np.frombuffer(t, np.uint64) for t in part.column("tokens").to_pylist()]
+                    yield record_batch(
+                        {
+                            "doc_id": part.column("doc_id").to_pylist(),
+                            "n": [len(s) for s in sets],
+                            "sketch": [wide_sketch(s) for s in sets],
+                            "keys": [np.unique(part_keys(s, bands)).view(np.int64) for s in sets],
+                        },
+                        arrow,
+                    )
+
+        self.members = members.select("doc_id", "tokens")
+        self.sets = self.scratch.write(self.members.mapInArrow(to_keys, schema), "join_open_sets")
+
+    def _mixed(self, keys: DataFrame) -> DataFrame:
+        """(key, slots) of the keys that more than one class holds."""
+        held = keys.groupBy("key").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / self.key_rows).alias("slots")
+        )
+        return held.where("low <> high").select("key", "slots")
+
+    def _split_again(self, crowd: DataFrame, turn: int) -> DataFrame:
+        """(key, doc_id, label): the rows of ``crowd`` (key, doc_id, label)
+        under keys of another dealing."""
+        percent = self.percent
+
+        def again(cols: dict) -> dict:
+            bands, out = Bands(percent), {"key": [], "doc_id": [], "label": []}
+            turn_salt = np.uint64(mix64(np.array([turn], dtype=np.uint64))[0])
+            for key, doc_id, label, tokens in zip(cols["key"], cols["doc_id"], cols["label"], cols["tokens"]):
+                keys = np.unique(part_keys(mix64(np.frombuffer(tokens, np.uint64) ^ turn_salt), bands))
+                keys = mix64(keys ^ np.int64(key).view(np.uint64)).view(np.int64)
+                out["key"].append(keys)
+                out["doc_id"].append(np.full(len(keys), doc_id, dtype=np.int64))
+                out["label"].append(np.full(len(keys), label, dtype=np.int64))
+            return {c: np.concatenate([np.empty(0, dtype=np.int64), *v]) for c, v in out.items()}
+
+        sent = crowd.join(self.members, "doc_id").select("key", "doc_id", "label", "tokens")
+        return map_documents(sent, again, schema_of("key long, doc_id long, label long"), sent.columns, "tokens")
+
+    def meetings(self, labels: DataFrame, first: bool = False) -> DataFrame:
+        """(key, slots, doc_id, label): the sets of the keys to compare on
+        (with ``first`` only the first of each key and class)."""
+        keys = self.sets.join(labels, "doc_id").select(F.explode("keys").alias("key"), "doc_id", "label")
+        if first:
+            keys = keys.groupBy("key", "label").agg(F.min("doc_id").alias("doc_id")).select("key", "doc_id", "label")
+        met, turn, before = None, 0, None
+        while True:
+            here = self.scratch.write(keys.join(self._mixed(keys), "key"), "join_met")
+            crowd = here.where(F.col("slots") > self.slots)
+            hot = crowd.agg(F.max("slots")).first()[0]
+            # A crowd that another dealing does not thin out consists of near
+            # copies: it meets as it is.
+            last = hot is None or (before is not None and 2 * hot > before)
+            cold = here if last else here.where(F.col("slots") <= self.slots)
+            met = cold if met is None else met.unionByName(cold)
+            if last:
+                return met
+            before, turn = hot, turn + 1
+            keys = self._split_again(crowd.select("key", "doc_id", "label"), turn)
+
+    def pairs(self, labels: DataFrame, limit: int) -> DataFrame:
+        """(label_a, label_b, closeness, a, b, more): of every two classes
+        whose sets meet and may link, the ``limit`` closest pairs or more;
+        with ``limit`` 0 the closest one if each key's classes are met by
+        their first set only."""
+        percent, key_rows = self.percent, self.key_rows
+        met = self.meetings(labels, first=limit == 0)
+        limit = max(1, limit)
+        slot = F.pmod(F.xxhash64("doc_id"), F.col("slots"))
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))
+        met = met.withColumn("slot", slot).withColumn("other", other)
+        # (key, pair of slots): hashed to one number, which also deals the groups.
+        group = F.xxhash64("key", F.least("slot", "other"), F.greatest("slot", "other"))
+        buckets = max(1, met.count() // key_rows)
+        dealt = met.select(group.alias("meeting"), "doc_id", "label").join(self.sets.drop("keys"), "doc_id")
+        dealt = dealt.withColumn("bucket", F.pmod("meeting", F.lit(buckets)))
+
+        def meet(frame: pd.DataFrame) -> pd.DataFrame:
+            found = _Closest(limit)
+            for _, part in frame.groupby("meeting", sort=False):
+                ids, labels_ = part["doc_id"].to_numpy(), part["label"].to_numpy()
+                if (labels_ != labels_[0]).any():
+                    _possible_pairs(ids, labels_, part["n"].to_numpy(), part["sketch"].tolist(), percent, found)
+            out = pd.DataFrame(found.settle(), columns=["label_a", "label_b", "closeness", "a", "b"])
+            return out.assign(more=[p in found.more for p in zip(out["label_a"].tolist(), out["label_b"].tolist())])
+
+        pairs = dealt.groupBy("bucket").applyInPandas(meet, _PAIRS)
+        if limit == 1:
+            # The closest of all meetings, by a two-phase aggregate.
+            best = F.min(F.struct("closeness", "a", "b")).alias("best")
+            others = (F.bool_or("more") | (F.min(F.struct("a", "b")) != F.max(F.struct("a", "b")))).alias("more")
+            pairs = pairs.groupBy("label_a", "label_b").agg(best, others)
+            pairs = pairs.select("label_a", "label_b", "best.closeness", "best.a", "best.b", "more")
+        return pairs.distinct()
 
 
 def _verify_pairs(pairs: DataFrame, members: DataFrame, percent: int, block_tokens: int) -> DataFrame:
@@ -491,7 +603,7 @@ def _verify_pairs(pairs: DataFrame, members: DataFrame, percent: int, block_toke
 def _last_round(members: DataFrame, links: DataFrame, percent: int, block_tokens: int) -> DataFrame | None:
     """Edges between sets of split components that are still in different
     classes.  Linked sets share a join key, so only sets that meet again on
-    one are compared."""
+    one are compared: closest first, merging classes round by round."""
     split = members.where("pieces > 1").select("component", "doc_id")
     if split.isEmpty():
         return None
@@ -500,13 +612,41 @@ def _last_round(members: DataFrame, links: DataFrame, percent: int, block_tokens
         "label", F.coalesce("label", "doc_id")
     )
     apart = named.groupBy("component").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = named.join(apart.where("low <> high"), "component").select("doc_id", "label").distinct()
-    open_ = write_and_read(open_, "join_open")
-    if open_.isEmpty():
+    labels = named.join(apart.where("low <> high"), "component").select("doc_id", "label").distinct()
+    labels = write_and_read(labels, "join_open")
+    if labels.isEmpty():
         return None
-    members = members.where("pieces > 1")
-    pairs = open_pairs(members, open_, percent)
-    return None if pairs.isEmpty() else _verify_pairs(pairs, members, percent, block_tokens)
+    members = members.where("pieces > 1").select("doc_id", "tokens")
+    sets = OpenSets(members.join(labels.select("doc_id"), "doc_id", "left_semi"), percent)
+    edges, limit = None, 0
+    while True:
+        pairs = write_and_read(sets.pairs(labels, limit), "join_open_pairs")
+        if pairs.isEmpty() and limit:
+            break
+        found = _verify_pairs(pairs, members, percent, block_tokens)
+        edges = found if edges is None else edges.union(found)
+        # Classes that a verified pair joins are one from now on.
+        ends = found.join(pairs, ["a", "b"]).select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        merged = connected_components(ends).toDF("label", "top")
+        labels = labels.join(merged, "label", "left").select("doc_id", F.coalesce("top", "label").alias("label"))
+        labels = write_and_read(labels, "join_open")
+        if limit == 0:  # all classes meet again, by all their sets
+            limit = 1
+            continue
+        rest = pairs.where("more").select("label_a", "label_b").distinct()
+        rest = rest.join(merged.toDF("label_a", "top_a"), "label_a", "left").join(
+            merged.toDF("label_b", "top_b"), "label_b", "left"
+        )
+        rest = rest.where(F.coalesce("top_a", "label_a") != F.coalesce("top_b", "label_b"))
+        rest = rest.select(F.coalesce("top_a", "label_a").alias("u"), F.coalesce("top_b", "label_b").alias("v"))
+        if (rest := write_and_read(rest, "join_rest_labels")).isEmpty():
+            break
+        # Only classes that had further pairs meet again.
+        open_ = rest.select(F.col("u").alias("label")).union(rest.select("v")).distinct()
+        labels = write_and_read(labels.join(open_, "label", "left_semi"), "join_open")
+        limit *= 16
+    sets.scratch.drop()
+    return edges
 
 
 def jaccard_components(
