@@ -93,6 +93,19 @@ def test_chunk_tokenizer(texts):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_word_of_the_vocabulary():
+    """Whole words merge in tiktoken as in the library, for all of them."""
+    import json
+
+    path = vocabulary("word_bpe_49k.json")
+    mine, library = _word_tokenizers()
+    stems = {t.removesuffix("</w>") for t in json.loads(file_bytes(path))["model"]["vocab"]}
+    stems = sorted(t for t in stems if t.isascii() and t.isalpha())
+    want = library.encode(" ".join(stems), add_special_tokens=False).ids
+    assert len(stems) > 20_000
+    assert np.frombuffer(b"".join(mine.encode([" ".join(stems)])), "<u4").tolist() == want
+
+
 def _word_tokenizers(made=[]):
     if not made:
         from tokenizers import Tokenizer

@@ -7,9 +7,9 @@ length.  Packing runs in independent groups of about ``group_sequences``
 sequences, so each task holds a bounded number of piece lengths and no texts,
 at the price of about one part-filled sequence a group.
 
-Token ids come from the tokenizers library.  Its pre-tokenizer drops white
+Token ids are those of the tokenizers library.  Its pre-tokenizer drops white
 space and never joins across it, so ids are kept per white-space-separated
-chunk, and the library runs once per distinct chunk and worker.
+chunk and per word in it, in bounded generations per worker.
 
 Cases: a null or empty text is one piece with the end id only; a document
 longer than a sequence is cut into full sequences and a rest; repeated
@@ -19,69 +19,85 @@ place).
 
 from __future__ import annotations
 
-import re
+import hashlib
+import json
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import file_bytes, map_documents, schema_of
+from tillroll.llm.bpe import SPACE, byte_alphabet
+from tillroll.llm.common import Kept, file_bytes, map_documents, schema_of
 from tillroll.plans.materialize import write_and_read
 
-#: Chunks whose ids a worker keeps.
-CACHE = 1_000_000
-
-_CHUNKS = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+#: Chunks whose ids a worker keeps (twice as many at most, some 200 bytes
+#: each); longer ones are not kept.
+CACHE, LONG = 700_000, 64
+#: Fixed value: the pre-tokenizer's pattern.
+PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
+_WORDS = regex.compile(PATTERN)
+#: Up to this character (the end of the Latin letters) normalisation and lower
+#: case need no tables of the library's own.
+_LATIN = "\u024f"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class ChunkTokenizer:
-    """Ids of whole texts through the tokenizers library, chunk by chunk."""
+    """Ids of whole texts, chunk by chunk (a chunk has no ASCII white space).
+
+    A word's merges run in tiktoken: the vocabulary's word end becomes a NUL
+    after the word, which joins its last character before anything else
+    merges.  Chunks with letters beyond Latin ones, with a NUL or with a
+    special token's beginning go through the library."""
 
     def __init__(self, data: bytes):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(data.decode("utf-8"))
         self.library.no_padding()
         self.library.no_truncation()
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encode the chunks that are not known yet, many in one call: joined
-        by spaces, and told apart again by the tokens' places."""
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = list(chunks)
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            found = self.library.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4")
-            places = np.fromiter((o[0] for o in found.offsets), dtype=np.int64, count=len(ids))
-            ends = np.cumsum(np.fromiter((len(c) + 1 for c in part), dtype=np.int64, count=len(part)))
-            cuts = np.searchsorted(places, ends[:-1], side="left").tolist()
-            raw = ids.tobytes()
-            for c, a, b in zip(part, [0, *cuts], [*cuts, len(ids)]):
-                self.known[c] = raw[4 * a : 4 * b]
+        spec = json.loads(data)
+        suffix = spec["model"]["end_of_word_suffix"]
+        byte_of = {c: b for b, c in byte_alphabet().items()}
+        ranks = {}
+        for token, i in spec["model"]["vocab"].items():
+            ends = token.endswith(suffix)
+            stem = token[: -len(suffix)] if ends else token
+            if all(c in byte_of for c in stem):
+                ranks[bytes(byte_of[c] for c in stem) + (b"\0" if ends else b"")] = i
+        self.merge = tiktoken.Encoding(
+            "words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
+        self.chunks = Kept(self._chunk, CACHE, LONG)
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode("utf-8")
+        if max(text) > _LATIN or "<|" in text or "\0" in text:
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        text = (text if text.isascii() else unicodedata.normalize("NFC", text)).lower()
+        ids = self.merge("\0".join([*_WORDS.findall(text), ""]))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [_CHUNKS.findall(t) if t else [] for t in texts]
-        self.learn(set().union(*split))
-        for chunks in split:
-            yield b"".join(map(self.known.__getitem__, chunks))
+        for text in texts:
+            yield b"".join(map(self.chunks.__getitem__, text.encode("utf-8").split())) if text else b""
 
 
-_loaded: dict[int, ChunkTokenizer] = {}
+_loaded: dict[bytes, ChunkTokenizer] = {}
 
 
 def _tokenizer(data) -> ChunkTokenizer:
-    key = hash(data.value)
+    key = hashlib.sha256(data.value).digest()
     if key not in _loaded:
         _loaded.clear()
         _loaded[key] = ChunkTokenizer(data.value)
