@@ -6,7 +6,8 @@ PAGE = "page_id long, url string, html string"
 
 
 def content(source):
-    return [b[3] for b in wrapper.skeleton(wrapper.parse(source)).blocks if b[2] != wrapper.EXCLUDED]
+    """Blocks of a page without what its tags and names exclude."""
+    return [b["text"] for b in wrapper.choose(wrapper.blocks_of(wrapper.skeleton(wrapper.parse(source))))]
 
 
 def test_blocks_of_a_page():
@@ -142,3 +143,134 @@ def test_roles_hold_at_any_depth():
     s = wrapper.skeleton(wrapper.parse("<div>" * 5000 + "text"))
     assert wrapper.read_skeleton(s.text) == (s.labels, s.children) and len(s.labels) == 5001
     assert len(wrapper.match_trees((s.labels, s.children), (s.labels, s.children))) == 5001
+
+
+def host(spark, page, count=8):
+    rows = [(i, f"http://six.example/{i}", page(i)) for i in range(count)]
+    return {r.page_id: r.text for r in wrapper.extract_pages(spark.createDataFrame(rows, PAGE)).collect()}
+
+
+def words_of(i, kind, n):
+    return " ".join(f"{kind}{(i * 31 + k * 7) % 997}" for k in range(n))
+
+
+def test_long_slot_beside_an_article_stays(spark):
+    def page(i):
+        return (
+            f"<body><div class='top'>Site name</div><article><p>{words_of(i, 'a', 70)}</p></article>"
+            f"<div class='body'><p>{words_of(i, 'story', 90)}</p></div><div class='day'>day {i}</div></body>"
+        )
+
+    assert host(spark, page)[3] == f"{words_of(3, 'a', 70)}\n{words_of(3, 'story', 90)}"
+
+
+def test_the_only_article_may_be_a_comment(spark):
+    def page(i):
+        return (
+            f"<body><div class='content'><p>{words_of(i, 'story', 60)}</p></div>"
+            f"<article class='comment'><p>{words_of(i, 'said', 30)}</p></article></body>"
+        )
+
+    assert host(spark, page)[2] == words_of(2, "story", 60)
+
+
+def test_names_do_not_take_the_longest_slot(spark):
+    def shared(i):
+        return f"<body><div class='day'>day {i}</div><div class='post share'><p>{words_of(i, 'story', 60)}</p></div></body>"
+
+    assert host(spark, shared)[5] == f"day 5\n{words_of(5, 'story', 60)}"
+
+    def data_names(i):
+        return f"<body><article><div data-role=search data-id=ad><p>{words_of(i, 'story', 9)}</p></div></article></body>"
+
+    assert host(spark, data_names)[5] == words_of(5, "story", 9)
+
+
+def test_a_long_advert_beside_a_short_article_goes():
+    advert = f"<div class='ad'>{words_of(1, 'buy', 40)}</div>"
+    assert content(f"<nav>x</nav>{advert}<article><h1>T</h1><p>short</p></article>") == ["T", "short"]
+    assert content(f"<article><h1>T</h1><div class='post share'><p>{words_of(1, 'story', 9)}</p></div></article>{advert}") == [
+        "T", words_of(1, "story", 9)]
+
+
+def test_comments_and_boxes_inside_an_article_go(spark):
+    def page(i):
+        many = "".join(f"<div class='c'><p>{words_of(i + k, 'said', 40)}</p></div>" for k in range(i))
+        return (
+            f"<body><article><h1 class='entry-header'>Title {i}</h1><p>{words_of(i, 'story', 50)}</p>"
+            f"<div class='newsletter-box'><p>join {words_of(i, 'n', 5)}</p></div>"
+            f"<div class='reader-comments'>{many}</div><div class='comments-area'><p>{words_of(i, 'r', 8)}</p></div>"
+            f"<p class='share-price'>end {i}</p></article></body>"
+        )
+
+    out = host(spark, page)
+    for i in range(8):
+        assert out[i] == f"Title {i}\n{words_of(i, 'story', 50)}\nend {i}"
+
+
+def test_unclosed_quote_leaves_no_markup():
+    assert content('<p title="abc>first</p><p>second</p>') == ["first", "second"]
+    assert content("<div class='x><p>a</p></div>") == ["a"]
+
+
+def plain_extract(pages):
+    """{page_id: text} of hosts without declared slots or names, by comparing
+    the texts at equal paths page by page."""
+    import re
+    from collections import defaultdict
+
+    held = {}
+    for page_id, source in pages:
+        stack, blocks, count = [], [], defaultdict(int)
+        for tag in re.findall(r"<(/?)(\w+)(?: class='(\w+)')?>|([^<>]+)", source):
+            ends, name, cls, text = tag
+            if text:
+                blocks.append((tuple(stack), text))
+            elif ends:
+                stack.pop()
+            else:
+                stack.append(f"{name}.{cls}")
+        held[page_id] = blocks
+    texts = defaultdict(lambda: defaultdict(set))
+    for page_id, blocks in held.items():
+        own = defaultdict(list)
+        for path, text in blocks:
+            own[path].append(text)
+        for path, found in own.items():
+            texts[path]["\n".join(found)].add(page_id)
+    lost = set()
+    for path, found in texts.items():
+        seen = sum(map(len, found.values()))
+        if seen >= wrapper.LEAST_PAGES and max(map(len, found.values())) >= wrapper.CONSTANT_SHARE * seen:
+            lost.add(path)
+    return {i: "\n".join(t for path, t in blocks if path not in lost) for i, blocks in held.items()}
+
+
+def test_hosts_equal_a_plain_comparison(spark):
+    """Pages of one shape in random templates: wrapper against a comparison of
+    all texts by path."""
+    import random
+
+    rng = random.Random(8)
+    rows, want = [], {}
+    for h in range(5):
+        names = [f"k{c}" for c in rng.sample("abcdefgh", 6)]
+        fixed = [rng.random() < 0.5 for _ in names]
+        pages = []
+        for i in range(rng.randrange(4, 12)):
+            parts = [
+                f"<div class='{c}'><p>{'template ' + c if f else words_of(100 * h + i, c, rng.randrange(1, 30))}</p></div>"
+                for c, f in zip(names, fixed)
+            ]
+            pages.append((100 * h + i, f"<html><body>{''.join(parts)}</body></html>"))
+        rows += [(i, f"http://h{h}.example/{i}", source) for i, source in pages]
+        want |= plain_extract(pages)
+    got = {r.page_id: r.text for r in wrapper.extract_pages(spark.createDataFrame(rows, PAGE)).collect()}
+    assert got == want
+
+
+def test_very_long_pages_and_ties(spark):
+    story = words_of(1, "w", 120_000)
+    rows = [(1, "http://l.example/1", f"<article><p>{story}</p></article>" + "<div>" * 2000), (2, "x", "<p>aa</p><div class='ad'>bb</div>")]
+    out = {r.page_id: r.text for r in wrapper.extract_pages(spark.createDataFrame(rows, PAGE)).collect()}
+    assert out[1] == story and out[2] == "aa"

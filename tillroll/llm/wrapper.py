@@ -10,20 +10,23 @@ the host it is counted which texts a template node holds:
 * a node with the same text on most pages is part of the template and goes,
 * a node whose text varies is a slot, and its blocks are content.
 
-Two priors come from the markup.  What HTML itself marks as menu, header,
-footer, aside, form or script, or a whole class, id or role as advert, notice
-or comments, is no content, except around or on ``main`` or the page's only
-``article``.  A name that just contains such a word (``has-sidebar``) takes
-effect only where the induced node is constant or a menu.  And
-``article`` / ``main`` declare where the content is.  A slot made of links is
-a menu.
-
-Inside declared slots the verdict goes by block: a text that most of the
-host's different declared slots with its path hold is part of the template
-and goes, and so does a block of links in a menu.  Pages whose declared slots
-are equal count once, so copies do not make their story a constant.  Slots
-outside go, unless long ones hold most of the page (``article`` is a teaser
-or a card there): then they stay as on pages that declare nothing.
+Markup comes second.  Menus, footers, asides, forms, scripts and headers go
+by their tags alone.  ``article`` and ``main`` declare where the content is:
+
+* Inside declared slots the verdict goes by block: a text that most of the
+  host's different declared slots with its path hold is part of the template
+  and goes, and so does a block of links in a menu.  Pages whose declared
+  slots are equal count once, so copies do not make their story a constant.
+* A slot outside stays if it is known to vary and is long: ``LONG_SLOT``
+  characters, or more than the declared slots hold together.
+
+A class, id or role with a word like ``comments``, ``sidebar`` or ``ad`` says
+that its element is no content, except where the element holds the page's
+story: its longest slot after the verdicts above, among the declared ones if
+one of them is under no such name.  A slot under no such name is the story
+unless one under a name is twice as long, and readers' comments are only if
+nothing else is left.  A word that is a part of a name
+(``has-sidebar``) counts on containers only.
 
 All counts are Spark aggregations over (host, node, text hash) and (host,
 path, text hash): no host is gathered in one task, and alignment runs once
@@ -31,8 +34,9 @@ per (host, skeleton).
 
 Cases: a null or empty html gives an empty text; a null url is the host "";
 hosts with fewer than ``LEAST_PAGES`` pages have no constants and rely on the
-markup; unclosed, misnested and truncated markup closes where HTML closes it;
-elements have their own node and role at any depth.
+markup; unclosed, misnested and truncated markup closes where HTML closes it,
+and a tag with an unclosed quote ends at its first ``>``; elements have their
+own node and role at any depth; of slots equally long the first is the story.
 """
 
 from __future__ import annotations
@@ -44,11 +48,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import map_documents, schema_of
+from tillroll.llm.common import Scratch, map_documents, schema_of
 from tillroll.plans.materialize import write_and_read
 
 #: A template node is constant when one text has this share of its pages, and
@@ -57,10 +61,8 @@ CONSTANT_SHARE = 0.6
 LEAST_PAGES = 4
 #: Links that make a slot a menu, as a share of its characters.
 LINK_SHARE = 0.5
-#: Characters of a slot outside the declared ones that may be the story, and
-#: the share of the page below which declared blocks are not all of it.
+#: Characters that make a varying slot outside the declared ones content.
 LONG_SLOT = 200
-DECLARED_SHARE = 0.3
 
 # HTML element names by their behaviour.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -91,10 +93,23 @@ NEVER_WORDS = frozenset(
     "related recommended widget toolbar pagination pager contentinfo complementary search skip".split()
 )
 
+#: Words of readers' comments, and those that count as parts of names inside
+#: declared slots (all others only outside).
+COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
+INSIDE_WORDS = COMMENT_WORDS | frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent popup "
+    "modal newsletter subscribe signup login sidebar breadcrumb breadcrumbs share sharing social related recommended "
+    "widget toolbar pagination pager".split()
+)
+#: Elements on which a part of a name counts.
+CONTAINERS = frozenset("div section article aside ul ol dl table header figure details center address".split())
+
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    re.S,
 )
-_NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMES = re.compile(r"(?:^|(?<=\s))(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _HOST = re.compile(r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/:?#]+)")
 
@@ -110,7 +125,7 @@ class Node:
     tag: str = ""
     names: str = ""
     role: int = 0
-    hinted: bool = False
+    named: int = 0
     children: list["Node"] = field(default_factory=list)
     texts: list[tuple[int, str, int]] = field(default_factory=list)
 
@@ -130,48 +145,29 @@ def _named(names: str) -> bool:
     return bool(names) and not NEVER_WORDS.isdisjoint(names.split())
 
 
-def _hinted(names: str) -> bool:
-    return bool(names) and not NEVER_WORDS.isdisjoint(_WORD.findall(names))
+def _name_kind(node: Node) -> int:
+    """0: the names say nothing, 1: no content, 2: readers' comments."""
+    if not node.names or node.tag in ("html", "body"):
+        return 0
+    tokens = set(node.names.split())
+    words = set(_WORD.findall(node.names)) if node.tag in CONTAINERS else tokens
+    if not COMMENT_WORDS.isdisjoint(words):
+        return 2
+    parts = INSIDE_WORDS if node.role == DECLARED else NEVER_WORDS
+    return int(not (NEVER_WORDS.isdisjoint(tokens) and parts.isdisjoint(words)))
 
 
 def assign_roles(root: Node) -> None:
-    """Roles and hints of all nodes.  Words in names are a prior only: they
-    never exclude ``main``, what contains it, or the page's last ``article``."""
+    """Roles by tags, and what the names say, of all nodes."""
     order = [root]
     for node in order:
         order.extend(node.children)
-    stories = {id(n) for n in order if n.tag in ("article", "main")}
-    mains: set[int] = set()
-    holds: set[int] = set()
-    for node in reversed(order):
-        if node.tag == "main" or any(id(c) in mains for c in node.children):
-            mains.add(id(node))
-        if id(node) in stories or any(id(c) in holds for c in node.children):
-            holds.add(id(node))
-
-    def assign(spare: set[int]) -> bool:
-        """Whether some article or main is left."""
-        left = not stories
-        root.role, root.hinted = PLAIN, False
-        for parent in order:
-            for node in parent.children:
-                node.role = _role(node, parent.role, id(node) in spare)
-                node.hinted = parent.hinted or (id(node) not in holds and _hinted(node.names))
-                left = left or (node.role == DECLARED and id(node) in stories)
-        return left
-
-    if not assign(mains):
-        assign(holds)
-
-
-def _role(node: Node, parent: int, spared: bool) -> int:
-    if parent == EXCLUDED or node.tag in NEVER:
-        return EXCLUDED
-    if _named(node.names) and not spared and node.tag not in ("html", "body"):
-        return EXCLUDED
-    if node.tag == "header" and parent != DECLARED:
-        return EXCLUDED
-    return DECLARED if node.tag in ("article", "main") else parent
+        for child in node.children:
+            if node.role == EXCLUDED or child.tag in NEVER or (child.tag == "header" and node.role != DECLARED):
+                child.role = EXCLUDED
+            else:
+                child.role = DECLARED if child.tag in ("article", "main") else node.role
+            child.named = _name_kind(child)
 
 
 def parse(source: str | None) -> Node:
@@ -230,11 +226,11 @@ def parse(source: str | None) -> Node:
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
-        tag = m[2]
+        ends, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if tag is None:
             continue
         tag = tag.lower()
-        if m[1]:
+        if ends:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
                     close(i)
@@ -262,7 +258,7 @@ def parse(source: str | None) -> Node:
         if tag in CLOSES:
             close_open(*CLOSES[tag])
         _, node, skip, link = stack[-1]
-        names = " ".join(a or b or c for _, a, b, c in _NAMES.findall(m[3])).lower() if m[3] else ""
+        names = " ".join(a or b or c for _, a, b, c in _NAMES.findall(attributes)).lower() if attributes else ""
         if tag in BLOCK:
             if skip == 1 and tag in ("article", "main"):
                 skip = 0
@@ -285,8 +281,19 @@ class Skeleton:
 
     labels: list[str] = field(default_factory=list)
     children: list[list[int]] = field(default_factory=list)
-    # order, node, role, text, links, hinted
-    blocks: list[tuple[int, int, int, str, int, bool]] = field(default_factory=list)
+    named: list[int] = field(default_factory=list)
+    # order, node, role, text, links
+    blocks: list[tuple[int, int, int, str, int]] = field(default_factory=list)
+
+    def chains(self) -> list[tuple[int, ...]]:
+        """Of each node, the named nodes from the top down to itself."""
+        out: list[tuple[int, ...]] = [()] * len(self.labels)  # preorder
+        for i, below in enumerate(self.children):
+            if self.named[i]:
+                out[i] += (i,)
+            for c in below:
+                out[c] = out[i]
+        return out
 
     def marks(self) -> list[tuple[int, int, int]]:
         """(block's number, hash of its node's path, hash of path and text)
@@ -327,11 +334,12 @@ def skeleton(root: Node) -> Skeleton:
         number = len(out.labels)
         out.labels.append(nodes[0].label)
         out.children.append([])
+        out.named.append(nodes[0].named)
         if above >= 0:
             out.children[above].append(number)
         groups: dict[str, list[Node]] = {}
         for node in nodes:
-            out.blocks += [(order, number, node.role, text, links, node.hinted) for order, text, links in node.texts]
+            out.blocks += [(order, number, node.role, text, links) for order, text, links in node.texts]
             for child in node.children:
                 groups.setdefault(child.label, []).append(child)
         todo += [(number, same) for same in reversed(groups.values())]
@@ -394,14 +402,15 @@ def match_trees(a: tuple[list[str], list[list[int]]], b: tuple[list[str], list[l
 
 
 _TEXTS = (
-    "host string, skeleton string, node int, text_hash long, pages long, chars long, links long, "
+    "host string, shape long, skeleton string, node int, text_hash long, pages long, chars long, links long, "
     "path long, content long"
 )
 
 
 def node_texts(pages: DataFrame) -> DataFrame:
     """How often each skeleton node of a host holds which text, summed per
-    task slice.  Node -1 stands for the page itself.  Rows with ``content``
+    task slice.  ``shape`` is the skeleton's hash; node -1 stands for the page
+    itself and carries the skeleton.  Rows with ``content``
     (a hash of all declared blocks of a page) are single declared blocks by
     ``path``, once per content and slice."""
     schema = schema_of(_TEXTS)
@@ -419,42 +428,45 @@ def node_texts(pages: DataFrame) -> DataFrame:
             content = _hash64(" ".join(str(m) for _, _, m in marks))
             declared.update((host, path, mark, content) for _, path, mark in marks)
             own: dict[int, list] = {}
-            for _, node, _, text, linked, _ in s.blocks:
+            for _, node, _, text, linked in s.blocks:
                 held = own.setdefault(node, [xxhash.xxh3_64(), 0, 0])
                 held[0].update(text.encode("utf-8", "replace") + b"\n")
                 held[1] += len(text)
                 held[2] += linked
-            sums[host, name, -1, 0] += 1
+            shape = _hash64(name)
+            sums[host, shape, name, -1, 0] += 1
             for node, (digest, n, linked) in own.items():
-                key = (host, name, node, int(np.uint64(digest.intdigest()).astype(np.int64)))
+                key = (host, shape, None, node, int(np.uint64(digest.intdigest()).astype(np.int64)))
                 sums[key] += 1
                 chars[key] += n
                 links[key] += linked
         keys = list(sums)
         rows = [(*k, sums[k], chars[k], links[k], None, None) for k in keys]
-        rows += [(host, None, None, mark, 1, 0, 0, path, content) for host, path, mark, content in declared]
+        rows += [(host, None, None, None, mark, 1, 0, 0, path, content) for host, path, mark, content in declared]
         return dict(zip(names, zip(*rows))) if rows else {n: [] for n in names}
 
     return map_documents(pages, run, schema, ["url", "html"], text_col="html")
 
 
 def _alignments(counts: DataFrame) -> DataFrame:
-    """(host, skeleton, node, place): the template node of each skeleton node
-    as the reference's number, or a negative number of its own."""
-    shapes = counts.where("node = -1").groupBy("host", "skeleton").agg(F.sum("pages").alias("pages"))
+    """(host, shape, node, place): the template node of each skeleton node as
+    the reference's number, or a negative number of its own."""
+    shapes = counts.where("node = -1").groupBy("host", "shape").agg(
+        F.sum("pages").alias("pages"), F.min("skeleton").alias("skeleton")
+    )
     reference = shapes.groupBy("host").agg(
         F.max(F.struct("pages", "skeleton")).getField("skeleton").alias("reference")
     )
 
     def align(cols: dict) -> dict:
-        out = {"host": [], "skeleton": [], "node": [], "place": []}
-        for host, shape, ref in zip(cols["host"], cols["skeleton"], cols["reference"]):
-            tree = read_skeleton(shape)
+        out = {"host": [], "shape": [], "node": [], "place": []}
+        for host, shape, text, ref in zip(cols["host"], cols["shape"], cols["skeleton"], cols["reference"]):
+            tree = read_skeleton(text)
             found = match_trees(tree, read_skeleton(ref))
-            own = int(xxhash.xxh3_64_intdigest(shape) % 2**40) << 20
+            own = int(xxhash.xxh3_64_intdigest(text) % 2**40) << 20
             for node in range(len(tree[0])):
                 out["host"].append(host)
-                out["skeleton"].append(shape)
+                out["shape"].append(shape)
                 out["node"].append(node)
                 out["place"].append(found.get(node, -own - node - 1))
         return out
@@ -462,38 +474,44 @@ def _alignments(counts: DataFrame) -> DataFrame:
     return map_documents(
         shapes.join(reference, "host"),
         align,
-        schema_of("host string, skeleton string, node int, place long"),
-        ["host", "skeleton", "reference"],
+        schema_of("host string, shape long, node int, place long"),
+        ["host", "shape", "skeleton", "reference"],
         text_col="skeleton",
     )
 
 
-def induce(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, drop, menus, constants): the skeleton nodes of each
-    host that belong to the template or are menus, those that are menus, and
-    the marks of the host's constant blocks in declared slots."""
-    found = write_and_read(node_texts(pages), "block_texts")
-    counts = write_and_read(
-        found.where("content is null").groupBy("host", "skeleton", "node", "text_hash").agg(
-            F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
+def induce(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, shape, drop, menus, varying, constants): the skeleton nodes of
+    each host that belong to the template or are menus, those that are menus,
+    those known to vary, and the marks of the host's constant blocks in
+    declared slots."""
+    found = scratch.write(node_texts(pages), "block_texts")
+    counts = scratch.write(
+        found.where("content is null").groupBy("host", "shape", "node", "text_hash").agg(
+            F.sum("pages").alias("pages"),
+            F.sum("chars").alias("chars"),
+            F.sum("links").alias("links"),
+            F.min("skeleton").alias("skeleton"),
         ),
         "node_texts",
     )
-    placed = write_and_read(_alignments(counts), "node_places")
-    by_text = counts.join(placed, ["host", "skeleton", "node"]).groupBy("host", "place", "text_hash").agg(
+    placed = scratch.write(_alignments(counts), "node_places")
+    by_text = counts.join(placed, ["host", "shape", "node"]).groupBy("host", "place", "text_hash").agg(
         F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
     )
     by_place = by_text.groupBy("host", "place").agg(
         F.sum("pages").alias("seen"), F.max("pages").alias("most"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
     )
-    constant = (F.col("seen") >= LEAST_PAGES) & (F.col("most") >= CONSTANT_SHARE * F.col("seen"))
+    constant = F.col("most") >= CONSTANT_SHARE * F.col("seen")
     menu = F.col("links") > LINK_SHARE * F.col("chars")
-    lost = by_place.where(constant | menu).select("host", "place", menu.alias("menu"))
-    nodes = placed.join(lost, ["host", "place"]).groupBy("host", "skeleton").agg(
-        F.collect_set("node").alias("drop"), F.collect_set(F.when(F.col("menu"), F.col("node"))).alias("menus")
+    kind = F.when(menu, "menu").when(F.col("seen") < LEAST_PAGES, None).when(constant, "constant").otherwise("varying")
+    told = by_place.select("host", "place", kind.alias("kind")).where("kind is not null")
+    among = lambda *kinds: F.collect_set(F.when(F.col("kind").isin(*kinds), F.col("node")))
+    nodes = placed.join(told, ["host", "place"]).groupBy("host", "shape").agg(
+        among("constant", "menu").alias("drop"), among("menu").alias("menus"), among("varying").alias("varying")
     )
-    shapes = counts.where("node = -1").select("host", "skeleton").distinct()
-    return shapes.join(nodes, ["host", "skeleton"], "left").join(_constant_blocks(found), "host", "left")
+    shapes = counts.where("node = -1").select("host", "shape").distinct()
+    return shapes.join(nodes, ["host", "shape"], "left").join(_constant_blocks(found), "host", "left")
 
 
 def _constant_blocks(found: DataFrame) -> DataFrame:
@@ -507,71 +525,114 @@ def _constant_blocks(found: DataFrame) -> DataFrame:
     return constant.groupBy("host").agg(F.collect_set("text_hash").alias("constants"))
 
 
+BLOCKS = "array<struct<node:int,role:int,mark:bigint,links:int,chain:array<int>,comment:boolean,text:string>>"
+
+
+def blocks_of(s: Skeleton) -> list[dict]:
+    """The blocks of a page in order, without those excluded by tags: node,
+    role, mark of a declared block, characters of links, the named nodes above
+    and whether one of them is of comments."""
+    marks = {k: mark for k, _, mark in s.marks()}
+    chains = s.chains()
+    return [
+        {
+            "node": node,
+            "role": role,
+            "mark": marks.get(k),
+            "links": links,
+            "chain": list(chains[node]),
+            "comment": any(s.named[i] == 2 for i in chains[node]),
+            "text": text,
+        }
+        for k, (_, node, role, text, links) in enumerate(s.blocks)
+        if role != EXCLUDED
+    ]
+
+
 def page_blocks(pages: DataFrame) -> DataFrame:
-    """(page_id, url, host, skeleton, blocks): the blocks of each page in
-    order, with node, role, whether a name hints at no content, mark of a
-    declared block, characters of links and of all blocks of the node."""
+    """(page_id, url, host, shape, blocks) of each page."""
     schema = T.StructType(
-        [
-            pages.schema["page_id"],
-            pages.schema["url"],
-            *schema_of(
-                "host string, skeleton string, blocks array<struct<node:int,role:int,hinted:boolean,mark:bigint,"
-                "links:int,slot:int,text:string>>"
-            ),
-        ]
+        [pages.schema["page_id"], pages.schema["url"], *schema_of(f"host string, shape long, blocks {BLOCKS}")]
     )
 
-    def blocks_of(s: Skeleton) -> list[dict]:
-        marks = {k: mark for k, _, mark in s.marks()}
-        slot: Counter = Counter()
-        for _, node, _, text, *_ in s.blocks:
-            slot[node] += len(text)
-        return [
-            {
-                "node": node, "role": role, "hinted": hinted, "mark": marks.get(k), "links": links,
-                "slot": slot[node], "text": text,
-            }
-            for k, (_, node, role, text, links, hinted) in enumerate(s.blocks)
-            if role != EXCLUDED
-        ]
-
     def run(cols: dict) -> dict:
         found = [skeleton(parse(source)) for source in cols["html"]]
         return {
             "page_id": cols["page_id"],
             "url": cols["url"],
             "host": [host_of(u) for u in cols["url"]],
-            "skeleton": [s.text for s in found],
+            "shape": [_hash64(s.text) for s in found],
             "blocks": [blocks_of(s) for s in found],
         }
 
     return map_documents(pages, run, schema, ["page_id", "url", "html"], text_col="html")
 
 
-def _content(blocks: Column, drop: Column, menus: Column, constants: Column) -> Column:
-    """The blocks of slots, joined."""
-    among = lambda values, x: F.coalesce(F.array_contains(values, x), F.lit(False))
-    chars = lambda bs: F.aggregate(bs, F.lit(0), lambda n, b: n + F.char_length(b["text"]))
-    link_list = lambda b: among(menus, b["node"]) & (b["links"] > LINK_SHARE * F.char_length(b["text"]))
-    declared = F.filter(blocks, lambda b: b["role"] == DECLARED)
-    hint = lambda b: b["hinted"] & among(menus, b["node"])
-    told = lambda b: (b["role"] == DECLARED) & ~among(constants, b["mark"]) & ~link_list(b) & ~hint(b)
-    # A declared slot of template blocks only is kept as it is.
-    some = F.exists(blocks, told)
-    inside = lambda b: F.when(some, told(b)).otherwise(b["role"] == DECLARED)
-    outside = lambda b: (b["role"] != DECLARED) & ~among(drop, b["node"])
-    long = chars(F.filter(blocks, lambda b: outside(b) & (b["slot"] >= LONG_SLOT)))
-    held = chars(F.filter(blocks, inside))
-    small = held < DECLARED_SHARE * (held + long)
-    kept = F.when(small | (F.size(declared) == 0), F.filter(blocks, lambda b: inside(b) | outside(b))).otherwise(
-        F.filter(blocks, inside)
-    )
-    return F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
+def story_chain(blocks: list[dict]) -> set[int]:
+    """The named nodes above the page's longest slot (a node's blocks)."""
+    slots: dict[int, list] = {}
+    for b in blocks:
+        slot = slots.setdefault(b["node"], [0, b])
+        slot[0] += len(b["text"])
+    pool = [x for x in slots.values() if not x[1]["comment"]] or list(slots.values())
+    # Beside a declared slot under no name, nothing named is the story.
+    if any(x[1]["role"] == DECLARED and not x[1]["chain"] for x in pool):
+        pool = [x for x in pool if x[1]["role"] == DECLARED]
+    if not pool:
+        return set()
+    longest = max(pool, key=lambda x: x[0])  # the first of equal ones
+    free = max((x for x in pool if not x[1]["chain"]), key=lambda x: x[0], default=None)
+    if free is not None and 2 * free[0] >= longest[0]:
+        longest = free
+    return set(longest[1]["chain"])
+
+
+def choose(blocks: list[dict], drop=(), menus=(), varying=(), constants=()) -> list[dict]:
+    """The blocks of a page that are content, by the induced verdicts on its
+    nodes (``drop``, ``menus``, ``varying``) and declared blocks
+    (``constants``)."""
+
+    def told(b: dict) -> bool:
+        if b["role"] != DECLARED:
+            return b["node"] not in drop
+        return b["mark"] not in constants and not (b["node"] in menus and b["links"] > LINK_SHARE * len(b["text"]))
+
+    kept = [b for b in blocks if told(b)]
+    if not any(b["role"] == DECLARED for b in kept):
+        # Declared slots of template blocks only are kept as they are.
+        kept = [b for b in blocks if b["role"] == DECLARED or told(b)]
+    story = story_chain(kept)
+    kept = [b for b in kept if story.issuperset(b["chain"])]
+    declared = sum(len(b["text"]) for b in kept if b["role"] == DECLARED)
+    if not declared:
+        return kept
+    slots: Counter = Counter()
+    for b in kept:
+        slots[b["node"]] += len(b["text"])
+    long = min(LONG_SLOT, declared + 1)
+    return [b for b in kept if b["role"] == DECLARED or (b["node"] in varying and slots[b["node"]] >= long)]
+
+
+def page_text(source: str | None, **verdicts) -> str:
+    """Main text of one page."""
+    return "\n".join(b["text"] for b in choose(blocks_of(skeleton(parse(source))), **verdicts))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for every row of ``pages``."""
-    wrappers = write_and_read(induce(pages), "wrappers")
-    joined = page_blocks(pages).join(wrappers, ["host", "skeleton"], "left")
-    return joined.select("page_id", "url", _content(*map(F.col, ("blocks", "drop", "menus", "constants"))).alias("text"))
+    scratch = Scratch(pages.sparkSession)
+    wrappers = write_and_read(induce(pages, scratch), "wrappers")
+    scratch.drop()
+    joined = page_blocks(pages).join(wrappers, ["host", "shape"], "left")
+    schema = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType())])
+    verdicts = ("drop", "menus", "varying", "constants")
+
+    def run(cols: dict) -> dict:
+        texts = []
+        for blocks, *sets in zip(cols["blocks"], *(cols[v] for v in verdicts)):
+            kept = choose(blocks, *(frozenset(x or ()) for x in sets))
+            texts.append("\n".join(b["text"] for b in kept))
+        return {"page_id": cols["page_id"], "url": cols["url"], "text": texts}
+
+    sized = joined.withColumn("held", F.array_join(F.col("blocks.text"), ""))
+    return map_documents(sized, run, schema, ["page_id", "url", "blocks", *verdicts, "held"], text_col="held")
