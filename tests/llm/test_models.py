@@ -61,6 +61,34 @@ def test_counts_of_documents(spark):
         assert r.n_dup_lines == len(lines) - len(set(lines))
 
 
+def test_binomial_tail_equals_the_sum_and_takes_any_size():
+    import math
+    import random
+    import time
+    from fractions import Fraction
+
+    rng = random.Random(1)
+    for _ in range(300):
+        n = rng.randrange(1, 150)
+        k = rng.randrange(n + 1)
+        p = rng.choice([rng.random(), min(1.0, (k + 1) / (n + 1) * rng.uniform(0.5, 2)), 0.03])
+        q = Fraction(p)
+        want = float(sum(math.comb(n, i) * q**i * (1 - q) ** (n - i) for i in range(k + 1)))
+        assert risk_rules.binomial_cdf(k, n, p) == pytest.approx(want, rel=1e-10, abs=1e-12)
+    start = time.perf_counter()
+    got = risk_rules.upper_bound(500_000_000, 10**9, 0.01)
+    assert time.perf_counter() - start < 1
+    assert got == pytest.approx(0.5 + 2.326348 * (0.25e-9) ** 0.5, rel=1e-6)
+
+
+def test_training_rows_take_their_share(spark):
+    docs = spark.range(4000).selectExpr("id as doc_id")
+    labels = spark.range(4000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    every = rule_ensemble.training_rows(docs, labels, 10_000).count()
+    assert 2800 < every < 3200
+    assert 800 < rule_ensemble.training_rows(docs, labels, 1000).count() < 1200
+
+
 def test_binomial_bound_is_exact():
     for n, k, p in ((10, 3, 0.4), (50, 0, 0.1), (30, 29, 0.9)):
         direct = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))

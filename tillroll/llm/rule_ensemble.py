@@ -153,8 +153,8 @@ def training_rows(counts: DataFrame, labels: DataFrame, max_rows: int) -> DataFr
     )
     n = known.count()
     if n > max_rows:
-        share = int(max_rows / n * 1_000_000)
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+        share = max_rows * 2**63 // n  # of the hashes' upper 63 bits
+        known = known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) < share)
     return counts.join(known, "doc_id")
 
 
