@@ -201,6 +201,35 @@ def test_hhi_keeps_its_digits(spark):
     assert _totals_and_squares(huge, "month").select(hhi_expr("_sq", "_total").alias("h")).first().h == 0.5
 
 
+def test_hhi_is_exact_at_every_size(spark):
+    """Sums of squares equal whole-number arithmetic to the last bit, in any
+    order of the rows, from single units to SKU-months of 1e12 and more."""
+    import random
+    from decimal import Decimal
+
+    from tillroll.operators.kpi import _totals_and_squares
+
+    rng = random.Random(4)
+    months = {"small": 3, "mixed": 0, "large": 12, "huge": 26}
+    data = []
+    for month, digits in months.items():
+        for _ in range(300):
+            size = digits or rng.randrange(1, 24)
+            data.append((month, Decimal(rng.randrange(10 ** (size + 8))).scaleb(-8)))
+    data.append(("one", Decimal("0.00000001")))
+    want = {}
+    for month in [*months, "one"]:
+        units = [int(v.scaleb(8)) for m, v in data if m == month]
+        square = sum(u * u for u in units)
+        want[month] = ((float(square // 10**52) * 1e37 + float(square // 10**15 % 10**37)) * 1e15 + float(square % 10**15)) / 1e16
+        assert abs(want[month] / (square / 1e16) - 1) < 1e-15
+    for seed in (1, 2):
+        random.Random(seed).shuffle(data)
+        sku = spark.createDataFrame(data, "month string, net_gmv decimal(38,8)").repartition(7)
+        got = {r["month"]: r["_sq"] for r in _totals_and_squares(sku, "month").collect()}
+        assert got == want
+
+
 def test_product_month_core_has_no_expand(fact):
     plan = ops.product_month_core(fact([line()]))._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan

@@ -25,7 +25,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.QUERIES))
+@pytest.mark.parametrize("name", [*sorted(E.QUERIES), *sorted(E.STATE_QUERIES)])
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     rel = duck.sql(E.oracle_sql()[name])

@@ -10,6 +10,8 @@ from tillroll.operators.customer import (  # noqa: F401
     retention_identified_calendar,
 )
 from tillroll.operators.kpi import (  # noqa: F401
+    active_days,
+    invoice_months,
     kpi_with_prev,
     mom_variance,
     month_facts,
@@ -33,7 +35,7 @@ from tillroll.operators.report import (  # noqa: F401
     report_snapshot,
     return_watchlist,
 )
-from tillroll.operators.returns import top_return_skus  # noqa: F401
+from tillroll.operators.returns import return_sku_month, top_return_skus  # noqa: F401
 
 # Names the original pandas job used, for code that calls them directly.
 clean_data = clean_lines

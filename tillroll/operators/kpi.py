@@ -26,8 +26,8 @@ KPI_COLUMNS = [
 MOM_COLUMNS = ["net_gmv", "return_rate", "top20_coverage", "top50_coverage", "hhi"]
 
 
-#: Sums of squares (in squared money units) below this are exact.
-EXACT_SQUARES = 9e33
+#: Digits of the parts that money units are cut into for sums of squares.
+LIMB = 13
 
 
 def hhi_expr(sum_sq, total):
@@ -36,21 +36,11 @@ def hhi_expr(sum_sq, total):
     return F.when(t > 0, F.col(sum_sq) / (t * t)).otherwise(F.lit(0.0))
 
 
-def month_facts(fact: DataFrame, month_col: str = S.MONTH, cust: DataFrame | None = None) -> DataFrame:
-    """One row per dated month holding everything the month-level tables
-    need: PRODUCT totals and distinct counts (all and identified-only),
-    RETURN totals and the latest timestamp of any line.
-
-    No multi-distinct ``Expand``: lines first collapse to (month, invoice)
-    groups -- a balanced shuffle, combined map-side -- so distinct orders
-    become counts of groups and every sum rolls up from the groups.  Distinct
-    customers are the rows of the customer-month aggregate (pass ``cust`` to
-    share it) and distinct days a small single-distinct aggregate.  Catalyst
-    drops what a caller does not select.  ``_prod_rows > 0`` marks a KPI
-    month.
-    """
-    from tillroll.operators.customer import customer_month_sales
-
+def invoice_months(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
+    """Sums per (month, invoice) over dated lines: PRODUCT lines (all and
+    identified-only), RETURN lines and the latest timestamp of any line.
+    Every column adds up (``_g_max_ts``: takes the largest), so frames of
+    different lines can be merged."""
     prod = F.col(S.TYPE) == S.TYPE_PRODUCT
     ret = F.col(S.TYPE) == S.TYPE_RETURN
     ident = prod & F.col(S.CUSTOMER).isNotNull()
@@ -59,7 +49,7 @@ def month_facts(fact: DataFrame, month_col: str = S.MONTH, cust: DataFrame | Non
         return F.when(cond, F.col(c) if isinstance(c, str) else c)
 
     dated = fact.filter(F.col(month_col).isNotNull())
-    invoices = dated.groupBy(month_col, S.INVOICE).agg(
+    return dated.groupBy(month_col, S.INVOICE).agg(
         F.count(when(prod, F.lit(1))).alias("_p_rows"),
         F.sum(when(prod, "net_gmv")).alias("_p_net"),
         F.sum(when(prod, S.QUANTITY)).alias("_p_units"),
@@ -71,22 +61,52 @@ def month_facts(fact: DataFrame, month_col: str = S.MONTH, cust: DataFrame | Non
         F.sum(when(ret, "abs_quantity")).alias("_r_units"),
         F.max(S.INVOICE_DATE).alias("_g_max_ts"),
     )
+
+
+def active_days(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
+    """Distinct (month, day) with PRODUCT lines."""
+    return product_lines(fact, month_col).select(month_col, S.ORDER_DATE).distinct()
+
+
+def month_facts(
+    fact: DataFrame | None,
+    month_col: str = S.MONTH,
+    cust: DataFrame | None = None,
+    invoices: DataFrame | None = None,
+    days: DataFrame | None = None,
+) -> DataFrame:
+    """One row per dated month holding everything the month-level tables
+    need: PRODUCT totals and distinct counts (all and identified-only),
+    RETURN totals and the latest timestamp of any line.
+
+    No multi-distinct ``Expand``: lines first collapse to (month, invoice)
+    groups -- a balanced shuffle, combined map-side -- so distinct orders
+    become counts of groups and every sum rolls up from the groups.  Distinct
+    customers are the rows of the customer-month aggregate and distinct days
+    those of a small (month, day) table (pass ``cust``, ``invoices`` or
+    ``days`` to share them).  Catalyst drops what a caller does not select.
+    ``_prod_rows > 0`` marks a KPI month.
+    """
+    from tillroll.operators.customer import customer_month_sales
+
+    invoices = invoices if invoices is not None else invoice_months(fact, month_col)
     months = invoices.groupBy(month_col).agg(
         F.sum("_p_rows").alias("_prod_rows"),
         F.sum("_p_net").alias("_net"),
-        F.count(when(F.col("_p_rows") > 0, F.lit(1))).alias("_orders"),
+        F.count(F.when(F.col("_p_rows") > 0, F.lit(1))).alias("_orders"),
         F.sum("_p_units").alias("_units"),
         F.sum("_p_price").alias("_price_sum"),
         F.sum("_p_rows").alias("_price_n"),  # UnitPrice is never null after cleaning
         F.sum("_i_rows").alias("_id_rows"),
-        F.count(when(F.col("_i_rows") > 0, F.lit(1))).alias("_id_orders"),
+        F.count(F.when(F.col("_i_rows") > 0, F.lit(1))).alias("_id_orders"),
         F.sum("_i_net").alias("_id_net"),
         F.sum("_r_rows").alias("_ret_rows"),
         F.sum("_r_value").alias("_ret_value"),
         F.sum("_r_units").alias("_ret_units"),
         F.max("_g_max_ts").alias("_max_ts"),
     )
-    days = dated.filter(prod).groupBy(month_col).agg(F.countDistinct(S.ORDER_DATE).alias("_days"))
+    days = days if days is not None else active_days(fact, month_col)
+    days = days.groupBy(month_col).agg(F.count(F.lit(1)).alias("_days"))
     cust = cust if cust is not None else customer_month_sales(fact, month_col)
     customers = cust.groupBy(month_col).agg(F.count(F.lit(1)).alias("_customers"))
     # One row per month on each side: bounded by the month count.
@@ -143,36 +163,79 @@ def sku_month_rank(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
     return ranked.select(month_col, S.STOCK, as_double("net_gmv").alias("net_gmv"), "rank")
 
 
+def _ten_to(digits: int) -> Column:
+    return F.lit(str(10**digits)).cast(f"decimal({digits + 1},0)")
+
+
+def _whole_part(value: Column, digits: int) -> Column:
+    """``value`` without its last ``digits`` digits (whole decimals, >= 0)."""
+    unit = _ten_to(digits)
+    return ((value - value % unit) / unit).cast("decimal(38,0)")
+
+
+def _last_part(value: Column, digits: int) -> Column:
+    return (value % _ten_to(digits)).cast(f"decimal({digits},0)")
+
+
 def _totals_and_squares(sku: DataFrame, month_col: str, value: str = "net_gmv") -> DataFrame:
     """Per month: exact total and sum of squares (double) of per-item sales.
 
-    Squares are summed as whole numbers of squared money units, so the result
-    does not depend on the order of addition and keeps all digits; the sum
-    goes to double in two exact parts.  Sums beyond ``EXACT_SQUARES`` are
-    added in double."""
+    A value in whole money units is cut into three parts of ``LIMB`` digits;
+    the products of the parts are added as whole numbers, one sum for each
+    power of 10 ** LIMB, so no size of a value changes how it is added and the
+    result does not depend on the order of addition.  The sums are carried
+    into one another and go to double as an upper and a lower exact part."""
     scale = money_scale(sku, value)
-    x = as_double(value)
-    unit = (F.col(value) * F.lit(10**scale)).cast("decimal(38,0)").try_cast("decimal(19,0)")
-    sums = sku.groupBy(month_col).agg(
-        F.sum(value).alias("_total"),
-        F.try_sum(F.try_multiply(unit, unit)).alias("_units"),
-        F.sum(x * x).alias("_about"),
+    if scale > LIMB:
+        raise ValueError(f"money columns with more than {LIMB} decimals have no exact sum of squares")
+    # The lowest part holds the decimals and the first digits before them.
+    size = F.abs(F.col(value))
+    cut = _ten_to(LIMB - scale)
+    lowest = ((size % cut).cast(f"decimal({LIMB},{scale})") * F.lit(10**scale)).cast(f"decimal({LIMB},0)")
+    upper = ((size - size % cut) / cut).cast("decimal(38,0)")
+    parts = sku.select(
+        month_col,
+        value,
+        lowest.alias("_0"),
+        _last_part(upper, LIMB).alias("_1"),
+        _last_part(_whole_part(upper, LIMB), LIMB).alias("_2"),
     )
-    part = F.lit(10**15).cast("decimal(16,0)")
-    high = F.try_divide(F.col("_units") - F.col("_units") % part, part).cast("double")
-    exact = (high * F.lit(1e15) + (F.col("_units") % part).cast("double")) / F.lit(float(10 ** (2 * scale)))
-    fits = F.col("_units").isNotNull() & (F.col("_about") * F.lit(float(10 ** (2 * scale))) < EXACT_SQUARES)
-    return sums.select(month_col, "_total", F.when(fits, exact).otherwise(F.col("_about")).alias("_sq"))
-
-
-def sku_concentration(fact: DataFrame, month_col: str = S.MONTH, ns=(20, 50)) -> DataFrame:
-    """``top{n}_coverage`` for each n in ``ns`` plus ``hhi`` from one SKU-month frame.
+    x = [F.col(c) for c in ("_0", "_1", "_2")]
+    powers = [x[0] * x[0], x[0] * x[1] * 2, x[0] * x[2] * 2 + x[1] * x[1], x[1] * x[2] * 2, x[2] * x[2]]
+    sums = parts.groupBy(month_col).agg(
+        F.sum(value).alias("_total"), *[F.sum(c.cast("decimal(28,0)")).alias(f"_s{k}") for k, c in enumerate(powers)]
+    )
+    # Carry: digits _d0 .. _d5 of LIMB decimal digits each.
+    carry = None
+    for k in range(5):
+        held = F.col(f"_s{k}") if carry is None else (F.col(f"_s{k}") + F.col(carry)).cast("decimal(38,0)")
+        sums = sums.withColumn(f"_h{k}", held)
+        sums = sums.withColumn(f"_d{k}", _last_part(F.col(f"_h{k}"), LIMB)).withColumn(
+            f"_c{k}", _whole_part(F.col(f"_h{k}"), LIMB)
+        )
+        carry = f"_c{k}"
+
+    def at(c: Column, digits: int) -> Column:
+        return (c.cast("decimal(38,0)") * _ten_to(digits)).cast("decimal(38,0)")
+
+    low = at(_last_part(F.col("_d1").cast("decimal(38,0)"), 2), 13) + F.col("_d0")
+    high = _whole_part(F.col("_d1").cast("decimal(38,0)"), 2) + at(F.col("_d2"), 11) + at(F.col("_d3"), 24)
+    top = as_double("_d4") + as_double("_c4") * F.lit(1e13)
+    exact = (top * F.lit(1e37) + high.cast("double")) * F.lit(1e15) + low.cast("double")
+    return sums.select(month_col, "_total", (exact / F.lit(float(10 ** (2 * scale)))).alias("_sq"))
+
+
+def sku_concentration(
+    fact: DataFrame | None, month_col: str = S.MONTH, ns=(20, 50), sku: DataFrame | None = None
+) -> DataFrame:
+    """``top{n}_coverage`` for each n in ``ns`` plus ``hhi`` from one SKU-month
+    frame (``sku`` to share it).
 
     Totals and squares are one aggregate; the top-N sums read only the
     ``max(ns)`` best SKUs per month (group-limited before the shuffle).  Spark
     reuses the shared SKU-month exchange for both branches.
     """
-    sku = sku_month(fact, month_col)
+    sku = sku if sku is not None else sku_month(fact, month_col)
     totals = _totals_and_squares(sku, month_col)
     best = top_n(sku, [month_col], _sku_order(), max(ns), "_rank")
     tops = best.groupBy(month_col).agg(
@@ -199,19 +262,23 @@ def sku_hhi(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
 
 
 def monthly_kpis(
-    fact: DataFrame, month_col: str = S.MONTH, facts: DataFrame | None = None, ns=(20, 50)
+    fact: DataFrame | None,
+    month_col: str = S.MONTH,
+    facts: DataFrame | None = None,
+    ns=(20, 50),
+    sku: DataFrame | None = None,
 ) -> DataFrame:
     """The 17-column monthly KPI table, one row per month with PRODUCT lines.
 
     Months holding only returns are not KPI months.  ``return_rate`` is
     |returns| / (sales + |returns|); ``net_gmv`` is product sales before
-    returns.  Reads ``month_facts`` (pass it in to share it) and the
-    SKU-month aggregate behind coverage and HHI.
+    returns.  Reads ``month_facts`` and the SKU-month aggregate behind coverage
+    and HHI (pass ``facts`` or ``sku`` in to share them).
     """
     facts = facts if facts is not None else month_facts(fact, month_col)
     facts = facts.select("*", partial_flag(facts, month_col).alias("is_partial_month"))
     facts = facts.filter(F.col("_prod_rows") > 0)
-    conc = sku_concentration(fact, month_col, ns)
+    conc = sku_concentration(fact, month_col, ns, sku)
     # One row per month on the right: bounded by the month count.
     df = facts.join(F.broadcast(conc), month_col, "left")
     net = as_double("_net")

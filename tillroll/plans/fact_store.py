@@ -18,15 +18,21 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll import operators as ops
+from tillroll import schema as S
 from tillroll.operators.clean import clean_lines
 from tillroll.plans.materialize import table_path, write_and_read
+from tillroll.plans.monthly_state import MonthlyState
 from tillroll.sources.retail_lines import TABLES, retail_lines
 from tillroll.sources.tables import table_path as source_path
 
 _lock = threading.RLock()
 _tables: dict[tuple, DataFrame] = {}
+_states: dict[tuple, MonthlyState] = {}
+#: Deliveries that the lines of a directory are dealt to for its state.
+DELIVERIES = 2
 
 
 def _signature(spark: SparkSession, sf_dir: str) -> tuple:
@@ -50,11 +56,15 @@ def _written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         if key not in _tables:
             path = table_path(spark, name)
             _tables[key] = write_and_read(build(), name, path=path)
-            hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+            _delete_on_exit(spark, path)
         return _tables[key]
 
 
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+
+
 def fact_lines(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """Cleaned fact lines of ``sf_dir`` (written once per session)."""
     if not materialize:
@@ -68,3 +78,23 @@ def shared_aggregates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     cust = _written(spark, sf_dir, "customer_month", lambda: ops.customer_month_sales(fact))
     facts = _written(spark, sf_dir, "month_facts", lambda: ops.month_facts(fact, cust=cust))
     return cust, facts
+
+
+def monthly_state(spark: SparkSession, sf_dir: str) -> MonthlyState:
+    """The stored aggregates of all lines of ``sf_dir``, built once per
+    session the way a monthly job builds them: the raw lines come in
+    deliveries (dealt by invoice, so months, customers and SKUs span them),
+    each is added on its own, and the first is offered a second time."""
+    with _lock:
+        key = (spark.sparkContext.applicationId, "state", _signature(spark, sf_dir))
+        if key not in _states:
+            raw_path, state_path = table_path(spark, "raw_deliveries"), table_path(spark, "monthly_state")
+            part = F.pmod(F.xxhash64(S.INVOICE), F.lit(DELIVERIES))
+            retail_lines(spark, sf_dir).withColumn("delivery", part).write.partitionBy("delivery").parquet(raw_path)
+            state = MonthlyState(spark, state_path)
+            for k in [*range(DELIVERIES), 0]:
+                state.add_files(f"{raw_path}/delivery={k}", lambda paths: spark.read.parquet(*paths))
+            _delete_on_exit(spark, raw_path)
+            _delete_on_exit(spark, state_path)
+            _states[key] = state
+        return _states[key]

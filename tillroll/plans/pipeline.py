@@ -14,6 +14,7 @@ them; on a lost executor the cache is rebuilt from the written fact lines.
 from __future__ import annotations
 
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from tillroll import operators as ops
 from tillroll import schema as S
 from tillroll.operators.clean import clean_lines
+from tillroll.plans.manifest import Manifests
 from tillroll.plans.materialize import drop_path, table_path, write_and_read
 from tillroll.sources.sinks import read_table_back, save_table
 
@@ -55,14 +57,20 @@ def shared_aggregates(fact: DataFrame, cache: bool = True) -> tuple[DataFrame, D
 
 
 def build_tables(
-    fact: DataFrame,
+    fact: DataFrame | None,
     concentration_n: int = 10,
     top_returns_n: int = 10,
     cohort_freq: str = "M",
     cache_small: bool = True,
     shared: tuple[DataFrame, DataFrame] | None = None,
+    sku: DataFrame | None = None,
+    returns: DataFrame | None = None,
+    cohorts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All published tables and report frames from fact lines (lazy).
+    """All published tables and report frames from fact lines (lazy), or with
+    ``fact`` None from their aggregates alone: ``shared`` (customer-month and
+    month), ``sku`` (SKU-month), ``returns`` (return-SKU-month) and, if there
+    is one, a kept ``cohorts`` table.
 
     Keys starting with ``_`` are the shared intermediates (cached), not
     outputs."""
@@ -73,11 +81,11 @@ def build_tables(
     # Shared intermediates: one month aggregate and one customer-month
     # aggregate feed several tables each.
     cust, facts = shared if shared is not None else shared_aggregates(fact, cache=cache_small)
-    kpi = small(ops.monthly_kpis(fact, facts=facts))
+    kpi = small(ops.monthly_kpis(fact, facts=facts, sku=sku))
     coverage = small(ops.customer_id_coverage(fact, facts=facts))
     repeat = small(ops.retention(fact, cust=cust, facts=facts))
     conc = small(ops.customer_concentration(fact, n=concentration_n, cust=cust))
-    top_returns = small(ops.top_return_skus(fact, top_n=top_returns_n))
+    top_returns = small(ops.top_return_skus(fact, top_n=top_returns_n, returns=returns))
     health = small(ops.customer_health_monthly(coverage, repeat, conc))
     tables = {
         "_customer_month": cust,
@@ -87,7 +95,7 @@ def build_tables(
         "customer_id_coverage": coverage,
         "customer_repeat_rate": repeat,
         "customer_concentration": conc,
-        "cohort_table": ops.cohort_table(fact, freq=cohort_freq, cust=cust),
+        "cohort_table": cohorts if cohorts is not None else ops.cohort_table(fact, freq=cohort_freq, cust=cust),
         "top_return_skus": top_returns,
         "customer_health_monthly": health,
         "dim_month": ops.dim_month(kpi),
@@ -123,12 +131,15 @@ def run_pipeline(
     timings: dict | None = None,
     money_scale: int = S.MONEY_SCALE,
     read_back: bool = True,
+    versioned: bool = False,
     **table_args,
 ) -> dict[str, DataFrame]:
     """Clean ``raw``, build every table, and (with ``out_dir``) write each to
     ``out_dir/<name>`` sorted by month.  Returns the table DataFrames: read
     back from ``out_dir`` (nothing with ``read_back=False``), or without
-    ``out_dir`` the lazy tables over the written fact lines.
+    ``out_dir`` the lazy tables over the written fact lines.  With
+    ``versioned`` the tables go to a folder of their own and become visible
+    together (``read_published``); a stopped run leaves the last set as it was.
 
     Independent month-grain jobs are submitted from ``parallel_jobs`` threads
     so small jobs share the cluster instead of running one after another;
@@ -159,20 +170,24 @@ def run_pipeline(
         filled.result()
         clock.lap("shared_aggregates")
         outputs = {n: df for n, df in tables.items() if not n.startswith("_")}
+        staged = Staged(spark, out_dir) if versioned else None
+        target = f"{out_dir}/{staged.name}" if versioned else out_dir
         # The tables that the report frames read (cached) go first.
         first = ["kpi_monthly", "customer_id_coverage", "customer_repeat_rate", "customer_concentration",
                  "top_return_skus", "cohort_table"]
 
         def write(name):
             # Month-grain outputs (rows bounded by months x top-N): one sorted file.
-            save_table(outputs[name], f"{out_dir}/{name}", fmt, sort_by=sort_keys(name),
+            save_table(outputs[name], f"{target}/{name}", fmt, sort_by=sort_keys(name),
                        single_file=True)
 
         list(pool.map(write, first))
         clock.lap("base_tables")
         list(pool.map(write, [n for n in outputs if n not in first]))
+        if versioned:
+            staged.publish(list(outputs), fmt)
         clock.lap("derived_tables")
-        return {n: read_table_back(spark, f"{out_dir}/{n}", fmt) for n in outputs} if read_back else {}
+        return {n: read_table_back(spark, f"{target}/{n}", fmt) for n in outputs} if read_back else {}
     finally:
         pool.shutdown(wait=True, cancel_futures=True)
         for df in tables.values():
@@ -182,6 +197,55 @@ def run_pipeline(
         clock.lap("read_back_and_release")
 
 
+class Staged:
+    """A folder for a set of tables that readers see once it is published."""
+
+    def __init__(self, spark, out_dir: str):
+        self.manifests = Manifests(spark, out_dir)
+        self.version, _ = self.manifests.latest()
+        self.name = f"set-{uuid.uuid4().hex}"
+
+    def publish(self, tables: list[str], fmt: str) -> int:
+        return self.manifests.commit(self.version, {"set": self.name, "tables": tables, "format": fmt})
+
+
+def publish_tables(spark, tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> int:
+    """Write the tables (without intermediates, ``_``) as one set and publish
+    it; returns its version."""
+    staged = Staged(spark, out_dir)
+    outputs = {n: df for n, df in tables.items() if not n.startswith("_")}
+    try:
+        for name, df in outputs.items():
+            path = f"{out_dir}/{staged.name}/{name}"
+            save_table(df, path, fmt, sort_by=sort_keys(name), single_file=True)
+        return staged.publish(list(outputs), fmt)
+    except BaseException:
+        staged.manifests.drop(staged.name)
+        raise
+
+
+def read_published(spark, out_dir: str) -> dict[str, DataFrame]:
+    """The tables of the newest published set, all of one run."""
+    version, content = Manifests(spark, out_dir).latest()
+    if not version:
+        raise ValueError(f"nothing was published in {out_dir}")
+    return {
+        n: read_table_back(spark, f"{out_dir.rstrip('/')}/{content['set']}/{n}", content["format"])
+        for n in content["tables"]
+    }
+
+
+def drop_old_sets(spark, out_dir: str) -> list[str]:
+    """Delete the sets that the newest manifest does not name (call it when no
+    reader uses an older one and no writer runs)."""
+    manifests = Manifests(spark, out_dir)
+    _, content = manifests.latest()
+    gone = [n for n in manifests.names() if n.startswith("set-") and n != content.get("set")]
+    for name in gone:
+        manifests.drop(name)
+    return gone
+
+
 def register_views(spark, tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
     """Expose tables (e.g. ``run_pipeline`` output) as temp views for
     ``spark.sql``; returns the view names.  Intermediates (``_``) are skipped."""
