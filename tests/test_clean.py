@@ -1,3 +1,4 @@
+import pytest
 from conftest import line, rows
 from tillroll import schema as S
 
@@ -113,3 +114,18 @@ def test_small_prices_keep_their_digits(raw):
     four = clean_lines(raw(lines), money_scale=4)
     assert [str(r.net_gmv) for r in four.orderBy("InvoiceNo").collect()] == ["0.3705", "0.0001"]
     assert ops.monthly_kpis(four).first().avg_unit_price > 0
+
+
+def test_large_prices_are_exact_and_infinite_ones_named(raw):
+    from tillroll import operators as ops
+    from tillroll.operators.clean import clean_lines
+
+    lines = [line(inv="1", price=20_000_000_000.5, qty=3), line(inv="2", price=9_999_999_999.25, qty=-2),
+             line(inv="3", price=123_456_789_012.125, qty=1_000), line(inv="4", price=2.5, qty=4)]
+    got = {r.InvoiceNo: str(r.line_gmv) for r in clean_lines(raw(lines)).collect()}
+    assert got == {"1": "60000000001.50000000", "2": "-19999999998.50000000",
+                   "3": "123456789012125.00000000", "4": "10.00000000"}
+    assert ops.monthly_kpis(clean_lines(raw([lines[0]]))).first().net_gmv == 60000000001.5
+    for bad in (float("inf"), 1e20):
+        with pytest.raises(Exception, match="price has too many digits"):
+            clean_lines(raw([line(price=bad)])).collect()

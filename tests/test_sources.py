@@ -1,13 +1,15 @@
 import datetime as dt
 import os
+import random
 import tempfile
 
 import pytest
 from conftest import rows
 
 from tillroll import schema as S
-from tillroll.sources.csv import load_csv, rejected_lines
-from tillroll.sources.sinks import save_table
+from tillroll.sources.csv import BROKEN, load_csv, read_text_lines, rejected_lines, with_options
+from tillroll.sources.csv_split import _lines, split_states, state_after
+from tillroll.sources.sinks import read_table_back, save_table
 
 CSV = (
     'InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n'
@@ -244,3 +246,90 @@ def test_cli_on_raw_parquet(spark):
     assert "top5_share" in conc.columns and conc.count() > 0
     assert spark.read.parquet(f"{d}/out/cohort_table").filter("length(cohort_month) = 4").count() > 0
     assert spark.read.parquet(f"{d}/out/report_snapshot").columns[8] == "top5_share"
+
+
+def small_splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+@pytest.fixture
+def splits(spark):
+    yield lambda size: small_splits(spark, size)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def quoted_rows(seed, count):
+    """Rows with newlines, quotes and commas in quoted descriptions, and plain
+    quotes inside unquoted ones."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(count):
+        words = [rng.choice(["MUG", "two\nlines", '5"" PIPE', "a,b", "\n\n", '""', "\n", "\r\n x"]) for _ in range(rng.randrange(4))]
+        desc = f'"{" ".join(words)}"' if rng.random() < 0.7 else rng.choice(["PLAIN", '5" PIPE', 'A "B" C', ""])
+        out.append(f"{i},S{i % 7},{desc},{rng.randrange(9)},12/1/2010 8:26,2.55,17850,UK")
+    return out
+
+
+@pytest.mark.parametrize("size,seed", [(37, 1), (61, 2), (200, 3), (1 << 20, 4)])
+def test_quoted_newlines_in_many_tasks_equal_the_whole_file_read(spark, splits, size, seed):
+    d = tempfile.mkdtemp(prefix="tillroll-csv-")
+    end = "\r\n" if seed == 3 else "\n"
+    for k in range(3):
+        with open(os.path.join(d, f"{k}.csv"), "w", newline="") as fh:
+            lines = [HEADER, *quoted_rows(10 * seed + k, 40 if k else 0)]
+            fh.write(end.join(lines) + (end if k != 1 else ""))
+    whole = with_options(spark.read, HEADER.split(","), True).csv(d).drop(BROKEN).collect()
+    splits(size)
+    text = read_text_lines(spark, d, multiline=True)
+    if size < 1000:
+        assert len(split_states(_lines(spark, d))) > 20
+    got = text.drop(BROKEN).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, whole)) and len(got) == 80
+    assert load_csv(spark, d, multiline=True).count() == 80
+
+
+@pytest.mark.parametrize("line,begun,ends", [
+    ("a,b", 0, 0), ("a,b", 1, 1), ('a,"b', 0, 1), ('b"', 1, 0), ('"a""', 0, 1), ('"a"""', 0, 0), ('5" x,y', 0, 0),
+    ('b",c,"d', 1, 1), ('b"",c', 1, 1), ('"', 0, 1), ('"', 1, 0), ('""', 0, 0), ('""', 1, 1), ('x,""', 0, 0),
+    ('a"b,"c"d,"', 0, 1), ('"a"b"c,d', 0, 0), ('b",', 1, 0), ('b","', 1, 1),
+])
+def test_state_after_a_line(line, begun, ends):
+    assert state_after(line, begun) == ends
+
+
+def test_split_read_checks_headers_and_broken_rows(spark, splits):
+    d = tempfile.mkdtemp(prefix="tillroll-csv-")
+    with open(os.path.join(d, "a.csv"), "w") as fh:
+        fh.write(HEADER + '\n1,S,"two\nlines",1,12/1/2010,2.5,1,UK\n2,S,x,1\n3,S,"open,1,12/1/2010,2.5,1,UK\n')
+    splits(30)
+    assert rejected_lines(spark, d, multiline=True).collect() == [("row", 2)]
+    assert [r.InvoiceNo for r in load_csv(spark, d, multiline=True, on_bad="reject").collect()] == ["1"]
+    with open(os.path.join(d, "b.csv"), "w") as fh:
+        fh.write(HEADER.replace("Country", "Land") + "\n1,S,x,1,12/1/2010,2.5,1,UK\n")
+    with pytest.raises(Exception, match="header"):
+        load_csv(spark, d, multiline=True).collect()
+
+
+def test_csv_twelve_hour_and_utc_dates_and_infinite_prices(spark):
+    dates = ["12/1/2010 8:26 PM", "12/1/2010 12:05:30 am", "2010-12-01T08:26:00Z", "2010-12-01 08:26:00 Z", "2010-12-1 1:00 pm"]
+    p = csv_file(*[f"{i},S,D,1,{d},2.5,1,UK" for i, d in enumerate(dates)])
+    day = dt.datetime(2010, 12, 1)
+    assert [r[4] - day for r in rows(load_csv(spark, p), order=["InvoiceNo"])] == [
+        dt.timedelta(hours=h, minutes=m, seconds=s)
+        for h, m, s in [(20, 26, 0), (0, 5, 30), (8, 26, 0), (8, 26, 0), (13, 0, 0)]]
+    p = csv_file("1,S,D,1,12/1/2010,inf,1,UK", "2,S,D,1,12/1/2010,20000000000,1,UK", "3,S,D,1,12/1/2010,-Infinity,1,UK")
+    assert rejected_lines(spark, p).collect() == [("UnitPrice", 2)]
+    assert [r.UnitPrice for r in load_csv(spark, p, on_bad="reject").collect()] == [2e10]
+
+
+def test_whole_numbers_are_read_back_exactly(spark):
+    d = tempfile.mkdtemp(prefix="tillroll-back-")
+    df = spark.sql("select date'2010-12-01' as month, 9007199254740993 as unit_sold, 7 as year")
+    save_table(df, d + "/t", "csv")
+    got = read_table_back(spark, d + "/t", "csv").first()
+    assert (got.unit_sold, got.year) == (9007199254740993, 7)
+    with open(os.path.join(d, "f.csv"), "w") as fh:
+        fh.write("month,order\n2010-12,884.0\n")
+    assert read_table_back(spark, d + "/f.csv", "csv").first().order == 884

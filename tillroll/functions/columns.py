@@ -27,12 +27,32 @@ def norm_code(c) -> Column:
     return F.upper(py_strip(c))
 
 
+#: Digits of a unit price held exactly.
+PRICE_DIGITS = 28
+
+
 def money(c, scale: int = S.MONEY_SCALE) -> Column:
     """Exact decimal money value of a double price.  A positive price below
-    the smallest unit counts as one unit, never as nothing."""
-    exact = _col(c).cast(f"decimal(18,{scale})")
-    unit = (F.lit(1) / F.lit(10**scale)).cast(f"decimal(18,{scale})")
-    return F.when((_col(c) > 0) & (exact == 0), unit).otherwise(exact)
+    the smallest unit counts as one unit, never as nothing; one of too many
+    digits (or an infinite one) stops the job, naming it."""
+    price = _col(c)
+    kind = f"decimal({PRICE_DIGITS},{scale})"
+    told = F.raise_error(F.concat(F.lit("price has too many digits: "), price.cast("string"))).cast(kind)
+    exact = F.when(F.abs(price) >= F.lit(float(10 ** (PRICE_DIGITS - scale))), told).otherwise(price.cast(kind))
+    unit = (F.lit(1) / F.lit(10**scale)).cast(kind)
+    return F.when((price > 0) & (exact == 0), unit).otherwise(exact)
+
+
+def line_money(price, quantity, scale: int = S.MONEY_SCALE) -> Column:
+    """Exact price * quantity.  The product of a price of more than 18 digits
+    goes by its whole and its fractional part, which keeps all decimals."""
+    kind = f"decimal(38,{scale})"
+    held, count = money(price, scale), _col(quantity).cast("decimal(19,0)")
+    plain = (held.cast(f"decimal(18,{scale})") * count).cast(kind)
+    part = held % F.lit(1).cast("decimal(1,0)")
+    whole = ((held - part).cast("decimal(20,0)") * count).cast(f"decimal({36 - scale},0)")
+    wide = (whole + (part.cast(f"decimal({scale},{scale})") * count)).cast(kind)
+    return F.when(F.abs(_col(price)) < F.lit(float(10 ** (18 - scale))) * 0.999, plain).otherwise(wide)
 
 
 def money_scale(df, col: str = "net_gmv") -> int:

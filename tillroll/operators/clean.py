@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import schema as S
-from tillroll.functions.columns import money, norm_code
+from tillroll.functions.columns import line_money, norm_code
 
 
 def classify_normalized(inv: Column, code: Column, desc: Column, qty: Column) -> Column:
@@ -72,7 +72,7 @@ def clean_lines(raw: DataFrame, money_scale: int = S.MONEY_SCALE) -> DataFrame:
     typ = classify_normalized(F.col("_inv"), F.col("_code"), F.col("_desc"), F.col(S.QUANTITY))
     qty = F.col(S.QUANTITY)
     money_type = f"decimal(38,{money_scale})"
-    line_gmv = (money(S.UNIT_PRICE, money_scale) * qty.cast("decimal(19,0)")).cast(money_type)
+    line_gmv = line_money(S.UNIT_PRICE, S.QUANTITY, money_scale)
     zero = F.lit(0).cast(money_type)
 
     df = df.withColumn(S.TYPE, typ)

@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll import schema as S
+from tillroll.sources.csv_split import quoted_records
 
 DEFAULT_DATE_FORMATS = (
     "M/d/yyyy H:mm[:ss]",
     "M/d/yyyy",
+    "M/d/yyyy h:mm[:ss] a",
+    "yyyy-M-d h:mm[:ss] a",
     "yyyy-M-d H:mm[:ss][.SSSSSS][.SSS]",
     "yyyy-M-d'T'H:mm[:ss][.SSSSSS][.SSS]",
     "yyyy-M-d",
@@ -38,6 +41,8 @@ def _value(name: str) -> Column:
 
 
 def _parse_ts(c: Column, formats) -> Column:
+    """A trailing Z (UTC) is taken as it stands: times are wall-clock times."""
+    c = F.regexp_replace(c, r"(?<=\d)\s*Z$", "")
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
 
 
@@ -54,7 +59,8 @@ def _converted(date_formats) -> dict[str, Column]:
     out = {c: _value(c) for c in S.RAW_COLUMNS}
     out[S.QUANTITY] = _to_long(_value(S.QUANTITY))
     out[S.CUSTOMER] = _to_long(_value(S.CUSTOMER))
-    out[S.UNIT_PRICE] = F.trim(_value(S.UNIT_PRICE)).try_cast("double")
+    price = F.trim(_value(S.UNIT_PRICE)).try_cast("double")
+    out[S.UNIT_PRICE] = F.when(F.abs(price) != float("inf"), price)  # no amount is infinite
     out[S.INVOICE_DATE] = _parse_ts(F.trim(_value(S.INVOICE_DATE)), date_formats)
     return out
 
@@ -90,7 +96,7 @@ def with_options(reader, header: list[str], multiline: bool):
     )
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
+def read_header(spark: SparkSession, path) -> list[str]:
     """Column names of the first file (reads one line)."""
     return spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path).columns
 
@@ -115,29 +121,35 @@ def typed_lines(text: DataFrame, date_formats=DEFAULT_DATE_FORMATS, on_bad: str
     return text.select(*[(checked(c) if c in S.REQUIRED_COLUMNS else converted[c]).alias(c) for c in S.RAW_COLUMNS])
 
 
-def read_text_lines(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """All columns of the file as text."""
-    return with_options(spark.read, read_header(spark, path), multiline).csv(path)
+def read_text_lines(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
+    """All columns of the files as text."""
+    header = read_header(spark, path)
+    if not multiline:
+        return with_options(spark.read, header, False).csv(path)
+    schema = text_schema(header)
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    row = F.from_csv("record", ", ".join(f"`{c}` string" for c in schema.names), options)
+    return quoted_records(spark, path, header).select(row.alias("row")).select("row.*")
 
 
 def load_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     date_formats=DEFAULT_DATE_FORMATS,
     multiline: bool = False,
     on_bad: str = "fail",
 ) -> DataFrame:
-    """Read raw transaction lines from a headed CSV file or directory.
+    """Read raw transaction lines from headed CSV files or directories.
 
     Files are split by line and read in parallel.  ``multiline`` allows
-    newlines inside quoted fields, at the price of one task per file; without
-    it such a row counts as broken.
+    newlines inside quoted fields (``csv_split``: also in parallel, with one
+    more pass over the text); without it such a row counts as broken.
     """
     return typed_lines(read_text_lines(spark, path, multiline), date_formats, on_bad)
 
 
 def rejected_lines(
-    spark: SparkSession, path: str, date_formats=DEFAULT_DATE_FORMATS, multiline: bool = False
+    spark: SparkSession, path: str | list[str], date_formats=DEFAULT_DATE_FORMATS, multiline: bool = False
 ) -> DataFrame:
     """(column, lines): how many lines ``on_bad="reject"`` leaves out, by the
     first column that does not convert (``row``: wrong number of fields)."""

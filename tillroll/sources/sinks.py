@@ -68,7 +68,8 @@ def _typed(name: str) -> Column:
     if name == "is_partial_month":
         return as_bool(name)
     if name in WHOLE_COLUMNS:  # float columns write 884.0
-        return c.cast("double").cast("int" if name in INT_COLUMNS else "bigint")
+        whole = F.coalesce(c.try_cast("bigint"), c.cast("double").cast("bigint"))
+        return whole.cast("int") if name in INT_COLUMNS else whole
     if name in TEXT_COLUMNS or name.endswith("_text"):
         return c
     return c.cast("double")
