@@ -24,7 +24,7 @@ from tillroll.operators.kpi import (  # noqa: F401
     sku_month_rank,
     topn_coverage,
 )
-from tillroll.operators.ranking import rank_all, top_n  # noqa: F401
+from tillroll.operators.ranking import rank_all, rank_by_value, top_by_value, top_n  # noqa: F401
 from tillroll.operators.report import (  # noqa: F401
     customer_health_monthly,
     dim_month,

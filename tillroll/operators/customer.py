@@ -16,7 +16,7 @@ from tillroll import schema as S
 from tillroll.functions.columns import as_double, check_freq, period_label, period_ordinal, period_start, safe_ratio
 from tillroll.operators.clean import product_lines
 from tillroll.operators.kpi import _totals_and_squares, hhi_expr, month_facts
-from tillroll.operators.ranking import rank_all, top_n
+from tillroll.operators.ranking import rank_by_value, top_by_value
 
 
 def customer_months(fact: DataFrame, month_col: str = S.MONTH, cust: DataFrame | None = None) -> DataFrame:
@@ -108,13 +108,9 @@ def customer_month_sales(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame
     return p.groupBy(S.CUSTOMER, month_col).agg(F.sum("net_gmv").alias("cust_gmv"))
 
 
-def _customer_order():
-    return [F.desc("cust_gmv"), F.asc(S.CUSTOMER)]
-
-
 def customer_month_rank(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
     """Every identified customer of every month with its sales rank (ties by id)."""
-    ranked = rank_all(customer_month_sales(fact, month_col), [month_col], _customer_order(), "rank")
+    ranked = rank_by_value(customer_month_sales(fact, month_col), [month_col], "cust_gmv", S.CUSTOMER)
     return ranked.select(month_col, S.CUSTOMER, as_double("cust_gmv").alias("cust_gmv"), "rank")
 
 
@@ -125,7 +121,7 @@ def customer_concentration(
     has identified customers."""
     cr = cust if cust is not None else customer_month_sales(fact, month_col)
     totals = _totals_and_squares(cr, month_col, "cust_gmv")
-    best = top_n(cr, [month_col], _customer_order(), n, "_rank")
+    best = top_by_value(cr, [month_col], "cust_gmv", S.CUSTOMER, n, "_rank")
     tops = best.groupBy(month_col).agg(F.sum("cust_gmv").alias("_top"))
     joined = totals.join(tops, month_col, "left")
     return joined.select(

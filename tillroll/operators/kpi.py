@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillroll import schema as S
 from tillroll.functions.columns import as_double, change_or_null, days_in_month, money, money_scale, pct_change, safe_ratio
 from tillroll.operators.clean import product_lines, return_lines
-from tillroll.operators.ranking import rank_all, top_n
+from tillroll.operators.ranking import rank_by_value, top_by_value
 
 KPI_COLUMNS = [
     "month", "net_gmv", "order", "customer", "unit_sold", "avg_unit_price", "active_order_days",
@@ -153,13 +153,9 @@ def sku_month(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
     return product_lines(fact, month_col).groupBy(month_col, S.STOCK).agg(F.sum("net_gmv").alias("net_gmv"))
 
 
-def _sku_order():
-    return [F.desc("net_gmv"), F.asc(S.STOCK)]
-
-
 def sku_month_rank(fact: DataFrame, month_col: str = S.MONTH) -> DataFrame:
     """Every SKU of every month with its sales rank (ties by StockCode)."""
-    ranked = rank_all(sku_month(fact, month_col), [month_col], _sku_order(), "rank")
+    ranked = rank_by_value(sku_month(fact, month_col), [month_col], "net_gmv", S.STOCK)
     return ranked.select(month_col, S.STOCK, as_double("net_gmv").alias("net_gmv"), "rank")
 
 
@@ -237,7 +233,7 @@ def sku_concentration(
     """
     sku = sku if sku is not None else sku_month(fact, month_col)
     totals = _totals_and_squares(sku, month_col)
-    best = top_n(sku, [month_col], _sku_order(), max(ns), "_rank")
+    best = top_by_value(sku, [month_col], "net_gmv", S.STOCK, max(ns), "_rank")
     tops = best.groupBy(month_col).agg(
         *[F.sum(F.when(F.col("_rank") <= n, F.col("net_gmv"))).alias(f"_top{n}") for n in ns]
     )
