@@ -67,6 +67,18 @@ def test_transducer_long_words_compose_by_scan(pieces):
         assert pieces[0].count(text) == len(pieces[1].encode(text))
 
 
+def test_transducers_are_kept_by_content():
+    class Shared:  # a new broadcast object, as a reused worker sees one
+        def __init__(self, value):
+            self.value = value
+
+    one = token_count.Vocabulary({"a": 0.0}, True, "one")
+    two = token_count.Vocabulary({"a": 0.0, "aa": -1.0, "▁": -2.0}, True, "two")
+    first = token_count._transducer(Shared(one))
+    assert token_count._transducer(Shared(one)) is first
+    assert token_count._transducer(Shared(two)).scores == two.scores
+
+
 def test_prefix_scan_equals_one_run(pieces):
     t = pieces[0]
     text = token_count.MARK + "internationalization" * 30

@@ -22,6 +22,7 @@ characters.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass, field
 
@@ -35,8 +36,8 @@ MARK = "▁"  # stands for a space inside the model
 #: Longest stretch of a word that is one chunk.
 BLOCK = 256
 #: Words whose counts (twice as many at most), and states that, a worker keeps.
-CACHE = 300_000
-MOST_STATES = 200_000
+CACHE = 450_000
+MOST_STATES = 350_000
 
 State = tuple  # (open suffix, ((last token or None, relative count) or None, ...))
 START: State = ("", ((None, 0),))
@@ -49,11 +50,14 @@ class Vocabulary:
 
     scores: dict[str, float]
     prefix: bool
+    digest: str = ""  # of the model file
 
     @staticmethod
     def load(path: str) -> "Vocabulary":
         import sentencepiece
 
+        with open(path, "rb") as f:
+            digest = hashlib.sha256(f.read()).hexdigest()
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         special = lambda i: sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)
         scores = {sp.id_to_piece(i): sp.get_score(i) for i in range(sp.get_piece_size()) if not special(i)}
@@ -61,7 +65,7 @@ class Vocabulary:
             sp.encode("a b", out_type=str)
         ):
             raise ValueError("the compiler takes models that keep white space and never merge across a word mark")
-        return Vocabulary(scores, sp.encode("a", out_type=str)[0].startswith(MARK))
+        return Vocabulary(scores, sp.encode("a", out_type=str)[0].startswith(MARK), digest)
 
 
 class Transducer:
@@ -223,12 +227,12 @@ def prefix_scan(maps: list[StateMap]) -> list[StateMap]:
     return maps
 
 
-_compiled: dict[int, Transducer] = {}
+_compiled: dict[str, Transducer] = {}
 
 
 def _transducer(vocabulary) -> Transducer:
     """The worker's transducer of a broadcast vocabulary."""
-    key = vocabulary.id if hasattr(vocabulary, "id") else id(vocabulary)
+    key = vocabulary.value.digest
     if key not in _compiled:
         _compiled.clear()
         _compiled[key] = Transducer(vocabulary.value)
