@@ -15,15 +15,13 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import langid, ngram_join, packing, repeats, rule_ensemble
 from tillroll.llm.common import held_out, read_table, vocabulary
-from tillroll.plans.materialize import write_and_read
+from tillroll.plans.materialize import delete_on_exit, drop_path, table_path, write_and_read
 
 #: No SQL engine trains the models or tokenizes; the tests hold the stages
 #: against brute-force versions.
 ORACLE_SQL = None
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A language prediction below this posterior is a rejection.
-LEAST_LANGUAGE_SCORE = 0.5
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,15 +30,14 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language with enough posterior and reads
-    like the training texts of that language (the posterior only compares the
+    """Documents whose text has a language and reads like the training texts
+    of that language (the posterior decides nothing here: it only compares the
     learned languages and is near 1 for any longer text)."""
     train = docs.where(~held_out())
     langs, logs = langid.fit(train)
     usual = write_and_read(langid.usual_range(train, langs, logs), "language_ranges")
     found = langid.predict(docs, langs, logs, keep=tuple(COLUMNS), measures=True)
-    known = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
-    return langid.fits_language(known, usual).select(*COLUMNS)
+    return langid.fits_language(found.where(F.col("lang_pred") != "und"), usual).select(*COLUMNS)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +68,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select(*COLUMNS)
+    """All stages in order.  A stage's table goes as soon as the next one is
+    written, so at most two copies of the corpus are held."""
+    docs, before = read_table(spark, sf_dir, "documents").select(*COLUMNS), None
     for name, stage in STAGES[:-1]:
-        docs = write_and_read(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        path = table_path(spark, f"pipeline_{name}")
+        docs = write_and_read(stage(spark, docs, sf_dir), f"pipeline_{name}", path=path)
+        if before is not None:
+            drop_path(spark, before)
+        before = path
+    delete_on_exit(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)
