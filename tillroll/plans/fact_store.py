@@ -15,6 +15,8 @@ when the session's JVM ends.
 
 from __future__ import annotations
 
+import hashlib
+import re
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from tillroll import operators as ops
 from tillroll import schema as S
 from tillroll.operators.clean import clean_lines
-from tillroll.plans.materialize import table_path, write_and_read
+from tillroll.plans.materialize import delete_on_exit, table_path, write_and_read
 from tillroll.plans.monthly_state import MonthlyState
 from tillroll.sources.retail_lines import TABLES, retail_lines
 from tillroll.sources.tables import table_path as source_path
@@ -35,48 +37,57 @@ _states: dict[tuple, MonthlyState] = {}
 DELIVERIES = 2
 
 
-def _signature(spark: SparkSession, sf_dir: str) -> tuple:
-    """(path, size, modification time) of all files of the source tables, one
-    recursive listing a table through the Hadoop file system."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    found = []
+def _listing(jvm, fs, path) -> list[str]:
+    """Status (path, length, modification time) of all files below ``path``:
+    two calls to the JVM for each folder, whatever the number of files."""
+    entries = fs.listStatus(path)
+    text = re.sub(r"access_time=[^;]*;", "", jvm.java.util.Arrays.toString(entries))
+    found = [text]
+    if "isDirectory=true" in text:
+        for e in entries:
+            if e.isDirectory():
+                found += _listing(jvm, fs, e.getPath())
+    return found
+
+
+def _signature(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the status of all files of the source tables."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    digest = hashlib.sha256()
     for name in TABLES:
         path = jvm.org.apache.hadoop.fs.Path(source_path(sf_dir, name))
-        files = path.getFileSystem(conf).listFiles(path, True)
-        while files.hasNext():
-            st = files.next()
-            found.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
-    return tuple(sorted(found))
+        for text in sorted(_listing(jvm, path.getFileSystem(conf), path)):
+            digest.update(text.encode("utf-8"))
+    return digest.hexdigest()
 
 
-def _written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _written(spark: SparkSession, name: str, signature: str, build) -> DataFrame:
     with _lock:
-        key = (spark.sparkContext.applicationId, name, _signature(spark, sf_dir))
+        key = (spark.sparkContext.applicationId, name, signature)
         if key not in _tables:
             path = table_path(spark, name)
             _tables[key] = write_and_read(build(), name, path=path)
-            _delete_on_exit(spark, path)
+            delete_on_exit(spark, path)
         return _tables[key]
 
 
-def _delete_on_exit(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+def _lines(spark: SparkSession, sf_dir: str, signature: str) -> DataFrame:
+    return _written(spark, "fact_lines", signature, lambda: clean_lines(retail_lines(spark, sf_dir)))
 
 
 def fact_lines(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """Cleaned fact lines of ``sf_dir`` (written once per session)."""
     if not materialize:
         return clean_lines(retail_lines(spark, sf_dir))
-    return _written(spark, sf_dir, "fact_lines", lambda: clean_lines(retail_lines(spark, sf_dir)))
+    return _lines(spark, sf_dir, _signature(spark, sf_dir))
 
 
 def shared_aggregates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The customer-month and month aggregates (written once per session)."""
-    fact = fact_lines(spark, sf_dir)
-    cust = _written(spark, sf_dir, "customer_month", lambda: ops.customer_month_sales(fact))
-    facts = _written(spark, sf_dir, "month_facts", lambda: ops.month_facts(fact, cust=cust))
+    signature = _signature(spark, sf_dir)
+    fact = _lines(spark, sf_dir, signature)
+    cust = _written(spark, "customer_month", signature, lambda: ops.customer_month_sales(fact))
+    facts = _written(spark, "month_facts", signature, lambda: ops.month_facts(fact, cust=cust))
     return cust, facts
 
 
@@ -94,7 +105,7 @@ def monthly_state(spark: SparkSession, sf_dir: str) -> MonthlyState:
             state = MonthlyState(spark, state_path)
             for k in [*range(DELIVERIES), 0]:
                 state.add_files(f"{raw_path}/delivery={k}", lambda paths: spark.read.parquet(*paths))
-            _delete_on_exit(spark, raw_path)
-            _delete_on_exit(spark, state_path)
+            delete_on_exit(spark, raw_path)
+            delete_on_exit(spark, state_path)
             _states[key] = state
         return _states[key]

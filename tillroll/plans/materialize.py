@@ -43,10 +43,14 @@ def table_path(spark: SparkSession, name: str) -> str:
 def write_and_read(df: DataFrame, name: str, partition_by=None, path: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
-    Later reads prune columns and (with ``partition_by``) partitions.
+    Later reads prune columns and (with ``partition_by``) partitions.  Whoever
+    gives no ``path`` leaves the table to the end of the session's JVM, which
+    deletes it.
     """
     spark = df.sparkSession
-    path = path or table_path(spark, name)
+    if path is None:
+        path = table_path(spark, name)
+        delete_on_exit(spark, path)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -54,6 +58,12 @@ def write_and_read(df: DataFrame, name: str, partition_by=None, path: str | None
     return spark.read.parquet(path)
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the session's JVM ends."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def drop_path(spark: SparkSession, path: str) -> bool:
     """Delete an intermediate folder (any Hadoop file system)."""
     jvm = spark.sparkContext._jvm
