@@ -41,7 +41,7 @@ def _listing(jvm, fs, path) -> list[str]:
     """Status (path, length, modification time) of all files below ``path``:
     two calls to the JVM for each folder, whatever the number of files."""
     entries = fs.listStatus(path)
-    text = re.sub(r"access_time=[^;]*;", "", jvm.java.util.Arrays.toString(entries))
+    text = re.sub(r"access_time=[^;]*;", "", jvm.scala.runtime.ScalaRunTime.stringOf(entries))
     found = [text]
     if "isDirectory=true" in text:
         for e in entries:
