@@ -170,6 +170,27 @@ def test_repeats_of_nothing_and_null_ids(spark):
     assert [r.n_removed for r in rep.remove_repeats(documents(spark, rows)).collect()] == [0, 0, 0, 0]
 
 
+def test_merging_in_runs_of_anchors_changes_nothing(monkeypatch):
+    rng = random.Random(7)
+    strings, entries = [], []
+    for k in range(120):
+        anchor = rng.randrange(6)
+        body = bytes(65 + (anchor * 7 + i * i) % 23 for i in range(25))
+        sides = [b"ab" * 12 + b"c", b"q" * 25, b"klmno" * 5]
+        text = rng.choice(sides)[rng.randrange(2) :] + body + rng.choice(sides)[: rng.randrange(2, 26)]
+        strings.append(text)
+        entries.append((rng.randrange(40), anchor, len(text)))
+    table = np.array(entries, dtype=rep._ENTRY)
+
+    def found():
+        index, start, end = rep.lost_stretches(table, b"".join(strings), 50)
+        return sorted(zip(index.tolist(), start.tolist(), end.tolist()))
+
+    whole = found()
+    monkeypatch.setattr(rep, "MERGE", 200)
+    assert found() == whole and whole
+
+
 def test_merged_transforms_give_the_sorted_order():
     """Intervals of the merge are the groups of equal prefixes, in order."""
     rng = random.Random(4)

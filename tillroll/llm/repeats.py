@@ -57,8 +57,9 @@ STEP = 5
 #: Text per block of documents and per bucket of anchors.
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 2 << 20
-#: Symbols per shard of a bucket.
+#: Symbols per shard of a bucket, and of what is merged at once.
 SHARD = 1 << 16
+MERGE = 1 << 20
 #: An anchor is hot in more documents than this share (and HOT_LEAST).
 HOT_SHARE = 1 / 200
 HOT_LEAST = 1000
@@ -296,8 +297,8 @@ def _ordered(frame: pd.DataFrame) -> pd.DataFrame:
 
 def _texts(docs: DataFrame, blocks: int, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rows with their block.  Ids travel as text, which keeps nulls and large
-    ids whole; rows without an id are dealt by their text."""
-    block = F.pmod(F.coalesce(F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")), F.xxhash64("text")), F.lit(blocks))
+    ids whole; rows of one id (or none) are dealt by their texts too."""
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", block.cast("long").alias("block"), *carry)
 
 
@@ -539,15 +540,22 @@ def lost_stretches(entries: np.ndarray, data: bytes, length: int) -> tuple[np.nd
     # Whole passages of strings that are alone.
     gone = np.flatnonzero(~several[string] & (least[string] < entries["doc"]))
     found = [(gone, np.zeros(len(gone), dtype=np.int64), sizes[gone])]
-    many = np.flatnonzero(several)
-    if len(many):
+    # Strings are in the order of their anchors: they are merged in runs of
+    # whole anchors of about MERGE symbols, which bounds what is held at once.
+    entries_of = np.argsort(string, kind="stable")
+    starts = np.searchsorted(string[entries_of], np.arange(len(member) + 1))
+    every = np.flatnonzero(several)
+    runs = np.cumsum(sizes[member[every]] + 1) // MERGE
+    first = np.r_[True, group[every][1:] != group[every][:-1]][: len(every)]
+    runs = runs[first][np.cumsum(first) - 1] if len(every) else runs
+    for many in np.split(every, np.flatnonzero(runs[1:] != runs[:-1]) + 1) if len(every) else []:
         texts = [data[e - n : e] for e, n in zip(ends[member[many]].tolist(), sizes[member[many]].tolist())]
         earliest = earliest_documents(texts, least[many], length)
         offsets = np.cumsum([0, *map(len, earliest)])
         flat = np.concatenate(earliest)
         number = np.full(len(member), -1)
         number[many] = np.arange(len(many))
-        index = np.flatnonzero(several[string])
+        index = np.concatenate([entries_of[starts[m] : starts[m + 1]] for m in many.tolist()])
         windows = sizes[index] - length + 1
         which = np.repeat(np.arange(len(index)), windows)
         offset = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
