@@ -153,12 +153,14 @@ def place_by_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.nda
 
 
 def pack(pieces: DataFrame, size: int = 4096, group_sequences: int = 2048) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to the pieces.  ``pieces`` is read
-    twice (its total length sets the number of groups)."""
+    """Adds ``sequence_id`` and ``offset`` to the pieces.  ``pieces`` is a
+    written table that is read twice (its total length sets the number of
+    groups).  A piece's place in it takes part in the choice of its group, so
+    equal pieces spread over all groups."""
     total = pieces.agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(total / (size * group_sequences)))
     spread = pieces.withColumn(
-        "group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("long")
+        "group", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups)).cast("long")
     )
 
     def place(frame: pd.DataFrame) -> pd.DataFrame:
