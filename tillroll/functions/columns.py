@@ -43,11 +43,12 @@ def money(c, scale: int = S.MONEY_SCALE) -> Column:
     return F.when((price > 0) & (exact == 0), unit).otherwise(exact)
 
 
-def line_money(price, quantity, scale: int = S.MONEY_SCALE) -> Column:
+def line_money(price, quantity, scale: int = S.MONEY_SCALE, held: Column | None = None) -> Column:
     """Exact price * quantity.  The product of a price of more than 18 digits
-    goes by its whole and its fractional part, which keeps all decimals."""
+    goes by its whole and its fractional part, which keeps all decimals.
+    ``held`` may be a column that holds ``money(price, scale)``."""
     kind = f"decimal(38,{scale})"
-    held, count = money(price, scale), _col(quantity).cast("decimal(19,0)")
+    held, count = money(price, scale) if held is None else held, _col(quantity).cast("decimal(19,0)")
     plain = (held.cast(f"decimal(18,{scale})") * count).cast(kind)
     part = held % F.lit(1).cast("decimal(1,0)")
     whole = ((held - part).cast("decimal(20,0)") * count).cast(f"decimal({36 - scale},0)")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import schema as S
-from tillroll.functions.columns import line_money, norm_code
+from tillroll.functions.columns import line_money, money, norm_code
 
 
 def classify_normalized(inv: Column, code: Column, desc: Column, qty: Column) -> Column:
@@ -68,14 +68,18 @@ def clean_lines(raw: DataFrame, money_scale: int = S.MONEY_SCALE) -> DataFrame:
         norm_code(S.INVOICE).alias("_inv"),
         norm_code(S.STOCK).alias("_code"),
         F.upper(F.coalesce(F.col(S.DESCRIPTION), F.lit(""))).alias("_desc"),
+        money(S.UNIT_PRICE, money_scale).alias("_price"),
     )
     typ = classify_normalized(F.col("_inv"), F.col("_code"), F.col("_desc"), F.col(S.QUANTITY))
     qty = F.col(S.QUANTITY)
     money_type = f"decimal(38,{money_scale})"
-    line_gmv = line_money(S.UNIT_PRICE, S.QUANTITY, money_scale)
+    line_gmv = line_money(S.UNIT_PRICE, S.QUANTITY, money_scale, F.col("_price"))
     zero = F.lit(0).cast(money_type)
 
-    df = df.withColumn(S.TYPE, typ)
+    # Price and amount have projections of their own: with a copy of their
+    # decimal arithmetic for every use Java does not compile the method.
+    df = df.select("*", typ.alias(S.TYPE), line_gmv.alias("line_gmv"))
+    line_gmv = F.col("line_gmv")
     is_return = F.col(S.TYPE) == S.TYPE_RETURN
     is_product = F.col(S.TYPE) == S.TYPE_PRODUCT
     order_date = F.to_date(F.col(S.INVOICE_DATE))
@@ -85,7 +89,7 @@ def clean_lines(raw: DataFrame, money_scale: int = S.MONEY_SCALE) -> DataFrame:
         is_return.alias("is_return"),
         is_product.alias("is_product"),
         F.col(S.TYPE).isin(S.NON_MERCH_TYPES).alias("is_non_merch_adjustment"),
-        line_gmv.alias("line_gmv"),
+        line_gmv,
         F.when(is_product & (qty > 0), line_gmv).otherwise(zero).alias("net_gmv"),
         F.when(is_return, line_gmv).otherwise(zero).alias("return_value"),
         order_date.alias(S.ORDER_DATE),
