@@ -91,6 +91,20 @@ def shared_aggregates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return cust, facts
 
 
+def _deal(spark: SparkSession, raw: DataFrame, path: str) -> None:
+    """Raw lines as one folder per delivery, dealt by invoice.  A task keeps
+    the files of all deliveries open, so it need not sort its lines by delivery
+    and each file keeps them in their order."""
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    part = F.pmod(F.xxhash64(S.INVOICE), F.lit(DELIVERIES))
+    spark.conf.set(writers, str(DELIVERIES))
+    try:
+        raw.withColumn("delivery", part).write.partitionBy("delivery").parquet(path)
+    finally:
+        spark.conf.set(writers, before)
+
+
 def monthly_state(spark: SparkSession, sf_dir: str) -> MonthlyState:
     """The stored aggregates of all lines of ``sf_dir``, built once per
     session the way a monthly job builds them: the raw lines come in
@@ -100,8 +114,7 @@ def monthly_state(spark: SparkSession, sf_dir: str) -> MonthlyState:
         key = (spark.sparkContext.applicationId, "state", _signature(spark, sf_dir))
         if key not in _states:
             raw_path, state_path = table_path(spark, "raw_deliveries"), table_path(spark, "monthly_state")
-            part = F.pmod(F.xxhash64(S.INVOICE), F.lit(DELIVERIES))
-            retail_lines(spark, sf_dir).withColumn("delivery", part).write.partitionBy("delivery").parquet(raw_path)
+            _deal(spark, retail_lines(spark, sf_dir), raw_path)
             state = MonthlyState(spark, state_path)
             for k in [*range(DELIVERIES), 0]:
                 state.add_files(f"{raw_path}/delivery={k}", lambda paths: spark.read.parquet(*paths))

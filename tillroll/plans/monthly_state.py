@@ -76,10 +76,8 @@ class MonthlyState:
     def table(self, name: str) -> DataFrame | None:
         """A merged table, or None while the state is empty.  Rows of one
         generation have distinct keys already and need no aggregate."""
-        if not self.generations:
-            return None
-        held = self.spark.read.parquet(*[f"{self.folder}/{g}/{name}" for g in self.generations])
-        if len(self.generations) == 1:
+        held = self._held(name)
+        if held is None or len(self.generations) == 1:
             return held
         values = [c for c in held.columns if c not in KEYS[name]]
         if not values:
@@ -89,6 +87,12 @@ class MonthlyState:
             *[_MERGE.get(c, F.sum)(c).cast(types[c]).alias(c) for c in values]
         )
 
+    def _held(self, name: str) -> DataFrame | None:
+        """The rows of all generations, not merged; None while there are none."""
+        if not self.generations:
+            return None
+        return self.spark.read.parquet(*[f"{self.folder}/{g}/{name}" for g in self.generations])
+
     def _need(self, name: str) -> DataFrame:
         found = self.table(name)
         if found is None:
@@ -192,7 +196,7 @@ class MonthlyState:
         lines_path = table_path(self.spark, "new_lines")
         try:
             # The new lines are read once; five aggregates start from them.
-            fact = write_and_read(clean_lines(raw, self.money_scale), "new_lines", path=lines_path)
+            fact = write_and_read(_needed(clean_lines(raw, self.money_scale)), "new_lines", path=lines_path)
 
             def put(table: str, df: DataFrame) -> DataFrame:
                 path = f"{self.folder}/{name}/{table}"
@@ -250,17 +254,13 @@ class MonthlyState:
     def _cell_changes(self, added: DataFrame) -> DataFrame:
         """Signed changes of the cohort cells: the touched customers' cells
         after the new lines, less those before."""
-        touched = added.select(S.CUSTOMER).distinct()
-        pairs = added.select(S.CUSTOMER, S.MONTH)
-        known = self.table("customers")
-        after, before = _cells(pairs), None
+        pairs = added.select(S.CUSTOMER, S.MONTH, F.lit(False).alias("_old"))
+        known = self._held("customers")
         if known is not None:
-            old = known.select(S.CUSTOMER, S.MONTH).join(touched, S.CUSTOMER, "left_semi")
-            before = _cells(old).withColumn("customers", -F.col("customers"))
-            after = _cells(old.unionByName(pairs).distinct())
-        both = after if before is None else after.unionByName(before)
-        merged = both.groupBy("freq", "cohort", "period").agg(F.sum("customers").alias("customers"))
-        return merged.where("customers <> 0")
+            touched = added.select(S.CUSTOMER).distinct()
+            old = known.select(S.CUSTOMER, S.MONTH, F.lit(True).alias("_old"))
+            pairs = pairs.unionByName(old.join(touched, S.CUSTOMER, "left_semi"))
+        return _cell_sums(pairs)
 
     # Housekeeping --------------------------------------------------------------
 
@@ -289,27 +289,57 @@ class MonthlyState:
         return gone
 
 
+def _needed(fact: DataFrame) -> DataFrame:
+    """What the aggregates read of the fact lines: no country, flags or line
+    amount, and the description of RETURN lines only."""
+    description = F.when(F.col(S.TYPE) == S.TYPE_RETURN, F.col(S.DESCRIPTION))
+    return fact.select(
+        S.INVOICE, S.STOCK, description.alias(S.DESCRIPTION), S.QUANTITY, S.INVOICE_DATE, S.UNIT_PRICE, S.CUSTOMER,
+        S.TYPE, "net_gmv", "return_value", S.ORDER_DATE, S.MONTH, "abs_quantity",
+    )
+
+
 def _bitmaps(customer_months: DataFrame, numbers: DataFrame) -> DataFrame:
-    """(month, bucket, bitmap) of the customers' numbers."""
+    """(month, bucket, bitmap) of the customers' numbers.  The numbers move, not
+    a bitmap of 4 KB for every bucket and month that a task has: that would
+    grow with the tasks times the customers."""
     numbered = customer_months.select(S.MONTH, S.CUSTOMER).join(numbers, S.CUSTOMER)
-    return numbered.groupBy(S.MONTH, F.bitmap_bucket_number("number").alias("bucket")).agg(
+    placed = numbered.select(S.MONTH, F.bitmap_bucket_number("number").alias("bucket"), "number")
+    # At most 32,768 rows a month and bucket.
+    return placed.repartition(S.MONTH, "bucket").groupBy(S.MONTH, "bucket").agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bitmap")
     )
 
 
-def _cells(pairs: DataFrame) -> DataFrame:
-    """(freq, cohort, period, customers) from distinct (customer, month): the
-    window of a customer holds one row per month, whatever the line count."""
-    first = F.min(S.MONTH).over(Window.partitionBy(S.CUSTOMER))
-    dated = pairs.select(S.CUSTOMER, S.MONTH, first.alias("_first"))
-    out = None
+def _cell_sums(pairs: DataFrame) -> DataFrame:
+    """(freq, cohort, period, customers) from (customer, month, ``_old``) rows:
+    the cells of all rows less those of the old ones, all frequencies in one
+    pass.  A customer's rows meet once; the windows hold one row per month,
+    whatever the line count.  A customer counts in a period at the customer's
+    first month there."""
+    months = pairs.repartition(S.CUSTOMER).groupBy(S.CUSTOMER, S.MONTH).agg(F.max("_old").alias("_old"))
+    whole = Window.partitionBy(S.CUSTOMER).orderBy(S.MONTH)
+    past = whole.rowsBetween(Window.unboundedPreceding, -1)
+    own = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    old = F.when(F.col("_old"), F.col(S.MONTH))
+    dated = months.select(
+        S.MONTH,
+        "_old",
+        F.min(S.MONTH).over(own).alias("_first"),
+        F.max(S.MONTH).over(past).alias("_before"),
+        F.min(old).over(own).alias("_old_first"),
+        F.max(old).over(past).alias("_old_before"),
+    )
+    cells = []
     for freq in FREQS:
-        periods = dated.select(
-            S.CUSTOMER, period_start("_first", freq).alias("cohort"), period_start(S.MONTH, freq).alias("period")
-        )
-        if freq != "M":
-            periods = periods.distinct()
-        counted = periods.groupBy("cohort", "period").agg(F.count(F.lit(1)).alias("customers"))
-        counted = counted.select(F.lit(freq).alias("freq"), "cohort", "period", "customers")
-        out = counted if out is None else out.unionByName(counted)
-    return out
+        period = period_start(S.MONTH, freq)
+        for held, first, before, sign in ((F.lit(True), "_first", "_before", 1), (F.col("_old"), "_old_first", "_old_before", -1)):
+            begins = F.col(before).isNull() | (period_start(before, freq) < period)
+            cell = F.struct(
+                F.lit(freq).alias("freq"), period_start(first, freq).alias("cohort"), period.alias("period"),
+                F.lit(sign).cast("bigint").alias("customers"),
+            )
+            cells.append(F.when(held & begins, cell))
+    cell = F.explode(F.array_compact(F.array(*cells))).alias("_cell")
+    merged = dated.select(cell).select("_cell.*").groupBy("freq", "cohort", "period")
+    return merged.agg(F.sum("customers").alias("customers")).where("customers <> 0")

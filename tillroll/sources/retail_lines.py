@@ -10,8 +10,10 @@ hash ``h`` of the line's keys.  The same mapping is written in SQL for the
 DuckDB oracle (``oracle/sql.py``); the two must stay identical.
 
 Join order is chosen for scale: ``orders`` meets ``customer`` (and the
-25-row ``nation``) first, so the big ``lineitem`` side is shuffled only by
-``l_orderkey`` (sort-merge with orders) and then by ``l_partkey``.  Spark
+25-row ``nation``) and the narrow line items meet ``part`` first, so the last
+shuffle is by ``l_orderkey`` (sort-merge with orders): the lines come out in
+the order of their invoices, and aggregates by invoice or customer combine
+them before they shuffle.  Text columns are made after the joins.  Spark
 (AQE) broadcasts ``part`` or ``customer`` only when their measured size is
 under ``spark.sql.autoBroadcastJoinThreshold``.
 """
@@ -39,9 +41,8 @@ def _case(h: Column, mapping: dict, default: Column) -> Column:
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transaction lines (``schema.RAW_SCHEMA``) for one test-data directory.
 
-    Columns that depend on one table only are computed on that table before
-    the joins, so join inputs are narrow and the line hash ``h`` is a plain
-    column afterwards.
+    The line hash ``h`` and the order's columns are computed before the joins,
+    so join inputs are narrow; invoice and stock texts after them.
     """
     li = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders")
@@ -49,11 +50,11 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
-    # Line-item side: the hash and everything derived from line-item columns.
+    # Line-item side: the hash, and the columns derived from line-item columns.
     h = (F.col("l_orderkey") * 31 + F.col("l_partkey") * 7 + F.col("l_linenumber") * 3 + F.col("l_suppkey")) % 1000
-    li = li.select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag", h.alias("h"))
-    h = F.col("h")
-    returned = F.col("l_returnflag") == "R"
+    returned = (F.col("l_returnflag") == "R").alias("returned")
+    li = li.select("l_orderkey", "l_partkey", "l_quantity", returned, h.alias("h"))
+    h, returned = F.col("h"), F.col("returned")
     orderkey_text = F.col("l_orderkey").cast("string")
     invoice = F.when((h == 32) | (returned & (h % 8 == 0)), F.concat(F.lit("c"), orderkey_text)).otherwise(
         orderkey_text
@@ -76,10 +77,6 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(returned & (h % 4 == 0), -F.col("l_quantity"))
         .otherwise(F.col("l_quantity"))
     ).cast("bigint")
-    lines = li.select(
-        "l_orderkey", "l_partkey", "h", invoice.alias(S.INVOICE), stock.alias(S.STOCK), qty.alias(S.QUANTITY)
-    )
-
     # Order side: customer id and country.  nation has one row per country
     # (25 in TPC-H): a fixed, tiny bound, so it is broadcast.
     od = F.col("o_orderdate")
@@ -95,9 +92,8 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Line items and orders are the two largest tables: co-partition them by
     # order key (sort-merge) rather than collecting either side to the driver.
-    b = lines.hint("merge").join(order_side, lines.l_orderkey == order_side.o_orderkey).join(
-        part, lines.l_partkey == part.p_partkey
-    )
+    lines = li.join(part, li.l_partkey == part.p_partkey)
+    b = lines.hint("merge").join(order_side, F.col("l_orderkey") == order_side.o_orderkey)
     description = _case(
         h,
         {
@@ -116,10 +112,10 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     invoice_date = F.when(h.isin(21, 28), F.lit(None)).otherwise(F.col("o_orderdate")).cast("timestamp_ntz")
     price = F.when(h == 22, F.lit(0.0)).when(h == 23, F.lit(None)).otherwise(F.col("p_retailprice")).cast("double")
     return b.select(
-        S.INVOICE,
-        S.STOCK,
+        invoice.alias(S.INVOICE),
+        stock.alias(S.STOCK),
         description.alias(S.DESCRIPTION),
-        S.QUANTITY,
+        qty.alias(S.QUANTITY),
         invoice_date.alias(S.INVOICE_DATE),
         price.alias(S.UNIT_PRICE),
         S.CUSTOMER,
