@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import line, rows
 from tillroll import schema as S
@@ -129,3 +131,13 @@ def test_large_prices_are_exact_and_infinite_ones_named(raw):
     for bad in (float("inf"), 1e20):
         with pytest.raises(Exception, match="price has too many digits"):
             clean_lines(raw([line(price=bad)])).collect()
+
+
+def test_cleaning_is_one_method_that_java_compiles(spark, raw, tmp_path):
+    from tillroll.operators.clean import clean_lines
+
+    raw([line()]).write.parquet(str(tmp_path / "raw"))
+    plan = clean_lines(spark.read.parquet(str(tmp_path / "raw")))._jdf.queryExecution()
+    text = spark.sparkContext._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000  # HotSpot's limit for huge methods

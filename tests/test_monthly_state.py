@@ -9,9 +9,11 @@ from conftest import line
 from tillroll import operators as ops
 from tillroll import schema as S
 from tillroll.operators.clean import clean_lines
+from tillroll.plans.fact_store import _deal
 from tillroll.plans.manifest import Conflict, Manifests
-from tillroll.plans.monthly_state import MonthlyState
+from tillroll.plans.monthly_state import MonthlyState, _bitmaps, _cell_sums
 from tillroll.plans.pipeline import build_tables, drop_old_sets, publish_tables, read_published, run_pipeline
+from tillroll.sources.retail_lines import retail_lines
 
 
 def deliveries(seed=1, count=3, size=60):
@@ -180,3 +182,40 @@ def test_torn_manifest_is_skipped(spark, tmp_path):
     assert m.latest() == (3, {"a": 3})
     with pytest.raises(Conflict):
         m.commit(1, {"a": 4})
+
+
+def test_numbers_move_and_no_bitmap_of_a_task(spark):
+    pairs = spark.range(100).selectExpr("add_months(date'2011-01-01', int(id % 2)) month", "id CustomerID")
+    plan = _bitmaps(pairs, spark.range(100).selectExpr("id CustomerID", "id + 1 number"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.index("partial_bitmap_construct_agg") < text.index("Exchange hashpartitioning(month")
+    assert plan.selectExpr("sum(bitmap_count(bitmap))").first()[0] == 100
+
+
+def test_cohort_cells_of_late_lines_in_one_pass(spark):
+    new = spark.sql("values (1, date'2010-11-01'), (2, date'2011-02-01'), (2, date'2011-03-01')")
+    old = spark.sql("values (1, date'2010-12-01'), (1, date'2011-01-01'), (2, date'2011-02-01')")
+    rows = [df.toDF("CustomerID", "month").selectExpr("*", f"{o} _old") for df, o in ((new, "false"), (old, "true"))]
+    cells = _cell_sums(rows[0].unionByName(rows[1]))
+    text = cells._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(CustomerID") == 1
+    got = {(f, str(c), str(p)): n for f, c, p, n in cells.collect()}
+    # Customer 1 began a month earlier than known; customer 2 came again in March.
+    assert got == {
+        ("M", "2010-11-01", "2010-11-01"): 1, ("M", "2010-11-01", "2010-12-01"): 1, ("M", "2010-11-01", "2011-01-01"): 1,
+        ("M", "2010-12-01", "2010-12-01"): -1, ("M", "2010-12-01", "2011-01-01"): -1, ("M", "2011-02-01", "2011-03-01"): 1,
+    }
+
+
+def test_deliveries_are_written_without_a_sort(spark, raw, tmp_path):
+    rows = [line(inv=str(i), stock=f"P{i:04d}") for i in range(200)]
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    _deal(spark, raw(rows).coalesce(1), str(tmp_path / "raw"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    parts = [[r[0] for r in spark.read.parquet(f"{tmp_path}/raw/delivery={k}").select(S.STOCK).collect()] for k in (0, 1)]
+    assert all(parts) and sorted(parts[0] + parts[1]) == [r[1] for r in rows] and all(p == sorted(p) for p in parts)
+
+
+def test_lines_come_out_by_order_key(spark):
+    plan = retail_lines(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortMergeJoin [l_orderkey") < plan.index("Join [l_partkey")
